@@ -28,9 +28,14 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run_sql(spark: SparkSession, text: str, args: Mapping[str, object] | None = None) -> DataFrame:
-    """SQL text to a relation (SRC-2), with named parameters (``:name``) bound as literals."""
-    return spark.sql(text, args=dict(args) if args else None)
+def run_sql(spark: SparkSession, text: str, args: Mapping[str, object] | None = None,
+            **frames: DataFrame) -> DataFrame:
+    """SQL text to a relation (SRC-2).
+
+    Named parameters (``:name``) are bound as literals from ``args``; ``{name}`` placeholders
+    refer to the DataFrames passed as keyword arguments, so no session-wide view is needed.
+    """
+    return spark.sql(text, args=dict(args) if args else None, **frames)
 
 
 # Read limits of the original jobs (fixed values): 5 s to connect, 15 min per statement.
