@@ -14,12 +14,12 @@ from cardflow.operators.sets import distinct_rows, union_distinct
 from cardflow.operators.sorting import sort_report
 from cardflow.operators.temporal import effective_on
 from cardflow.registry.base import check
-from cardflow.registry.driver_inputs import BD_FLAGGED, BD_MTD
-from cardflow.sources.tables import read_table, run_sql
+from cardflow.registry.driver_inputs import BD_FLAGGED, BD_MTD, driver_table
+from cardflow.sources.tables import run_sql
 
 
 def _t(spark, sf_dir, name):
-    return read_table(spark, name, sf_dir)
+    return driver_table(spark, sf_dir, name)
 
 
 @check("q_scan_project", """

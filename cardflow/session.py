@@ -20,6 +20,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # A fused stage whose method exceeds the JVM's 8000-byte JIT limit runs interpreted;
+        # at this limit Spark compiles such stages operator by operator instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("CARDFLOW_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
