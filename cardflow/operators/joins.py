@@ -39,6 +39,24 @@ def left_join(a: DataFrame, b: DataFrame, on: On) -> DataFrame:
     return a.join(b, on, "left")
 
 
+def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left outer join for a right side that may hold many rows per key, hot keys included.
+
+    Adaptive execution splits an oversized partition of a sort-merge join only on a side it
+    may duplicate: either side of an inner join, but only the preserved side of an outer one.
+    So the join is written as the inner join (a hot key on ``right`` is split into several
+    tasks) plus the left rows without a match (an anti join, which never builds the key's
+    rows), with the right side's columns NULL. Same rows as ``left.join(right, on, "left")``.
+    """
+    keys = list(on)
+    matched = left.join(right, keys, "inner")
+    unmatched = left.join(right.select(*keys), keys, "left_anti")
+    for f in right.schema.fields:
+        if f.name not in keys:
+            unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(unmatched)
+
+
 def left_join_effective(a: DataFrame, b: DataFrame, on: On, d: dt.date,
                         from_col: str = "efftv_from_dt", to_col: str = "efftv_to_dt") -> DataFrame:
     """Point-in-time left join (JON-4): key equality and ``from <= d <= to`` on ``b``.

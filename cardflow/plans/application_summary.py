@@ -17,6 +17,8 @@ Plan choices for large inputs:
   by the number of distinct values instead of the product of row counts.
 * Account custom data is keyed on the transfer account, not the application: it is resolved
   against the transfer rows first, so the main joins all share ``appl_id``.
+* The spine meets the current source first (both one row per id), then the legacy rows, which
+  can be many per id: that join is ``left_join_many``, so a hot id can be split across tasks.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from cardflow.functions.columns import (blank_to_null, case_when, decode, first_char, flag, newest_wins,
                                         override, prefer)
 from cardflow.functions.dates import BusinessDate, before_day, day
-from cardflow.operators.joins import exclude_listed
+from cardflow.operators.joins import exclude_listed, left_join_many
 from cardflow.operators.ranking import latest_per_key, pg_asc, pg_desc
 from cardflow.operators.sets import distinct_rows, union_distinct
 from cardflow.operators.temporal import effective_on
@@ -274,7 +276,7 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
                                    inputs["app_user_data"], inputs["app_transfer"], inputs["app_account"],
                                    inputs["account_custom"], bd),
                     "cur_", SOURCE_FIELDS + ["inst_cr"])
-    j = spine.join(ta, "appl_id", "left").join(cur, "appl_id", "left")
+    j = left_join_many(spine.join(cur, "appl_id", "left"), ta, ["appl_id"])
 
     def newer(field: str) -> Column:
         return newest_wins("cur_dt_status", "ta_dt_status", "cur_" + field, "ta_" + field)

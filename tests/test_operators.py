@@ -102,3 +102,12 @@ def test_overlay_reuses_key(spark):
     s = spark.createDataFrame([(1, "s1"), (2, "s2")], "k int, sv string")
     out = J.overlay(spine, p, s, ["k"]).select("k", F.coalesce("pv", "sv").alias("v"))
     assert sorted(rows(out)) == [(1, "p1"), (2, "s2")]
+
+
+def test_left_join_many_equals_left_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (4, "d")], "k long, l string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (1, "y"), (2, None), (3, "z")], "k long, r string")
+    want = sorted(rows(left.join(right, "k", "left").select("k", "l", "r")), key=str)
+    got = J.left_join_many(left, right, ["k"])
+    assert got.columns == ["k", "l", "r"]
+    assert sorted(rows(got.select("k", "l", "r")), key=str) == want

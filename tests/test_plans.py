@@ -82,3 +82,31 @@ def test_summary_joins_share_the_application_key(spark):
         if "Exchange hashpartitioning(" in line:
             keys = line.split("Exchange hashpartitioning(")[1]
             assert keys.startswith(("appl_id", "app_num", "xfer_acct_id", "o_orderkey", "l_orderkey")), line
+
+
+def test_left_join_many_splits_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        n = 120_000
+        # one key holds a third of the right side's rows
+        right = spark.range(n).select(F.when(F.col("id") < n // 3, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                      (F.col("id") * 3).alias("v"))
+        left = spark.range(n).select(F.col("id").alias("k"), F.lit("x").alias("l"))
+        out = J.left_join_many(left, right, ["k"]).groupBy("l").agg(F.sum("v").alias("s"), F.count("*").alias("n"))
+        got = out.collect()
+        assert got[0]["n"] == n + n // 3 - 1
+        assert "SortMergeJoin(skew=true)" in plan(out, "simple")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
