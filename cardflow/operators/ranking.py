@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_PID, _LOCAL, _OFFSET, _COUNT = "__range_pid", "__local_rn", "__rn_offset", "__rows"
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -41,3 +43,35 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     """
     rn = "__rank_num"
     return df.withColumn(rn, row_number(keys, order)).filter(F.col(rn) == 1).drop(rn)
+
+
+def with_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str = "rn",
+                    num_partitions: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY order)`` without sending any key's
+    rows to one task.
+
+    A plain window puts every row of a key in one task, so a key holding a third of the table
+    is sorted by one core. Here the rows are range-partitioned on (partition keys, order keys),
+    which spreads a hot key over several partitions; rows are numbered inside each
+    (range partition, key) group, and each group gets the row count of the same key in earlier
+    range partitions added. Within a range partition the keys are contiguous, so only its first
+    key can continue from an earlier partition: the offset table has at most one row per range
+    partition, which bounds its broadcast. Both branches read one range exchange (Spark reuses
+    identical exchanges within a query), so their partition ids agree. End ``order`` with a
+    unique key for a reproducible numbering; give ``order`` columns an explicit NULL ordering
+    (``pg_asc``/``pg_desc``).
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(k).asc_nulls_first() for k in partition]
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn(_PID, F.spark_partition_id())
+    local = ranged.withColumn(_LOCAL, F.row_number().over(Window.partitionBy(_PID, *partition).orderBy(*order)))
+    counts = ranged.groupBy(*partition, _PID).agg(F.count(F.lit(1)).alias(_COUNT))
+    before = Window.partitionBy(*partition).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.withColumn(_OFFSET, F.sum(_COUNT).over(before))
+               .filter(F.col(_OFFSET) > 0).drop(_COUNT))
+    cond = [local[c].eqNullSafe(offsets[c]) for c in [*partition, _PID]]
+    joined = local.join(F.broadcast(offsets), cond, "left")
+    out = joined.select(local["*"], F.col(_OFFSET))
+    return (out.withColumn(name, (F.col(_LOCAL) + F.coalesce(F.col(_OFFSET), F.lit(0))).cast("int"))
+            .drop(_PID, _LOCAL, _OFFSET))

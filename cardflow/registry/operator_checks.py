@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cardflow.functions import columns as C
 from cardflow.functions import dates as D
 from cardflow.operators import joins as J
-from cardflow.operators.ranking import latest_per_key, pg_desc, row_number
+from cardflow.operators.ranking import latest_per_key, pg_desc, with_row_number
 from cardflow.operators.sets import distinct_rows, union_distinct
 from cardflow.operators.sorting import sort_report
 from cardflow.operators.temporal import effective_on
@@ -399,7 +399,7 @@ FROM orders
 """)
 def q_row_number(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", _nullable_day().alias("d"))
-    return o.withColumn("rn", row_number(["o_custkey"], [pg_desc("d"), pg_desc("o_orderkey")]))
+    return with_row_number(o, ["o_custkey"], [pg_desc("d"), pg_desc("o_orderkey")], "rn")
 
 
 @check("q_latest_per_key", """

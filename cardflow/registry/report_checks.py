@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 
 from cardflow.plans.adjustment_transactions import ACCOUNTING_FUNCTIONS, adjustment_transactions
-from cardflow.plans.application_summary import daily_application_summary
+from cardflow.plans.application_summary import daily_application_summary, run_daily_application_summary
 from cardflow.plans.interest_adjustments import interest_adjustments_mtd
 from cardflow.plans.new_flagged_accounts import HISTORY_COLUMNS, flagged_delta, new_flagged_accounts
 from cardflow.plans.plan_postings import plan_postings_mtd
@@ -348,3 +348,12 @@ def summary_inputs(spark, sf_dir):
 @check("q_rpt_daily_application_summary", SUMMARY_SQL)
 def q_rpt_daily_application_summary(spark, sf_dir):
     return daily_application_summary(summary_inputs(spark, sf_dir), BD_SUMMARY, SUMMARY_RULES)
+
+
+@check("q_refresh_summary", SUMMARY_SQL)
+def q_refresh_summary(spark, sf_dir):
+    """CMP-10: replace the summary table, export it with a dated name, read the export back."""
+    base = scratch_path(spark, "summary", uuid.uuid4().hex)
+    path, _ = run_daily_application_summary(summary_inputs(spark, sf_dir), BD_SUMMARY, SUMMARY_RULES,
+                                            f"{base}/table", f"{base}/reports", fmt="parquet")
+    return spark.read.parquet(path)

@@ -111,3 +111,19 @@ def test_left_join_many_equals_left_join(spark):
     got = J.left_join_many(left, right, ["k"])
     assert got.columns == ["k", "l", "r"]
     assert sorted(rows(got.select("k", "l", "r")), key=str) == want
+
+
+def test_with_row_number_matches_window_under_a_hot_key(spark):
+    from cardflow.operators.ranking import with_row_number
+
+    n = 3000
+    df = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(None)).when(F.col("id") < 2 * n // 3, F.lit(7)).otherwise(F.col("id") % 50)
+        .alias("k"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 97).alias("d"),
+        F.col("id"))
+    order = [pg_desc("d"), pg_asc("id")]
+    want = sorted(rows(df.withColumn("rn", row_number(["k"], order)), "id", "rn"))
+    got = with_row_number(df, ["k"], order, "rn", num_partitions=7)
+    assert got.columns == ["k", "d", "id", "rn"]
+    assert sorted(rows(got, "id", "rn")) == want
