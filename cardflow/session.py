@@ -23,6 +23,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # A fused stage whose method exceeds the JVM's 8000-byte JIT limit runs interpreted;
         # at this limit Spark compiles such stages operator by operator instead.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Skip capturing a Python call site for every Column call (error-context only): plans
+        # with hundreds of expressions are built several times faster.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CARDFLOW_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
