@@ -39,7 +39,23 @@ def left_join(a: DataFrame, b: DataFrame, on: On) -> DataFrame:
     return a.join(b, on, "left")
 
 
-def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def left_join_many_parts(left: DataFrame, right: DataFrame, on: Sequence[str],
+                         right_keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two disjoint halves of ``left_join_many``: (matched rows, unmatched left rows with
+    the right side's columns NULL). Their key sets are disjoint, so per-key work after the
+    join (such as a ``DISTINCT``) can run on each half separately."""
+    keys = list(on)
+    matched = left.join(right, keys, "inner")
+    probe = right.select(*keys) if right_keys is None else right_keys.select(*keys)
+    unmatched = left.join(probe, keys, "left_anti")
+    for f in right.schema.fields:
+        if f.name not in keys:
+            unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched, unmatched.select(*matched.columns)
+
+
+def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str],
+                   right_keys: DataFrame | None = None) -> DataFrame:
     """Left outer join for a right side that may hold many rows per key, hot keys included.
 
     Adaptive execution splits an oversized partition of a sort-merge join only on a side it
@@ -47,13 +63,11 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Data
     So the join is written as the inner join (a hot key on ``right`` is split into several
     tasks) plus the left rows without a match (an anti join, which never builds the key's
     rows), with the right side's columns NULL. Same rows as ``left.join(right, on, "left")``.
+
+    ``right_keys`` may give a cheaper relation with the same keys as ``right`` (for instance
+    the driving table of ``right``'s own left joins) so the anti join does not recompute it.
     """
-    keys = list(on)
-    matched = left.join(right, keys, "inner")
-    unmatched = left.join(right.select(*keys), keys, "left_anti")
-    for f in right.schema.fields:
-        if f.name not in keys:
-            unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
+    matched, unmatched = left_join_many_parts(left, right, on, right_keys)
     return matched.unionByName(unmatched)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from cardflow.functions.columns import (blank_to_null, case_when, decode, first_char, flag, newest_wins,
                                         override, prefer)
 from cardflow.functions.dates import BusinessDate, before_day, day
-from cardflow.operators.joins import exclude_listed, left_join_many
+from cardflow.operators.joins import exclude_listed, left_join_many_parts
 from cardflow.operators.ranking import latest_per_key, pg_asc, pg_desc
 from cardflow.operators.sets import distinct_rows, union_distinct
 from cardflow.operators.temporal import effective_on
@@ -139,6 +139,11 @@ def _product(override_cpc: Column, income_value: Column, fallback_cpc: Column) -
     return F.coalesce(override_cpc, decode(income_value, INCOME_PRODUCTS), fallback_cpc)
 
 
+def legacy_rows(app: DataFrame) -> DataFrame:
+    """Legacy application rows that are not test rows (rows with both test marks set drop)."""
+    return app.filter(b("test_app_sw").isNull() | b("test_acct_flag").isNull())
+
+
 def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame, rules: SummaryRules) -> DataFrame:
     """Legacy rows (test rows with both marks set drop), not deduplicated: one output row per
     distinct combination of the joined income element and product override."""
@@ -146,7 +151,7 @@ def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame,
               .select(F.col("app_num"), b("alpha_value").alias("income_value")).distinct())
     override_cpc = (override_rows.filter(F.col("ts2_account_id") > 0)
                     .select(F.col("app_num"), b("client_prod_code").alias("override_cpc")).distinct())
-    a = app.filter(b("test_app_sw").isNull() | b("test_acct_flag").isNull()).select(
+    a = legacy_rows(app).select(
         "app_num",
         day("dt_entered").alias("dt_entered"),
         day("dt_status").alias("dt_status"),
@@ -276,7 +281,17 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
                                    inputs["app_user_data"], inputs["app_transfer"], inputs["app_account"],
                                    inputs["account_custom"], bd),
                     "cur_", SOURCE_FIELDS + ["inst_cr"])
-    j = left_join_many(spine.join(cur, "appl_id", "left"), ta, ["appl_id"])
+    # The legacy source has rows for exactly the non-test legacy ids (its joins are left joins).
+    # Ids with legacy rows and ids without them are disjoint, and the second kind has one row
+    # per id, so only the first needs the DISTINCT; it still has the id partitioning of its join.
+    legacy_ids = legacy_rows(inputs["legacy_app"]).select(F.col("app_num").alias("appl_id"))
+    matched, unmatched = left_join_many_parts(spine.join(cur, "appl_id", "left"), ta, ["appl_id"], legacy_ids)
+    return distinct_rows(_overlay(matched, rules)).unionByName(_overlay(unmatched, rules))
+
+
+def _overlay(j: DataFrame, rules: SummaryRules) -> DataFrame:
+    """The 14 output columns from a row of the current source (``cur_*``, primary) and the
+    legacy source (``ta_*``)."""
 
     def newer(field: str) -> Column:
         return newest_wins("cur_dt_status", "ta_dt_status", "cur_" + field, "ta_" + field)
@@ -298,7 +313,7 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
         ],
         "ERROR",
     )
-    out = j.select(
+    return j.select(
         "appl_id",
         entered.alias("dt_entered"),
         newer("dt_status").alias("dt_status"),
@@ -314,7 +329,6 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
         flag("cur_inst_cr", "IC", "NON_IC").alias("inst_cr"),
         newer("stc_bkdown").alias("stc_bkdown"),
     )
-    return distinct_rows(out)
 
 
 def run_daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate, rules: SummaryRules,
