@@ -33,9 +33,16 @@ def inner_join(a: DataFrame, b: DataFrame, on: On) -> DataFrame:
     return a.join(b, on, "inner")
 
 
-def left_join(a: DataFrame, b: DataFrame, on: On) -> DataFrame:
+def left_join(a: DataFrame, b: DataFrame, on: On, many: bool = False) -> DataFrame:
     """Left outer equi join on one or more keys (JON-2). Restrict ``b`` first for ``ON``
-    predicates on the right side (JON-3); Catalyst pushes them into ``b``'s scan."""
+    predicates on the right side (JON-3); Catalyst pushes them into ``b``'s scan.
+
+    ``many=True`` when ``b`` can hold many rows per key (a fact table on the right): the join
+    is then planned so that a hot key on ``b`` can be split (see ``left_join_many``). Needs
+    ``on`` as column names.
+    """
+    if many:
+        return left_join_many(a, b, [on] if isinstance(on, str) else list(on))
     return a.join(b, on, "left")
 
 
@@ -72,13 +79,13 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str],
 
 
 def left_join_effective(a: DataFrame, b: DataFrame, on: On, d: dt.date,
-                        from_col: str = "efftv_from_dt", to_col: str = "efftv_to_dt") -> DataFrame:
+                        from_col: str = "efftv_from_dt", to_col: str = "efftv_to_dt", many: bool = False) -> DataFrame:
     """Point-in-time left join (JON-4): key equality and ``from <= d <= to`` on ``b``.
 
     ``d`` is one date for the whole job, so ``b`` is filtered to the rows valid at ``d`` and
     joined on the keys alone: an equi join, not a per-row range join.
     """
-    return left_join(a, effective_on(b, d, from_col, to_col), on)
+    return left_join(a, effective_on(b, d, from_col, to_col), on, many)
 
 
 def left_join_latest(a: DataFrame, b: DataFrame, on: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -86,13 +93,16 @@ def left_join_latest(a: DataFrame, b: DataFrame, on: Sequence[str], order: Seque
     return left_join(a, latest_per_key(b, on, order), list(on))
 
 
-def overlay(spine: DataFrame, primary: DataFrame, secondary: DataFrame, on: Sequence[str]) -> DataFrame:
+def overlay(spine: DataFrame, primary: DataFrame, secondary: DataFrame, on: Sequence[str],
+            many: bool = False) -> DataFrame:
     """A key spine left-joined to two sources on the same key (JON-10).
 
     Both joins share the key, so the spine's hash partitioning is reused by the second join.
-    Give the two sources distinct column names (apart from ``on``) before calling.
+    Give the two sources distinct column names (apart from ``on``) before calling. With
+    ``many=True`` the secondary may hold many rows per key (hot keys included).
     """
-    return spine.join(primary, list(on), "left").join(secondary, list(on), "left")
+    keys = list(on)
+    return left_join(spine.join(primary, keys, "left"), secondary, keys, many)
 
 
 def anti_join(a: DataFrame, b: DataFrame, on: On) -> DataFrame:

@@ -154,8 +154,9 @@ FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey AND o.o_totalpri
 """)
 def q_flag(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_custkey")
-    o = _t(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 450000).select("o_custkey", "o_orderkey")
-    j = J.left_join(c, o, c["c_custkey"] == o["o_custkey"])
+    o = _t(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 450000).select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    j = J.left_join(c, o, "c_custkey", many=True)
     return j.select("c_custkey", "o_orderkey", C.flag("o_orderkey", "HAS", "HAS_NOT").alias("big_order"))
 
 
@@ -296,7 +297,7 @@ def q_left_two_keys(spark, sf_dir):
         "o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(2).alias("seq"))
     li = _t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("seq"), "l_partkey", "l_quantity")
-    return J.left_join(o, li, ["o_orderkey", "seq"])
+    return J.left_join(o, li, ["o_orderkey", "seq"], many=True)
 
 
 @check("q_left_filtered", """
@@ -307,7 +308,7 @@ def q_left_filtered(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_custkey")
     o = _t(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 450000).select(
         F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    return J.left_join(c, o, "c_custkey")
+    return J.left_join(c, o, "c_custkey", many=True)
 
 
 _VALIDITY_SQL = ("SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS efftv_from_dt, "
@@ -337,7 +338,7 @@ FROM customer c LEFT JOIN ({_VALIDITY_SQL}) v
 def q_left_effective(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_custkey")
     v = _validity_rows(spark, sf_dir).withColumnRenamed("o_custkey", "c_custkey")
-    return J.left_join_effective(c, v, "c_custkey", _AS_OF).select("c_custkey", "o_orderkey", "efftv_from_dt")
+    return J.left_join_effective(c, v, "c_custkey", _AS_OF, many=True).select("c_custkey", "o_orderkey", "efftv_from_dt")
 
 
 @check("q_left_chain", """
@@ -353,7 +354,8 @@ def q_left_chain(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").filter(
         (F.col("l_linenumber") == 1) & F.col("l_returnflag").isin("A", "R")).select(
         F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
-    return J.left_join(J.left_join(c, o, "c_custkey"), li, "o_orderkey").select("c_custkey", "o_orderkey", "l_partkey")
+    chain = J.left_join(J.left_join(c, o, "c_custkey", many=True), li, "o_orderkey", many=True)
+    return chain.select("c_custkey", "o_orderkey", "l_partkey")
 
 
 @check("q_anti", """
@@ -559,5 +561,5 @@ def q_overlay(spark, sf_dir):
         [pg_desc("l_shipdate"), pg_desc("l_linenumber"), pg_desc("l_partkey"), pg_desc("l_suppkey")],
     ).select("o_orderkey", F.col("l_partkey").alias("p_part"))
     secondary = li.filter(F.col("l_linenumber") == 1).select("o_orderkey", F.col("l_partkey").alias("s_part"))
-    j = J.overlay(spine, primary, secondary, ["o_orderkey"])
+    j = J.overlay(spine, primary, secondary, ["o_orderkey"], many=True)
     return j.select("o_orderkey", "p_part", "s_part", C.prefer("p_part", "s_part").alias("part_pick"))
