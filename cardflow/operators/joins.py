@@ -106,8 +106,15 @@ def overlay(spine: DataFrame, primary: DataFrame, secondary: DataFrame, on: Sequ
 
 
 def anti_join(a: DataFrame, b: DataFrame, on: On) -> DataFrame:
-    """Correlated ``NOT EXISTS`` on keys (JON-7). NULL keys on either side never match."""
-    return a.join(b, on, "left_anti")
+    """Correlated ``NOT EXISTS`` on keys (JON-7). NULL keys on either side never match.
+
+    With key names, only ``b``'s distinct keys are shuffled: the partial aggregate collapses a
+    key repeated many times in ``b`` before the exchange, which the join then reuses.
+    """
+    if isinstance(on, Column):
+        return a.join(b, on, "left_anti")
+    keys = [on] if isinstance(on, str) else list(on)
+    return a.join(b.select(*keys).distinct(), keys, "left_anti")
 
 
 def listing_stats(listing: DataFrame, key: str) -> tuple[int, int]:
@@ -133,7 +140,7 @@ def exclude_listed(df: DataFrame, key: str, listing: DataFrame, listing_key: str
         return df
     if non_null < n:
         return df.filter(F.lit(False))
-    keys = listing.select(F.col(lk).alias("__listed_key"))
+    keys = listing.select(F.col(lk).alias("__listed_key")).distinct()
     probe = df.filter(F.col(key).isNotNull())
     return probe.join(keys, probe[key] == keys["__listed_key"], "left_anti")
 

@@ -147,8 +147,9 @@ def legacy_rows(app: DataFrame) -> DataFrame:
 def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame, rules: SummaryRules) -> DataFrame:
     """Legacy rows (test rows with both marks set drop), not deduplicated: one output row per
     distinct combination of the joined income element and product override."""
+    # decoded before the DISTINCT: at most one row per (application, income product)
     income = (element.filter(b("element_name") == INCOME_ELEMENT)
-              .select(F.col("app_num"), b("alpha_value").alias("income_value")).distinct())
+              .select(F.col("app_num"), decode(b("alpha_value"), INCOME_PRODUCTS).alias("income_cpc")).distinct())
     override_cpc = (override_rows.filter(F.col("ts2_account_id") > 0)
                     .select(F.col("app_num"), b("client_prod_code").alias("override_cpc")).distinct())
     a = legacy_rows(app).select(
@@ -189,7 +190,7 @@ def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame,
         "stc",
         "queue",
         decode("age_code", AGE_BUCKETS).alias("age_bucket"),
-        _product(F.col("override_cpc"), F.col("income_value"), F.col("app_cpc")).alias("adm_cpc"),
+        F.coalesce(F.col("override_cpc"), F.col("income_cpc"), F.col("app_cpc")).alias("adm_cpc"),
         "cpgn_src_cd",
         _entry_method(F.col("entry_code")).alias("app_entry_method"),
         _status_breakdown(F.col("stc"), F.col("queue")).alias("stc_bkdown"),

@@ -126,10 +126,11 @@ def stamp_rows(df: DataFrame, load_date: dt.date, load_col: str = "data_load_dt"
 def new_keys(batch: DataFrame, history: DataFrame, match_on: Sequence[str]) -> DataFrame:
     """Batch rows whose key is not yet in ``history`` (``NOT EXISTS``).
 
-    Only the key columns of the history are read. Duplicate keys inside the batch all stay:
-    the check sees the history as it was before this load.
+    Only the key columns of the history are read, deduplicated map-side before the shuffle.
+    Duplicate keys inside the batch all stay: the check sees the history as it was before
+    this load.
     """
-    return batch.join(history.select(*match_on), list(match_on), "left_anti")
+    return batch.join(history.select(*match_on).distinct(), list(match_on), "left_anti")
 
 
 def load_new_keys(batch: DataFrame, target: str, match_on: Sequence[str], columns: Sequence[str],
