@@ -81,6 +81,10 @@ DEALER_CAMPAIGN = "IDVPMO"
 RETAIL_DEALER_PRODUCTS = ("WEN", "RCB", "CCA")
 FRANCHISE_DEALER_PRODUCT = "FCB"
 
+# Inputs of the job, by name.
+SUMMARY_INPUTS = ("legacy_app", "legacy_element", "legacy_override", "app", "app_decision", "app_element",
+                  "app_user_data", "app_transfer", "app_account", "account_custom", "excluded_app")
+
 OUTPUT = ["appl_id", "dt_entered", "dt_status", "app_status", "channel", "category", "stc", "queue",
           "age_bucket", "adm_cpc", "product_type", "app_entry_method", "inst_cr", "stc_bkdown"]
 SOURCE_FIELDS = ["dt_entered", "dt_status", "app_status", "channel", "category", "stc", "queue",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardflow.functions.dates import BusinessDate
 from cardflow.plans.adjustment_transactions import ACCOUNTING_FUNCTIONS
-from cardflow.plans.application_summary import SummaryRules
+from cardflow.plans.application_summary import SUMMARY_INPUTS, SummaryRules
 from cardflow.sources.tables import read_table
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -293,8 +293,6 @@ FROM {orders}
 WHERE o_totalprice > 490000""",
 }
 
-SUMMARY_INPUTS = ("legacy_app", "legacy_element", "legacy_override", "app", "app_decision", "app_element",
-                  "app_user_data", "app_transfer", "app_account", "account_custom", "excluded_app")
 
 
 def _tables_used(sql: str) -> list[str]:
