@@ -68,32 +68,33 @@ def append_returning(df: DataFrame, target: str, columns: Sequence[str]) -> Data
 
 
 def _reads_target(df: DataFrame, target: str) -> bool:
-    spark = df.sparkSession
-    if not target_exists(spark, target):
+    """True when the plan of ``df`` reads files under the parquet folder ``target``."""
+    if not target_exists(df.sparkSession, target):
         return False
-    if is_path(target):
-        location = target
-    else:
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()
-        location = next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
-        if location is None:
-            return False
-    loc = location.rstrip("/").replace("file://", "").replace("file:", "")
+    loc = target.rstrip("/").replace("file://", "").replace("file:", "")
     return any(loc in f for f in df.inputFiles())
 
 
 def replace_table(df: DataFrame, target: str) -> None:
     """``DROP TABLE IF EXISTS`` + ``CREATE TABLE AS`` (SNK-3).
 
-    Overwriting a table that the same plan reads would delete its input mid-job, so such a plan
-    is materialised first.
+    Catalog table: the rows are written to a staging table first, then the old table is
+    dropped and the staging table renamed. Until the new rows are completely written the old
+    table stays as it was (a lost job leaves it intact), and a plan that reads its own target
+    needs no special care. Parquet folder: a plan that reads the folder is materialised first
+    (overwriting deletes the folder before writing), then the folder is overwritten.
     """
-    if _reads_target(df, target):
-        df = materialize(df)
+    spark = df.sparkSession
     if is_path(target):
+        if _reads_target(df, target):
+            df = materialize(df)
         df.write.mode("overwrite").parquet(target)
-    else:
-        df.write.mode("overwrite").format("parquet").saveAsTable(target)
+        return
+    staging = f"{target}__staging"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    df.write.format("parquet").saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
 
 
 def report_path(root: str, name: str, bd: BusinessDate, grain: str = "day") -> str:

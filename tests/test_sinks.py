@@ -88,3 +88,18 @@ def test_write_report_dated_name_and_count(spark, scratch):
 def test_history_columns_order():
     assert HISTORY_COLUMNS == ["acct_id", "acct_seq_num", "acct_open_dt", "cpc", "cdf21", "data_bus_dt",
                                "data_load_dt"]
+
+
+def test_failed_replace_keeps_old_catalog_table(spark, scratch):
+    import pytest
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS cardflow_fail LOCATION '{scratch}/dbf'")
+    name = "cardflow_fail.summary"
+    replace_table(spark.createDataFrame([(1,), (2,)], "k long"), name)
+    # a job that fails while its rows are computed (ANSI division by zero at run time)
+    bad = spark.range(5).select((F.lit(1) / (F.col("id") - F.col("id"))).cast("long").alias("k"))
+    with pytest.raises(Exception):
+        replace_table(bad, name)
+    assert sorted(rows(spark.table(name))) == [(1,), (2,)]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}__staging")
