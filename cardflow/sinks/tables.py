@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cardflow.functions.dates import BusinessDate
 from cardflow.session import checkpoint_dir
@@ -27,13 +26,12 @@ def read_target(spark: SparkSession, target: str) -> DataFrame:
 
 
 def target_exists(spark: SparkSession, target: str) -> bool:
+    """Whether the catalog table or folder exists, asked of the catalog or the file system
+    (not by a read that fails)."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    try:
-        spark.read.parquet(target).schema
-        return True
-    except AnalysisException:
-        return False
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))
 
 
 def materialize(df: DataFrame) -> DataFrame:
