@@ -53,12 +53,10 @@ def left_join_many_parts(left: DataFrame, right: DataFrame, on: Sequence[str],
     join (such as a ``DISTINCT``) can run on each half separately."""
     keys = list(on)
     matched = left.join(right, keys, "inner")
-    probe = right.select(*keys) if right_keys is None else right_keys.select(*keys)
+    probe = (right if right_keys is None else right_keys).select(*keys).distinct()
     unmatched = left.join(probe, keys, "left_anti")
-    for f in right.schema.fields:
-        if f.name not in keys:
-            unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return matched, unmatched.select(*matched.columns)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
+    return matched, unmatched.select("*", *nulls).select(*matched.columns)
 
 
 def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str],
