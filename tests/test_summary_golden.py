@@ -54,6 +54,9 @@ def inputs(spark, excluded=((121,),)):
         legacy(114, e, T(2020, 5, 1), status_field=None, acct_cust_data_81="BRANCH"),
         legacy(117, T(2020, 7, 31, 23), T(2020, 8, 1), acct_cust_data_81="BRANCH"),
         legacy(118, T(2020, 8, 1), T(2020, 8, 2), acct_cust_data_81="BRANCH"),
+        legacy(119, T(2020, 8, 15), T(2020, 8, 16), acct_cust_data_81="BRANCH"),
+        legacy(132, e, None, status_field="WITHDRAW", acct_cust_data_81="BRANCH"),
+        legacy(133, e, T(2020, 2, 1), status_field="WITHDRAW", acct_cust_data_81="BRANCH"),
         legacy(120, None, None, acct_cust_data_81="BRANCH"),
         legacy(107, T(2020, 1, 1), None, acct_cust_data_81="BRANCH", client_product_cd="AAA"),
         legacy(107, T(2020, 1, 2), None, acct_cust_data_81="BRANCH", client_product_cd="AAA"),
@@ -90,6 +93,8 @@ def inputs(spark, excluded=((121,),)):
         app(116, T(2020, 1, 6), T(2020, 6, 1), appl_stat_cd="DECLINE", appl_queue_id="QB"),
         app(116, T(2020, 1, 6), T(2020, 6, 1), appl_stat_cd="DECLINE", appl_queue_id="QA"),
         app(120, T(2020, 1, 1), T(2020, 1, 2), to=D(2020, 1, 31)),
+        app(132, T(2020, 1, 6), T(2020, 2, 1), appl_stat_cd="NEWACCOUNT"),
+        app(133, T(2020, 1, 6), None, appl_stat_cd="NEWACCOUNT"),
     ]
     decision = [(102, "OFF1", D(2020, 1, 1), FAR)]
     app_element = [(102, "CHKINCOME", "INCOMEWEN", D(2020, 1, 1), D(2020, 9, 9))]
@@ -178,6 +183,13 @@ def test_newer_legacy_null_value_falls_back(result):
         D(2020, 5, 1), "PENDING", "VOID APP", "DECLINED_OTHER")
 
 
+def test_null_status_day_on_either_side(result):
+    # legacy day NULL: the current source is newer
+    assert (one(result, 132)["app_status"], one(result, 132)["dt_status"]) == ("APPROVED", D(2020, 2, 1))
+    # current day NULL: the legacy source is newer
+    assert (one(result, 133)["app_status"], one(result, 133)["dt_status"]) == ("WITHDRAW APP", D(2020, 2, 1))
+
+
 def test_null_status_date_ranks_first(result):
     r = one(result, 115)
     assert (r["dt_status"], r["app_status"]) == (None, "WITHDRAW APP")
@@ -190,6 +202,7 @@ def test_rank_tie_is_reproducible(result):
 def test_product_cutover(result):
     assert one(result, 117)["product_type"] == "BEFORE"
     assert one(result, 118)["product_type"] == "AFTER"
+    assert one(result, 119)["product_type"] == "AFTER"
     assert one(result, 120)["product_type"] == "ERROR"  # NULL code and NULL entry day
 
 
