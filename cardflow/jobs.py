@@ -25,6 +25,7 @@ from cardflow.plans import (SummaryRules, adjustment_transactions, interest_adju
                             run_daily_application_summary)
 from cardflow.plans.application_summary import SUMMARY_INPUTS
 from cardflow.plans.new_flagged_accounts import run_new_flagged_accounts
+from cardflow.session import apply_recommended_conf
 from cardflow.sinks.tables import read_target, write_report
 
 
@@ -101,7 +102,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rules", help="JSON file with the summary job's site rules")
     args = ap.parse_args(argv)
     tables = dict(t.split("=", 1) for t in args.table)
-    spark = SparkSession.builder.appName(f"cardflow-{args.job}").getOrCreate()
+    spark = apply_recommended_conf(SparkSession.builder.appName(f"cardflow-{args.job}").getOrCreate())
     path, rows = run_job(spark, args.job, BusinessDate(args.run_date), tables, args.output_root, args.format,
                          args.history, args.target, load_rules(args.rules) if args.rules else None)
     print(json.dumps({"job": args.job, "run_date": args.run_date.isoformat(), "path": path, "rows": rows}))

@@ -8,27 +8,43 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings the jobs are designed for (also on a cluster): adaptive execution with skew splitting,
+# also where a split join feeds an aggregate that would otherwise reuse the join's partitioning
+# (AQE then adds the exchange above the partial aggregate), and JIT-friendly code generation.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a fused stage whose method exceeds the JVM's 8000-byte JIT limit runs interpreted;
+    # at this limit Spark compiles such stages operator by operator instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_recommended_conf(spark: SparkSession) -> SparkSession:
+    for key, value in RECOMMENDED_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cardflow") -> SparkSession:
     """Session for tests and the local bench. On a cluster use the session the job is given."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # A fused stage whose method exceeds the JVM's 8000-byte JIT limit runs interpreted;
-        # at this limit Spark compiles such stages operator by operator instead.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Skip capturing a Python call site for every Column call (error-context only): plans
         # with hundreds of expressions are built several times faster.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CARDFLOW_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
     )
+    for key, value in RECOMMENDED_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

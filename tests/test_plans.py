@@ -106,6 +106,13 @@ def test_left_join_many_splits_a_hot_key(spark):
         got = out.collect()
         assert got[0]["n"] == n + n // 3 - 1
         assert "SortMergeJoin(skew=true)" in plan(out, "simple")
+        # the summary's shape: DISTINCT right after the split join (needs forceOptimizeSkewedJoin,
+        # part of the recommended settings; AQE then shuffles above the partial aggregate)
+        matched, _ = J.left_join_many_parts(left, right, ["k"])
+        deduped = matched.distinct()
+        assert deduped.count() == n  # every right row matches and v is unique
+        deduped.collect()
+        assert "SortMergeJoin(skew=true)" in plan(deduped, "simple")
     finally:
         for k, v in old.items():
             if v is None:
