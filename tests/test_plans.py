@@ -83,7 +83,7 @@ def test_summary_joins_share_the_application_key(spark):
     for line in p.splitlines():
         if "Exchange hashpartitioning(" in line:
             keys = line.split("Exchange hashpartitioning(")[1]
-            assert keys.startswith(("appl_id", "app_num", "xfer_acct_id", "o_orderkey", "l_orderkey")), line
+            assert keys.startswith(("appl_id", "app_num", "xfer_acct_id", "__listed_key", "o_orderkey", "l_orderkey")), line
 
 
 def test_left_join_many_splits_a_hot_key(spark):
