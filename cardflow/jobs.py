@@ -65,9 +65,11 @@ def load_rules(path: str) -> SummaryRules:
 
 def run_job(spark: SparkSession, job: str, bd: BusinessDate, tables: Mapping[str, str], output_root: str,
             fmt: str = "csv", history: str | None = None, target: str | None = None,
-            rules: SummaryRules | None = None) -> tuple[str, int]:
-    """Run one report job; returns (export path, exported rows)."""
+            rules: SummaryRules | None = None, report_name: str | None = None) -> tuple[str, int]:
+    """Run one report job; returns (export path, exported rows). ``report_name`` replaces the
+    job's default file-name prefix (the period stamp is always appended)."""
     spec = JOBS[job]
+    name = report_name or spec.report_name
     missing = [n for n in spec.inputs if n not in tables]
     if missing:
         raise ValueError(f"{job}: no location for inputs {missing}")
@@ -75,7 +77,7 @@ def run_job(spark: SparkSession, job: str, bd: BusinessDate, tables: Mapping[str
     if job == "daily_application_summary":
         if rules is None or target is None:
             raise ValueError("daily_application_summary needs rules and a target table")
-        return run_daily_application_summary(inputs, bd, rules, target, output_root, fmt)
+        return run_daily_application_summary(inputs, bd, rules, target, output_root, fmt, name)
     if job == "new_flagged_accounts":
         if history is None:
             raise ValueError("new_flagged_accounts needs the history table")
@@ -86,7 +88,7 @@ def run_job(spark: SparkSession, job: str, bd: BusinessDate, tables: Mapping[str
         report = interest_adjustments_mtd(inputs["txn_detail"], bd)
     else:
         report = adjustment_transactions(inputs["txn_master"])
-    return write_report(report, output_root, spec.report_name, bd, spec.grain, fmt)
+    return write_report(report, output_root, name, bd, spec.grain, fmt)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -100,11 +102,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--history", help="history table of the flagged-accounts job")
     ap.add_argument("--target", help="summary table replaced by the summary job")
     ap.add_argument("--rules", help="JSON file with the summary job's site rules")
+    ap.add_argument("--report-name", help="file-name prefix of the export (default: the job's)")
     args = ap.parse_args(argv)
     tables = dict(t.split("=", 1) for t in args.table)
     spark = apply_recommended_conf(SparkSession.builder.appName(f"cardflow-{args.job}").getOrCreate())
     path, rows = run_job(spark, args.job, BusinessDate(args.run_date), tables, args.output_root, args.format,
-                         args.history, args.target, load_rules(args.rules) if args.rules else None)
+                         args.history, args.target, load_rules(args.rules) if args.rules else None,
+                         args.report_name)
     print(json.dumps({"job": args.job, "run_date": args.run_date.isoformat(), "path": path, "rows": rows}))
     return 0
 

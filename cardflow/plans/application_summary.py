@@ -337,7 +337,8 @@ def _overlay(j: DataFrame, rules: SummaryRules) -> DataFrame:
 
 
 def run_daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate, rules: SummaryRules,
-                                  target: str, report_root: str, fmt: str = "csv") -> tuple[str, int]:
+                                  target: str, report_root: str, fmt: str = "csv",
+                                  report_name: str = "daily_app_summary") -> tuple[str, int]:
     """Full-refresh job (CMP-10): replace ``target`` with today's summary, then export the
     written table under a dated name. Returns (report path, row count)."""
     from cardflow.sinks.tables import read_target, replace_table, write_report
@@ -345,4 +346,4 @@ def run_daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessD
     summary = daily_application_summary(inputs, bd, rules)
     replace_table(summary, target)
     written = read_target(summary.sparkSession, target)
-    return write_report(written, report_root, "daily_app_summary", bd, grain="day", fmt=fmt)
+    return write_report(written, report_root, report_name, bd, grain="day", fmt=fmt)

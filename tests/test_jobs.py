@@ -72,7 +72,8 @@ def test_cli_main(spark, tables, tmp_path, capsys):
     from cardflow.jobs import main
 
     rc = main(["interest_adjustments", "--run-date", BD_MTD.run_date.isoformat(), "--table",
-               f"txn_detail={tables['txn_detail']}", "--output-root", str(tmp_path), "--format", "csv"])
+               f"txn_detail={tables['txn_detail']}", "--output-root", str(tmp_path), "--format", "csv",
+               "--report-name", "INTEREST_ADJ"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert rc == 0 and out["rows"] == E.queries()["q_rpt_interest_adjustments_mtd"](spark, SF).count()
-    assert out["path"].endswith(f"interest_adjustments_{BD_MTD.stamp('month')}")
+    assert out["path"].endswith(f"INTEREST_ADJ_{BD_MTD.stamp('month')}")
