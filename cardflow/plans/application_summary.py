@@ -208,29 +208,34 @@ def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user
     (NULL status date first, then newest validity start), with each joined table's row valid
     on that date. Ties are broken by the remaining columns, ascending, NULLs last."""
     d = bd.as_of
-    top = lambda df, key, order: latest_per_key(df, [key], order)
-
-    a = top(effective_on(app, d).select("appl_id", "entry_dt", "curr_stat_dt", "efftv_from_dt", "appl_stat_cd",
-                                        "acqsn_channel_cd", "appl_queue_id", "appl_age_bucket"),
-            "appl_id",
-            [pg_desc("curr_stat_dt"), pg_desc("efftv_from_dt"), pg_asc("entry_dt"), pg_asc("appl_stat_cd"),
-             pg_asc("acqsn_channel_cd"), pg_asc("appl_queue_id"), pg_asc("appl_age_bucket")])
-    dec = top(effective_on(decision, d).select("appl_id", "data_entry_off_num"), "appl_id",
-              [pg_asc("data_entry_off_num")])
-    inc = top(effective_on(element, d).filter(b("ele_elmt_nm") == INCOME_ELEMENT).select("appl_id", "ele_alph_val"),
-              "appl_id", [pg_asc("ele_alph_val")])
-    usr = top(effective_on(user_data, d).select("appl_id", "user_1_byte_12"), "appl_id", [pg_asc("user_1_byte_12")])
-    xfer = top(effective_on(transfer, d).filter(F.col("acct_id") > 0)
-               .select("appl_id", F.col("acct_id").alias("xfer_acct_id"), F.col("clnt_prod_cd").alias("xfer_cpc")),
-               "appl_id", [pg_asc("xfer_cpc"), pg_asc("xfer_acct_id")])
-    cdf = top(effective_on(account_custom, d)
-              .filter((F.col("acct_seq_num") == 0) & F.col("custom_21_data").isin(list(INSTALMENT_CODES)))
-              .select(F.col("acct_id").alias("xfer_acct_id"), F.col("custom_21_data").alias("inst_cr")),
-              "xfer_acct_id", [pg_asc("inst_cr")])
+
+    def valid_top(df: DataFrame, key: str, columns: Sequence, order: Sequence[Column],
+                  where: Column | None = None) -> DataFrame:
+        """Rows valid on ``d`` (and matching ``where``), reduced to the top row per ``key``."""
+        rows = effective_on(df, d)
+        rows = rows if where is None else rows.filter(where)
+        return latest_per_key(rows.select(*columns), [key], order)
+
+    a = valid_top(app, "appl_id",
+                  ["appl_id", "entry_dt", "curr_stat_dt", "efftv_from_dt", "appl_stat_cd", "acqsn_channel_cd",
+                   "appl_queue_id", "appl_age_bucket"],
+                  [pg_desc("curr_stat_dt"), pg_desc("efftv_from_dt"), pg_asc("entry_dt"), pg_asc("appl_stat_cd"),
+                   pg_asc("acqsn_channel_cd"), pg_asc("appl_queue_id"), pg_asc("appl_age_bucket")])
+    dec = valid_top(decision, "appl_id", ["appl_id", "data_entry_off_num"], [pg_asc("data_entry_off_num")])
+    inc = valid_top(element, "appl_id", ["appl_id", "ele_alph_val"], [pg_asc("ele_alph_val")],
+                    where=b("ele_elmt_nm") == INCOME_ELEMENT)
+    usr = valid_top(user_data, "appl_id", ["appl_id", "user_1_byte_12"], [pg_asc("user_1_byte_12")])
+    xfer = valid_top(transfer, "appl_id",
+                     ["appl_id", F.col("acct_id").alias("xfer_acct_id"), F.col("clnt_prod_cd").alias("xfer_cpc")],
+                     [pg_asc("xfer_cpc"), pg_asc("xfer_acct_id")], where=F.col("acct_id") > 0)
+    cdf = valid_top(account_custom, "xfer_acct_id",
+                    [F.col("acct_id").alias("xfer_acct_id"), F.col("custom_21_data").alias("inst_cr")],
+                    [pg_asc("inst_cr")],
+                    where=(F.col("acct_seq_num") == 0) & F.col("custom_21_data").isin(list(INSTALMENT_CODES)))
+    acct = valid_top(account, "appl_id",
+                     ["appl_id", "custom_data_60", "custom_data_62", F.col("clnt_prod_cd").alias("acct_cpc")],
+                     [pg_asc("custom_data_60"), pg_asc("custom_data_62"), pg_asc("acct_cpc")])
     xfer_cdf = xfer.join(cdf, "xfer_acct_id", "left").select("appl_id", "xfer_cpc", "inst_cr")
-    acct = top(effective_on(account, d).select("appl_id", "custom_data_60", "custom_data_62",
-                                               F.col("clnt_prod_cd").alias("acct_cpc")),
-               "appl_id", [pg_asc("custom_data_60"), pg_asc("custom_data_62"), pg_asc("acct_cpc")])
 
     j = (a.join(dec, "appl_id", "left").join(inc, "appl_id", "left").join(usr, "appl_id", "left")
          .join(xfer_cdf, "appl_id", "left").join(acct, "appl_id", "left"))

@@ -21,14 +21,16 @@ from cardflow.sinks.tables import append_rows, load_new_keys, read_target, repla
 
 # ---------------------------------------------------------------- RPT-3
 RPT3_SQL = f"""
-{input_cte(["txn_detail"])}
-SELECT LPAD(CAST(acct_id AS VARCHAR), 11, '0') AS acct_id, acct_seq_num, txn_posted_dt, txn_dt, txn_trans_cd,
-       merch_nm, txn_amt
-FROM txn_detail
-WHERE acct_seq_num = 0 AND txn_trans_cd = '0162'
-  AND (merch_nm = 'EPP INTEREST ADJUST' OR merch_nm = 'AJUST INTÉRÊTS PPE')
-  AND txn_posted_dt BETWEEN date_trunc('month', DATE '{BD_MTD.run_date}' - INTERVAL 1 DAY)
-                        AND DATE '{BD_MTD.run_date}' - INTERVAL 1 DAY
+{input_cte(["txn_detail"])},
+window_bounds AS (
+  SELECT CAST(date_trunc('month', DATE '{BD_MTD.as_of}') AS TIMESTAMP) AS lo,
+         CAST(DATE '{BD_MTD.as_of}' AS TIMESTAMP) AS hi)
+SELECT lpad(CAST(t.acct_id AS VARCHAR), 11, '0') AS acct_id, t.acct_seq_num, t.txn_posted_dt, t.txn_dt,
+       t.txn_trans_cd, t.merch_nm, t.txn_amt
+FROM txn_detail t, window_bounds w
+WHERE t.txn_posted_dt >= w.lo AND t.txn_posted_dt <= w.hi
+  AND t.acct_seq_num = 0 AND t.txn_trans_cd = '0162'
+  AND t.merch_nm IN ('EPP INTEREST ADJUST', 'AJUST INTÉRÊTS PPE')
 """
 
 
@@ -40,15 +42,14 @@ def q_rpt_interest_adjustments_mtd(spark, sf_dir):
 # ---------------------------------------------------------------- RPT-2
 @check("q_rpt_plan_postings_mtd", f"""
 {input_cte(["plan_txn", "plan_code"])}
-SELECT B.bt_desc AS epp_desc, LPAD(CAST(A.acct_id AS VARCHAR), 11, '0') AS acct_id, A.acct_seq_num,
-       A.txn_post_dt AS epp_posted_dt, A.txn_dt AS epp_txn_dt, A.txn_exp_dt AS epp_expiry_dt,
-       A.txn_amt AS epp_txn_amt, A.pmt_rte AS monthly_epp_pymt_amt
-FROM plan_txn A, plan_code B
-WHERE A.txn_lvl_proc_option_set_id = CAST(B.tlp_option_set AS VARCHAR)
-  AND A.reasgned_txn_cat_cd = CAST(B.tcat_cd AS VARCHAR)
-  AND B.tcat_cd IN (2010, 2011)
-  AND A.txn_post_dt >= date_trunc('month', DATE '{BD_MTD.run_date}' - INTERVAL 1 DAY)
-  AND A.txn_post_dt < DATE '{BD_MTD.run_date}'
+SELECT c.bt_desc AS epp_desc, lpad(CAST(t.acct_id AS VARCHAR), 11, '0') AS acct_id, t.acct_seq_num,
+       t.txn_post_dt AS epp_posted_dt, t.txn_dt AS epp_txn_dt, t.txn_exp_dt AS epp_expiry_dt,
+       t.txn_amt AS epp_txn_amt, t.pmt_rte AS monthly_epp_pymt_amt
+FROM plan_txn t
+JOIN (SELECT * FROM plan_code WHERE tcat_cd IN (2010, 2011)) c
+  ON t.txn_lvl_proc_option_set_id = CAST(c.tlp_option_set AS VARCHAR)
+ AND t.reasgned_txn_cat_cd = CAST(c.tcat_cd AS VARCHAR)
+WHERE t.txn_post_dt >= DATE '{BD_MTD.month_start}' AND t.txn_post_dt < DATE '{BD_MTD.run_date}'
 """)
 def q_rpt_plan_postings_mtd(spark, sf_dir):
     i = report_inputs(spark, sf_dir, ["plan_txn", "plan_code"])
@@ -56,19 +57,18 @@ def q_rpt_plan_postings_mtd(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- RPT-4
-_FUNC_CASE = ("CASE " + " ".join(f"WHEN acctg_func_cd = '{k}' THEN '{v}'" for k, v in ACCOUNTING_FUNCTIONS.items())
-              + " ELSE 'ERROR' END")
+_FUNC_LABELS = ", ".join(f"('{k}', '{v}')" for k, v in ACCOUNTING_FUNCTIONS.items())
 
 
 @check("q_rpt_adjustment_transactions", f"""
-{input_cte(["txn_master"])}
-SELECT LPAD(CAST(acct_id AS VARCHAR), 11, '0') AS acct_id, acct_seq_num, txn_posted_dt, txn_dt,
-       LPAD(CAST(outpt_txn_intrnl_cd AS VARCHAR), 4, '0') AS trans_cd,
-       {_FUNC_CASE} AS acctg_func,
-       merch_nm,
-       CASE WHEN db_cr_cd = 'C' THEN txn_amt ELSE txn_amt END AS txn_amt
-FROM txn_master
-WHERE txn_src_cd = 'BO' AND acctg_func_cd <> 'PAY'
+{input_cte(["txn_master"])},
+func_labels(code, label) AS (VALUES {_FUNC_LABELS})
+SELECT lpad(CAST(m.acct_id AS VARCHAR), 11, '0') AS acct_id, m.acct_seq_num, m.txn_posted_dt, m.txn_dt,
+       lpad(CAST(m.outpt_txn_intrnl_cd AS VARCHAR), 4, '0') AS trans_cd,
+       coalesce(f.label, 'ERROR') AS acctg_func, m.merch_nm, m.txn_amt
+FROM txn_master m
+LEFT JOIN func_labels f ON f.code = m.acctg_func_cd
+WHERE m.txn_src_cd = 'BO' AND m.acctg_func_cd IS NOT NULL AND m.acctg_func_cd <> 'PAY'
 """)
 def q_rpt_adjustment_transactions(spark, sf_dir):
     return adjustment_transactions(report_input(spark, sf_dir, "txn_master"))
@@ -76,34 +76,32 @@ def q_rpt_adjustment_transactions(spark, sf_dir):
 
 # ---------------------------------------------------------------- RPT-1
 _RPT1_INPUTS = ["account_snapshot", "flag_history", "account_master"]
-_DELTA_CTE = f"""
-ref_date AS (
-  SELECT strftime(DATE '{BD_FLAGGED.run_date}' - INTERVAL 1 DAY, '%Y_%m') AS target_month,
-         CAST(DATE '{BD_FLAGGED.run_date}' - INTERVAL 1 DAY AS DATE) AS target_date),
-delta_raw AS (
-  SELECT a.acct_id, a.acct_seq_num, a.acct_open_dt, a.cpc, a.inst_credit AS cdf21,
-         CAST(a.lastday_month AS DATE) AS data_bus_dt, DATE '{BD_FLAGGED.run_date}' AS data_load_dt
-  FROM account_snapshot a CROSS JOIN ref_date
-  WHERE a.eff_dt_yymm = ref_date.target_month
-    AND a.inst_credit IN ('IP', 'IC', 'VP', 'VC', 'VF')
-    AND a.acct_seq_num = 0
-    AND NOT EXISTS (SELECT 1 FROM flag_history b WHERE b.acct_id = a.acct_id))"""
+_FLAGGED_CTE = f"""
+flagged AS (
+  SELECT s.acct_id, s.acct_seq_num, s.acct_open_dt, s.cpc, s.inst_credit AS cdf21,
+         CAST(s.lastday_month AS DATE) AS data_bus_dt, DATE '{BD_FLAGGED.run_date}' AS data_load_dt
+  FROM account_snapshot s
+  LEFT JOIN (SELECT DISTINCT acct_id FROM flag_history) seen ON seen.acct_id = s.acct_id
+  WHERE seen.acct_id IS NULL
+    AND s.eff_dt_yymm = strftime(DATE '{BD_FLAGGED.as_of}', '%Y_%m')
+    AND s.acct_seq_num = 0
+    AND s.inst_credit IN ('IP', 'IC', 'VP', 'VC', 'VF'))"""
 
 RPT1_SQL = f"""
 {input_cte(_RPT1_INPUTS)},
-{_DELTA_CTE}
-SELECT e.name, e.name_emboss, e.state_prov_code AS prov, e.zip_postal_code AS postal_code, d.cpc, d.cdf21,
-       CAST(d.acct_open_dt AS DATE) AS acct_open_dt, LPAD(CAST(d.acct_id AS VARCHAR), 11, '0') AS acct_id
-FROM delta_raw d CROSS JOIN ref_date
-LEFT JOIN account_master e
-  ON d.acct_id = e.acct_id AND d.acct_seq_num = e.acct_seq_num
- AND e.efftv_from_dt <= ref_date.target_date AND e.efftv_to_dt >= ref_date.target_date
+{_FLAGGED_CTE},
+master_then AS (
+  SELECT * FROM account_master WHERE DATE '{BD_FLAGGED.as_of}' BETWEEN efftv_from_dt AND efftv_to_dt)
+SELECT m.name, m.name_emboss, m.state_prov_code AS prov, m.zip_postal_code AS postal_code, f.cpc, f.cdf21,
+       CAST(f.acct_open_dt AS DATE) AS acct_open_dt, lpad(CAST(f.acct_id AS VARCHAR), 11, '0') AS acct_id
+FROM flagged f
+LEFT JOIN master_then m ON m.acct_id = f.acct_id AND m.acct_seq_num = f.acct_seq_num
 """
 
 DELTA_SQL = f"""
 {input_cte(["account_snapshot", "flag_history"])},
-{_DELTA_CTE}
-SELECT * FROM delta_raw
+{_FLAGGED_CTE}
+SELECT * FROM flagged
 """
 
 
@@ -154,187 +152,191 @@ def q_report_export(spark, sf_dir):
 
 # ---------------------------------------------------------------- RPT-5
 def _summary_sql() -> str:
+    """The summary in DuckDB, written independently of the DataFrame code: blank-to-NULL values
+    are computed once per source, labels come from lookup tables, the current source is ranked
+    over the full fan-out of its joins, and the final rows are deduplicated at the end."""
     r, bd = SUMMARY_RULES, BD_SUMMARY
-    run, asof = f"DATE '{bd.run_date}'", f"CAST(DATE '{bd.run_date}' - INTERVAL 1 DAY AS DATE)"
+    as_of = f"DATE '{bd.as_of}'"
     care_lo, care_hi = r.care_window
-    product_whens = "\n".join(
-        "              WHEN COALESCE(ADASTRA.ADM_CPC, TA.ADM_CPC) IN ("
-        + ", ".join(f"'{c}'" for c in codes) + f") THEN '{label}'"
-        for codes, label in r.product_labels)
-    valid = lambda t: f"{t}.EFFTV_FROM_DT <= {asof} AND {t}.EFFTV_TO_DT >= {asof}"
-    newer = "COALESCE(ADASTRA.DT_STATUS, DATE '1900-01-01') >= COALESCE(TA.DT_STATUS, DATE '1900-01-01')"
+    product_rows = ", ".join(f"('{c}', '{label}')" for codes, label in r.product_labels for c in codes)
+
+    def valid(t: str) -> str:
+        return f"{as_of} BETWEEN {t}.efftv_from_dt AND {t}.efftv_to_dt"
+
+    def overlay(field: str) -> str:
+        return (f"CASE WHEN cur_first THEN coalesce(c_{field}, l_{field}) "
+                f"ELSE coalesce(l_{field}, c_{field}) END")
+
     return f"""
 {input_cte(SUMMARY_INPUTS)},
-BASE_APP AS (
-    SELECT APP_NUM AS APPL_ID, CAST(DT_ENTERED AS DATE) AS DT_ENTERED FROM legacy_app
+status_labels(code, label) AS (VALUES ('NEWACCOUNT', 'APPROVED'), ('DECLINE', 'DECLINED'),
+    ('NORESPONSE', 'DECLINED'), ('REJECTOFFR', 'REJECT OFFER'), ('VOID APP', 'VOID APP'),
+    ('WITHDRAW', 'WITHDRAW APP')),
+age_labels(code, label) AS (VALUES ('A', '30+ DAYS'), ('B', '21 - 30 DAYS'), ('C', '16 - 20 DAYS'),
+    ('D', '11 - 15 DAYS'), ('E', '6 - 10 DAYS'), ('F', 'DAY 5'), ('G', 'DAY 4'), ('H', 'DAY 3'), ('I', 'DAY 2'),
+    ('J', 'DAY 1'), ('K', 'DAY 0')),
+income_codes(code, product) AS (VALUES ('INCOMEWEN', 'WEN'), ('INCOMERCB', 'RCB')),
+product_labels(code, label) AS (VALUES {product_rows}),
+app_days AS (
+    SELECT app_num AS id, CAST(dt_entered AS DATE) AS entered_day FROM legacy_app
     UNION
-    SELECT APPL_ID, CAST(ENTRY_DT AS DATE) AS DT_ENTERED FROM app
-    WHERE NULLIF(TRIM(APPL_STRGY_CD), '') <> '{r.excluded_strategy}'
+    SELECT appl_id, CAST(entry_dt AS DATE) FROM app WHERE nullif(trim(appl_strgy_cd), '') <> '{r.excluded_strategy}'
+),
+legacy_norm AS (
+    SELECT app_num AS id, CAST(dt_entered AS DATE) AS entered_day, CAST(dt_status AS DATE) AS status_day,
+           nullif(trim(status_field), '') AS stc, nullif(trim(acct_cust_data_81), '') AS ch,
+           nullif(trim(data_entry_officer), '') AS officer, nullif(trim(user_20_byte_9), '') AS addr,
+           nullif(trim(user_75_byte_1), '') AS mail, nullif(trim(acct_cust_data_60), '') AS cat,
+           nullif(trim(af_queue_id), '') AS queue, age_bucket AS age_code,
+           nullif(trim(client_product_cd), '') AS own_cpc, nullif(trim(acct_cust_data_62), '') AS campaign,
+           nullif(trim(user_1_byte_12), '') AS entry
+    FROM legacy_app
+    WHERE nullif(trim(test_app_sw), '') IS NULL OR nullif(trim(test_acct_flag), '') IS NULL
+),
+legacy_joined AS (
+    SELECT n.*, o.ovr_cpc, i.income_value
+    FROM legacy_norm n
+    LEFT JOIN (SELECT app_num AS id, nullif(trim(alpha_value), '') AS income_value FROM legacy_element
+               WHERE nullif(trim(element_name), '') = 'CHKINCOME') i ON i.id = n.id
+    LEFT JOIN (SELECT app_num AS id, nullif(trim(client_prod_code), '') AS ovr_cpc FROM legacy_override
+               WHERE ts2_account_id > 0) o ON o.id = n.id
+),
+legacy AS (
+    SELECT j.id, j.entered_day, j.status_day, coalesce(sl.label, 'PENDING') AS app_status,
+           CASE WHEN j.ch IS NULL AND j.officer IS NOT NULL THEN 'OTHER'
+                WHEN j.ch = 'TCALLCEN' AND j.entered_day BETWEEN DATE '{care_lo}' AND DATE '{care_hi}'
+                     AND j.addr = '{r.care_address}' THEN 'CARE'
+                WHEN j.ch = 'TCALLCEN' AND j.entered_day BETWEEN DATE '{care_lo}' AND DATE '{care_hi}'
+                     AND starts_with(j.addr, '{r.cis_address_prefix}') THEN 'CIS'
+                WHEN j.ch IN ('RCORRETL', 'RDEALER', 'FCORRETL', 'FDEALER')
+                     AND contains(j.mail, '{r.intercept_mail_fragment}') THEN 'INTERCEP'
+                WHEN j.ch IN ('TCALLCEN', 'TMS') THEN 'TCALLCEN'
+                WHEN j.ch IS NULL AND j.officer IS NULL THEN 'ERROR'
+                ELSE j.ch END AS channel,
+           CASE WHEN j.cat IS NULL THEN 'BLANK APPLICATIONS'
+                WHEN left(j.cat, 1) = '3' THEN 'EMPLOYEE PROGRAM'
+                WHEN left(j.cat, 1) IN ('0', '1', '2', '4', '5', '7', '8', '9') THEN 'PREAPPROVED'
+                ELSE 'ERROR' END AS category,
+           j.stc, j.queue, al.label AS age_bucket,
+           coalesce(j.ovr_cpc, ic.product, j.own_cpc) AS adm_cpc, j.campaign AS cpgn_src_cd,
+           CASE WHEN j.entry IS NULL OR j.entry = 'I' THEN 'INST_APP' WHEN j.entry = 'A' THEN 'ASTRUM'
+                WHEN j.entry = 'D' THEN 'DE_WEB' ELSE 'ERROR' END AS app_entry_method,
+           CASE WHEN j.stc IS NULL THEN 'DECLINED_OTHER'
+                WHEN j.stc = 'NEWACCOUNT' THEN 'APPROVED'
+                WHEN sl.code IS NULL THEN 'PENDING'
+                WHEN j.queue IN ('DECSIN', 'DECLBUR', 'DECPABUR') THEN 'DECLINED_CREDIT'
+                ELSE 'DECLINED_OTHER' END AS stc_bkdown
+    FROM legacy_joined j
+    LEFT JOIN status_labels sl ON sl.code = j.stc
+    LEFT JOIN age_labels al ON al.code = j.age_code
+    LEFT JOIN income_codes ic ON ic.code = j.income_value
+),
+current_fanout AS (
+    SELECT a.appl_id AS id, a.entry_dt, a.curr_stat_dt, a.appl_stat_cd, a.acqsn_channel_cd, a.appl_queue_id,
+           a.appl_age_bucket, b.data_entry_off_num, de.ele_alph_val, e.user_1_byte_12, f.clnt_prod_cd AS xfer_cpc,
+           x.custom_21_data, g.custom_data_60, g.custom_data_62, g.clnt_prod_cd AS acct_cpc,
+           row_number() OVER (PARTITION BY a.appl_id
+               ORDER BY a.curr_stat_dt DESC NULLS FIRST, a.efftv_from_dt DESC NULLS FIRST,
+                        a.entry_dt, a.appl_stat_cd, a.acqsn_channel_cd, a.appl_queue_id, a.appl_age_bucket,
+                        b.data_entry_off_num, de.ele_alph_val, e.user_1_byte_12, f.clnt_prod_cd, f.acct_id,
+                        x.custom_21_data, g.custom_data_60, g.custom_data_62, g.clnt_prod_cd) AS pick
+    FROM (SELECT * FROM app a WHERE {valid("a")}) a
+    LEFT JOIN (SELECT * FROM app_decision b WHERE {valid("b")}) b ON b.appl_id = a.appl_id
+    LEFT JOIN (SELECT * FROM app_element de WHERE {valid("de")}
+               AND nullif(trim(ele_elmt_nm), '') = 'CHKINCOME') de ON de.appl_id = a.appl_id
+    LEFT JOIN (SELECT * FROM app_user_data e WHERE {valid("e")}) e ON e.appl_id = a.appl_id
+    LEFT JOIN (SELECT * FROM app_transfer f WHERE {valid("f")} AND acct_id > 0) f ON f.appl_id = a.appl_id
+    LEFT JOIN (SELECT * FROM app_account g WHERE {valid("g")}) g ON g.appl_id = a.appl_id
+    LEFT JOIN (SELECT * FROM account_custom x WHERE {valid("x")} AND acct_seq_num = 0
+               AND custom_21_data IN ('EI', 'IC', 'IP', 'VC', 'VF', 'VP')) x ON x.acct_id = f.acct_id
+),
+current_norm AS (
+    SELECT id, CAST(entry_dt AS DATE) AS entered_day, CAST(curr_stat_dt AS DATE) AS status_day,
+           nullif(trim(appl_stat_cd), '') AS stc, nullif(trim(acqsn_channel_cd), '') AS ch,
+           nullif(trim(data_entry_off_num), '') AS officer, appl_queue_id AS queue,
+           nullif(trim(appl_queue_id), '') AS queue_norm, appl_age_bucket AS age_code,
+           nullif(trim(custom_data_60), '') AS cat, nullif(trim(custom_data_62), '') AS campaign,
+           coalesce(nullif(trim(xfer_cpc), ''), ic.product, nullif(trim(acct_cpc), '')) AS adm_cpc,
+           user_1_byte_12 AS entry, custom_21_data
+    FROM current_fanout
+    LEFT JOIN income_codes ic ON ic.code = nullif(trim(ele_alph_val), '')
+    WHERE pick = 1
 ),
-TA AS (
-    SELECT A.APP_NUM AS APPL_ID,
-           CAST(A.DT_ENTERED AS DATE) AS DT_ENTERED,
-           CAST(A.DT_STATUS AS DATE) AS DT_STATUS,
-           CASE WHEN NULLIF(TRIM(A.STATUS_FIELD), '') = 'NEWACCOUNT' THEN 'APPROVED'
-                WHEN NULLIF(TRIM(A.STATUS_FIELD), '') IN ('DECLINE', 'NORESPONSE') THEN 'DECLINED'
-                WHEN NULLIF(TRIM(A.STATUS_FIELD), '') = 'REJECTOFFR' THEN 'REJECT OFFER'
-                WHEN NULLIF(TRIM(A.STATUS_FIELD), '') = 'VOID APP' THEN 'VOID APP'
-                WHEN NULLIF(TRIM(A.STATUS_FIELD), '') = 'WITHDRAW' THEN 'WITHDRAW APP'
-                ELSE 'PENDING' END AS APP_STATUS,
-           CASE WHEN NULLIF(TRIM(A.ACCT_CUST_DATA_81), '') IS NULL
-                     AND NULLIF(TRIM(A.DATA_ENTRY_OFFICER), '') IS NOT NULL THEN 'OTHER'
-                WHEN NULLIF(TRIM(A.ACCT_CUST_DATA_81), '') = 'TCALLCEN'
-                     AND CAST(A.DT_ENTERED AS DATE) BETWEEN DATE '{care_lo}' AND DATE '{care_hi}'
-                     AND NULLIF(TRIM(A.USER_20_BYTE_9), '') = '{r.care_address}' THEN 'CARE'
-                WHEN NULLIF(TRIM(A.ACCT_CUST_DATA_81), '') = 'TCALLCEN'
-                     AND CAST(A.DT_ENTERED AS DATE) BETWEEN DATE '{care_lo}' AND DATE '{care_hi}'
-                     AND NULLIF(TRIM(A.USER_20_BYTE_9), '') LIKE '{r.cis_address_prefix}%' THEN 'CIS'
-                WHEN NULLIF(TRIM(A.ACCT_CUST_DATA_81), '') IN ('RCORRETL', 'RDEALER', 'FCORRETL', 'FDEALER')
-                     AND NULLIF(TRIM(A.USER_75_BYTE_1), '') LIKE '%{r.intercept_mail_fragment}%' THEN 'INTERCEP'
-                WHEN NULLIF(TRIM(A.ACCT_CUST_DATA_81), '') IN ('TCALLCEN', 'TMS') THEN 'TCALLCEN'
-                WHEN NULLIF(TRIM(A.ACCT_CUST_DATA_81), '') IS NULL
-                     AND NULLIF(TRIM(A.DATA_ENTRY_OFFICER), '') IS NULL THEN 'ERROR'
-                ELSE NULLIF(TRIM(A.ACCT_CUST_DATA_81), '') END AS CHANNEL,
-           CASE WHEN NULLIF(TRIM(A.ACCT_CUST_DATA_60), '') IS NULL THEN 'BLANK APPLICATIONS'
-                WHEN SUBSTR(NULLIF(TRIM(A.ACCT_CUST_DATA_60), ''), 1, 1) = '3' THEN 'EMPLOYEE PROGRAM'
-                WHEN SUBSTR(NULLIF(TRIM(A.ACCT_CUST_DATA_60), ''), 1, 1) IN ('0','1','2','4','5','7','8','9')
-                     THEN 'PREAPPROVED'
-                ELSE 'ERROR' END AS CATEGORY,
-           NULLIF(TRIM(A.STATUS_FIELD), '') AS STC,
-           NULLIF(TRIM(A.AF_QUEUE_ID), '') AS QUEUE,
-           CASE WHEN A.AGE_BUCKET = 'A' THEN '30+ DAYS' WHEN A.AGE_BUCKET = 'B' THEN '21 - 30 DAYS'
-                WHEN A.AGE_BUCKET = 'C' THEN '16 - 20 DAYS' WHEN A.AGE_BUCKET = 'D' THEN '11 - 15 DAYS'
-                WHEN A.AGE_BUCKET = 'E' THEN '6 - 10 DAYS' WHEN A.AGE_BUCKET = 'F' THEN 'DAY 5'
-                WHEN A.AGE_BUCKET = 'G' THEN 'DAY 4' WHEN A.AGE_BUCKET = 'H' THEN 'DAY 3'
-                WHEN A.AGE_BUCKET = 'I' THEN 'DAY 2' WHEN A.AGE_BUCKET = 'J' THEN 'DAY 1'
-                WHEN A.AGE_BUCKET = 'K' THEN 'DAY 0' ELSE NULL END AS AGE_BUCKET,
-           COALESCE(NULLIF(TRIM(F.CLIENT_PROD_CODE), ''),
-                    CASE WHEN NULLIF(TRIM(DE.ALPHA_VALUE), '') = 'INCOMEWEN' THEN 'WEN'
-                         WHEN NULLIF(TRIM(DE.ALPHA_VALUE), '') = 'INCOMERCB' THEN 'RCB' ELSE NULL END,
-                    NULLIF(TRIM(A.CLIENT_PRODUCT_CD), '')) AS ADM_CPC,
-           NULLIF(TRIM(A.ACCT_CUST_DATA_62), '') AS CPGN_SRC_CD,
-           CASE WHEN NULLIF(TRIM(A.USER_1_BYTE_12), '') = 'A' THEN 'ASTRUM'
-                WHEN NULLIF(TRIM(A.USER_1_BYTE_12), '') = 'D' THEN 'DE_WEB'
-                WHEN NULLIF(TRIM(A.USER_1_BYTE_12), '') IS NULL
-                     OR NULLIF(TRIM(A.USER_1_BYTE_12), '') = 'I' THEN 'INST_APP'
-                ELSE 'ERROR' END AS APP_ENTRY_METHOD,
-           CASE WHEN NULLIF(TRIM(A.STATUS_FIELD), '') NOT IN
-                     ('NEWACCOUNT','DECLINE','NORESPONSE','REJECTOFFR','VOID APP','WITHDRAW') THEN 'PENDING'
-                WHEN NULLIF(TRIM(A.STATUS_FIELD), '') = 'NEWACCOUNT' THEN 'APPROVED'
-                WHEN NULLIF(TRIM(A.STATUS_FIELD), '') IN ('DECLINE','NORESPONSE','REJECTOFFR','VOID APP','WITHDRAW')
-                     AND NULLIF(TRIM(A.AF_QUEUE_ID), '') IN ('DECSIN','DECLBUR','DECPABUR') THEN 'DECLINED_CREDIT'
-                ELSE 'DECLINED_OTHER' END AS STC_BKDOWN
-    FROM legacy_app A
-    LEFT JOIN legacy_element DE ON A.APP_NUM = DE.APP_NUM AND NULLIF(TRIM(DE.ELEMENT_NAME), '') = 'CHKINCOME'
-    LEFT JOIN legacy_override F ON A.APP_NUM = F.APP_NUM AND F.TS2_ACCOUNT_ID > 0
-    WHERE NULLIF(TRIM(A.TEST_APP_SW), '') IS NULL OR NULLIF(TRIM(A.TEST_ACCT_FLAG), '') IS NULL
+"current" AS (
+    SELECT n.id, n.entered_day, n.status_day, coalesce(sl.label, 'PENDING') AS app_status,
+           CASE WHEN n.ch IS NULL AND n.officer IS NOT NULL THEN 'OTHER'
+                WHEN n.ch IN ('TCALLCEN', 'TMS') THEN 'TCALLCEN'
+                ELSE n.ch END AS channel,
+           CASE WHEN n.cat IS NULL THEN 'BLANK APPLICATIONS'
+                WHEN left(n.cat, 1) = '3' THEN 'EMPLOYEE PROGRAM'
+                WHEN left(n.cat, 1) IN ('0', '1', '2', '4', '5', '7', '8', '9') THEN 'PREAPPROVED'
+                ELSE 'ERROR' END AS category,
+           n.stc, n.queue, al.label AS age_bucket, n.adm_cpc, n.campaign AS cpgn_src_cd,
+           CASE WHEN n.entry IS NULL OR n.entry = 'I' THEN 'INST_APP' WHEN n.entry = 'A' THEN 'ASTRUM'
+                WHEN n.entry = 'D' THEN 'DE_WEB' ELSE 'ERROR' END AS app_entry_method,
+           n.custom_21_data AS inst_code,
+           CASE WHEN n.stc IS NULL THEN 'DECLINED_OTHER'
+                WHEN n.stc = 'NEWACCOUNT' THEN 'APPROVED'
+                WHEN sl.code IS NULL THEN 'PENDING'
+                WHEN n.queue_norm IN ('DECSIN', 'DECLBUR', 'DECPABUR') THEN 'DECLINED_CREDIT'
+                ELSE 'DECLINED_OTHER' END AS stc_bkdown
+    FROM current_norm n
+    LEFT JOIN status_labels sl ON sl.code = n.stc
+    LEFT JOIN age_labels al ON al.code = n.age_code
 ),
-ADASTRA AS (
-    SELECT ROW_NUMBER() OVER (
-               PARTITION BY A.APPL_ID
-               ORDER BY A.CURR_STAT_DT DESC NULLS FIRST, A.EFFTV_FROM_DT DESC NULLS FIRST,
-                        A.ENTRY_DT ASC NULLS LAST, A.APPL_STAT_CD ASC NULLS LAST, A.ACQSN_CHANNEL_CD ASC NULLS LAST,
-                        A.APPL_QUEUE_ID ASC NULLS LAST, A.APPL_AGE_BUCKET ASC NULLS LAST,
-                        B.DATA_ENTRY_OFF_NUM ASC NULLS LAST, DE.ELE_ALPH_VAL ASC NULLS LAST,
-                        E.USER_1_BYTE_12 ASC NULLS LAST, F.CLNT_PROD_CD ASC NULLS LAST, F.ACCT_ID ASC NULLS LAST,
-                        CDF.CUSTOM_21_DATA ASC NULLS LAST, G.CUSTOM_DATA_60 ASC NULLS LAST,
-                        G.CUSTOM_DATA_62 ASC NULLS LAST, G.CLNT_PROD_CD ASC NULLS LAST) AS RANK_NUM,
-           A.APPL_ID AS APPL_ID,
-           CAST(A.ENTRY_DT AS DATE) AS DT_ENTERED,
-           CAST(A.CURR_STAT_DT AS DATE) AS DT_STATUS,
-           CASE WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') = 'NEWACCOUNT' THEN 'APPROVED'
-                WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') IN ('DECLINE', 'NORESPONSE') THEN 'DECLINED'
-                WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') = 'REJECTOFFR' THEN 'REJECT OFFER'
-                WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') = 'VOID APP' THEN 'VOID APP'
-                WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') = 'WITHDRAW' THEN 'WITHDRAW APP'
-                ELSE 'PENDING' END AS APP_STATUS,
-           CASE WHEN NULLIF(TRIM(A.ACQSN_CHANNEL_CD), '') IS NULL
-                     AND NULLIF(TRIM(B.DATA_ENTRY_OFF_NUM), '') IS NOT NULL THEN 'OTHER'
-                WHEN NULLIF(TRIM(A.ACQSN_CHANNEL_CD), '') IN ('TCALLCEN', 'TMS') THEN 'TCALLCEN'
-                WHEN NULLIF(TRIM(A.ACQSN_CHANNEL_CD), '') IS NULL
-                     AND NULLIF(TRIM(B.DATA_ENTRY_OFF_NUM), '') IS NULL THEN NULL
-                ELSE NULLIF(TRIM(A.ACQSN_CHANNEL_CD), '') END AS CHANNEL,
-           CASE WHEN NULLIF(TRIM(G.CUSTOM_DATA_60), '') IS NULL THEN 'BLANK APPLICATIONS'
-                WHEN SUBSTR(NULLIF(TRIM(G.CUSTOM_DATA_60), ''), 1, 1) = '3' THEN 'EMPLOYEE PROGRAM'
-                WHEN SUBSTR(NULLIF(TRIM(G.CUSTOM_DATA_60), ''), 1, 1) IN ('0','1','2','4','5','7','8','9')
-                     THEN 'PREAPPROVED'
-                ELSE 'ERROR' END AS CATEGORY,
-           NULLIF(TRIM(A.APPL_STAT_CD), '') AS STC,
-           A.APPL_QUEUE_ID AS QUEUE,
-           CASE WHEN A.APPL_AGE_BUCKET = 'A' THEN '30+ DAYS' WHEN A.APPL_AGE_BUCKET = 'B' THEN '21 - 30 DAYS'
-                WHEN A.APPL_AGE_BUCKET = 'C' THEN '16 - 20 DAYS' WHEN A.APPL_AGE_BUCKET = 'D' THEN '11 - 15 DAYS'
-                WHEN A.APPL_AGE_BUCKET = 'E' THEN '6 - 10 DAYS' WHEN A.APPL_AGE_BUCKET = 'F' THEN 'DAY 5'
-                WHEN A.APPL_AGE_BUCKET = 'G' THEN 'DAY 4' WHEN A.APPL_AGE_BUCKET = 'H' THEN 'DAY 3'
-                WHEN A.APPL_AGE_BUCKET = 'I' THEN 'DAY 2' WHEN A.APPL_AGE_BUCKET = 'J' THEN 'DAY 1'
-                WHEN A.APPL_AGE_BUCKET = 'K' THEN 'DAY 0' ELSE NULL END AS AGE_BUCKET,
-           COALESCE(NULLIF(TRIM(F.CLNT_PROD_CD), ''),
-                    CASE WHEN NULLIF(TRIM(DE.ELE_ALPH_VAL), '') = 'INCOMEWEN' THEN 'WEN'
-                         WHEN NULLIF(TRIM(DE.ELE_ALPH_VAL), '') = 'INCOMERCB' THEN 'RCB' ELSE NULL END,
-                    NULLIF(TRIM(G.CLNT_PROD_CD), '')) AS ADM_CPC,
-           NULLIF(TRIM(G.CUSTOM_DATA_62), '') AS CPGN_SRC_CD,
-           CASE WHEN E.USER_1_BYTE_12 = 'A' THEN 'ASTRUM'
-                WHEN E.USER_1_BYTE_12 = 'D' THEN 'DE_WEB'
-                WHEN E.USER_1_BYTE_12 IS NULL OR E.USER_1_BYTE_12 = 'I' THEN 'INST_APP'
-                ELSE 'ERROR' END AS APP_ENTRY_METHOD,
-           CDF.CUSTOM_21_DATA AS INST_CR,
-           CASE WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') NOT IN
-                     ('NEWACCOUNT','DECLINE','NORESPONSE','REJECTOFFR','VOID APP','WITHDRAW') THEN 'PENDING'
-                WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') = 'NEWACCOUNT' THEN 'APPROVED'
-                WHEN NULLIF(TRIM(A.APPL_STAT_CD), '') IN ('DECLINE','NORESPONSE','REJECTOFFR','VOID APP','WITHDRAW')
-                     AND NULLIF(TRIM(A.APPL_QUEUE_ID), '') IN ('DECSIN','DECLBUR','DECPABUR') THEN 'DECLINED_CREDIT'
-                ELSE 'DECLINED_OTHER' END AS STC_BKDOWN
-    FROM app A
-    LEFT JOIN app_decision B ON A.APPL_ID = B.APPL_ID AND {valid("B")}
-    LEFT JOIN app_element DE ON A.APPL_ID = DE.APPL_ID AND NULLIF(TRIM(DE.ELE_ELMT_NM), '') = 'CHKINCOME'
-         AND {valid("DE")}
-    LEFT JOIN app_user_data E ON A.APPL_ID = E.APPL_ID AND {valid("E")}
-    LEFT JOIN app_transfer F ON A.APPL_ID = F.APPL_ID AND F.ACCT_ID > 0 AND {valid("F")}
-    LEFT JOIN app_account G ON A.APPL_ID = G.APPL_ID AND {valid("G")}
-    LEFT JOIN account_custom CDF ON {valid("CDF")} AND CDF.ACCT_ID = F.ACCT_ID AND CDF.ACCT_SEQ_NUM = 0
-         AND CDF.CUSTOM_21_DATA IN ('EI','IC','IP','VC','VF','VP')
-    WHERE {valid("A")}
+paired AS (
+    SELECT s.id,
+           l.entered_day AS l_entered_day, c.entered_day AS c_entered_day,
+           l.status_day AS l_status_day, c.status_day AS c_status_day,
+           l.app_status AS l_app_status, c.app_status AS c_app_status,
+           l.channel AS l_channel, c.channel AS c_channel,
+           l.category AS l_category, c.category AS c_category,
+           l.stc AS l_stc, c.stc AS c_stc,
+           l.queue AS l_queue, c.queue AS c_queue,
+           l.age_bucket AS l_age_bucket, c.age_bucket AS c_age_bucket,
+           l.adm_cpc AS l_adm_cpc, c.adm_cpc AS c_adm_cpc,
+           l.cpgn_src_cd AS l_cpgn_src_cd, c.cpgn_src_cd AS c_cpgn_src_cd,
+           l.app_entry_method AS l_app_entry_method, c.app_entry_method AS c_app_entry_method,
+           l.stc_bkdown AS l_stc_bkdown, c.stc_bkdown AS c_stc_bkdown,
+           c.inst_code,
+           coalesce(c.status_day, DATE '1900-01-01') >= coalesce(l.status_day, DATE '1900-01-01') AS cur_first
+    FROM (SELECT DISTINCT id FROM app_days
+          WHERE entered_day < DATE '{bd.run_date}' AND id NOT IN (SELECT app_num FROM excluded_app)) s
+    LEFT JOIN legacy l ON l.id = s.id
+    LEFT JOIN "current" c ON c.id = s.id
 ),
-OVERALL AS (
-    SELECT DISTINCT
-          BASE_APP.APPL_ID AS appl_id
-        , COALESCE(ADASTRA.DT_ENTERED, TA.DT_ENTERED) AS dt_entered
-        , CASE WHEN {newer} THEN COALESCE(ADASTRA.DT_STATUS, TA.DT_STATUS)
-               ELSE COALESCE(TA.DT_STATUS, ADASTRA.DT_STATUS) END AS dt_status
-        , CASE WHEN {newer} THEN COALESCE(ADASTRA.APP_STATUS, TA.APP_STATUS)
-               ELSE COALESCE(TA.APP_STATUS, ADASTRA.APP_STATUS) END AS app_status
-        , CASE WHEN COALESCE(ADASTRA.CHANNEL, TA.CHANNEL) = 'INTERNET'
-                    AND COALESCE(ADASTRA.CPGN_SRC_CD, TA.CPGN_SRC_CD) = 'IDVPMO'
-                    AND COALESCE(ADASTRA.ADM_CPC, TA.ADM_CPC) IN ('WEN','RCB','CCA') THEN 'RDEALER'
-               WHEN COALESCE(ADASTRA.CHANNEL, TA.CHANNEL) = 'INTERNET'
-                    AND COALESCE(ADASTRA.CPGN_SRC_CD, TA.CPGN_SRC_CD) = 'IDVPMO'
-                    AND COALESCE(ADASTRA.ADM_CPC, TA.ADM_CPC) = 'FCB' THEN 'FDEALER'
-               ELSE COALESCE(ADASTRA.CHANNEL, TA.CHANNEL) END AS channel
-        , COALESCE(ADASTRA.CATEGORY, TA.CATEGORY) AS category
-        , CASE WHEN {newer} THEN COALESCE(ADASTRA.STC, TA.STC)
-               ELSE COALESCE(TA.STC, ADASTRA.STC) END AS stc
-        , COALESCE(ADASTRA.QUEUE, TA.QUEUE) AS queue
-        , COALESCE(ADASTRA.AGE_BUCKET, TA.AGE_BUCKET) AS age_bucket
-        , COALESCE(ADASTRA.ADM_CPC, TA.ADM_CPC) AS adm_cpc
-        , CASE
-{product_whens}
-              WHEN COALESCE(ADASTRA.ADM_CPC, TA.ADM_CPC) IS NULL
-                   AND COALESCE(ADASTRA.DT_ENTERED, TA.DT_ENTERED) < DATE '{r.product_cutover}'
-                   THEN '{r.label_before_cutover}'
-              WHEN COALESCE(ADASTRA.ADM_CPC, TA.ADM_CPC) IS NULL
-                   AND COALESCE(ADASTRA.DT_ENTERED, TA.DT_ENTERED) >= DATE '{r.product_cutover}'
-                   THEN '{r.label_after_cutover}'
-              ELSE 'ERROR' END AS product_type
-        , COALESCE(ADASTRA.APP_ENTRY_METHOD, TA.APP_ENTRY_METHOD) AS app_entry_method
-        , CASE WHEN ADASTRA.INST_CR IS NOT NULL THEN 'IC' ELSE 'NON_IC' END AS inst_cr
-        , CASE WHEN {newer} THEN COALESCE(ADASTRA.STC_BKDOWN, TA.STC_BKDOWN)
-               ELSE COALESCE(TA.STC_BKDOWN, ADASTRA.STC_BKDOWN) END AS stc_bkdown
-    FROM BASE_APP
-    LEFT JOIN TA ON BASE_APP.APPL_ID = TA.APPL_ID
-    LEFT JOIN ADASTRA ON BASE_APP.APPL_ID = ADASTRA.APPL_ID AND ADASTRA.RANK_NUM = 1
-    WHERE BASE_APP.DT_ENTERED < {run}
-      AND BASE_APP.APPL_ID NOT IN (SELECT APP_NUM FROM excluded_app)
+merged AS (
+    SELECT id AS appl_id,
+           coalesce(c_entered_day, l_entered_day) AS dt_entered,
+           coalesce(c_channel, l_channel) AS raw_channel,
+           coalesce(c_cpgn_src_cd, l_cpgn_src_cd) AS campaign,
+           coalesce(c_adm_cpc, l_adm_cpc) AS adm_cpc,
+           {overlay("status_day")} AS dt_status,
+           {overlay("app_status")} AS app_status,
+           {overlay("stc")} AS stc,
+           {overlay("stc_bkdown")} AS stc_bkdown,
+           coalesce(c_category, l_category) AS category,
+           coalesce(c_queue, l_queue) AS queue,
+           coalesce(c_age_bucket, l_age_bucket) AS age_bucket,
+           coalesce(c_app_entry_method, l_app_entry_method) AS app_entry_method,
+           inst_code
+    FROM paired
 )
-SELECT * FROM OVERALL
+SELECT DISTINCT m.appl_id, m.dt_entered, m.dt_status, m.app_status,
+       CASE WHEN m.raw_channel = 'INTERNET' AND m.campaign = 'IDVPMO' AND m.adm_cpc IN ('WEN', 'RCB', 'CCA')
+                 THEN 'RDEALER'
+            WHEN m.raw_channel = 'INTERNET' AND m.campaign = 'IDVPMO' AND m.adm_cpc = 'FCB' THEN 'FDEALER'
+            ELSE m.raw_channel END AS channel,
+       m.category, m.stc, m.queue, m.age_bucket, m.adm_cpc,
+       CASE WHEN m.adm_cpc IS NOT NULL THEN coalesce(pl.label, 'ERROR')
+            WHEN m.dt_entered < DATE '{r.product_cutover}' THEN '{r.label_before_cutover}'
+            WHEN m.dt_entered >= DATE '{r.product_cutover}' THEN '{r.label_after_cutover}'
+            ELSE 'ERROR' END AS product_type,
+       m.app_entry_method,
+       CASE WHEN m.inst_code IS NULL THEN 'NON_IC' ELSE 'IC' END AS inst_cr,
+       m.stc_bkdown
+FROM merged m
+LEFT JOIN product_labels pl ON pl.code = m.adm_cpc
 """
 
 
