@@ -227,10 +227,10 @@ def q_like(spark, sf_dir):
 
 
 @check("q_month_key", f"""
-WITH ref_date AS (SELECT '{BD_FLAGGED.month_key}' AS target_month)
+WITH run_month AS (SELECT strftime(DATE '{BD_FLAGGED.as_of}', '%Y_%m') AS month_key)
 SELECT o.o_orderkey, strftime(o.o_orderdate, '%Y_%m') AS month_key
-FROM orders o CROSS JOIN ref_date
-WHERE strftime(o.o_orderdate, '%Y_%m') = ref_date.target_month
+FROM orders o CROSS JOIN run_month m
+WHERE strftime(o.o_orderdate, '%Y_%m') = m.month_key
 """)
 def q_month_key(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").withColumn("month_key", D.month_key("o_orderdate"))
