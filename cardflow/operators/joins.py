@@ -47,12 +47,21 @@ def left_join(a: DataFrame, b: DataFrame, on: On, many: bool = False) -> DataFra
 
 
 def left_join_many_parts(left: DataFrame, right: DataFrame, on: Sequence[str],
-                         right_keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                         right_keys: DataFrame | None = None, hot: DataFrame | None = None,
+                         salts: int = 32) -> tuple[DataFrame, DataFrame]:
     """The two disjoint halves of ``left_join_many``: (matched rows, unmatched left rows with
     the right side's columns NULL). Their key sets are disjoint, so per-key work after the
-    join (such as a ``DISTINCT``) can run on each half separately."""
+    join (such as a ``DISTINCT``) can run on each half separately.
+
+    With ``hot`` (keys holding very many ``right`` rows, see ``skew.hot_keys``) the matched half
+    is a salted join, for plans where adaptive execution cannot split the join itself.
+    """
     keys = list(on)
     matched = left.join(right, keys, "inner")
+    if hot is not None:
+        from cardflow.operators.skew import salted_join
+
+        matched = salted_join(right, left, keys, "inner", hot, salts).select(*matched.columns)
     probe = (right if right_keys is None else right_keys).select(*keys).distinct()
     unmatched = left.join(probe, keys, "left_anti")
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]

@@ -18,7 +18,9 @@ Plan choices for large inputs:
 * Account custom data is keyed on the transfer account, not the application: it is resolved
   against the transfer rows first, so the main joins all share ``appl_id``.
 * The spine meets the current source first (both one row per id), then the legacy rows, which
-  can be many per id: that join is ``left_join_many``, so a hot id can be split across tasks.
+  can be many per id. Ids holding very many legacy rows are found first (``hot_keys``: a bounded
+  set) and salted in the joins that keep every legacy row, so one id never lands in one task;
+  adaptive execution alone cannot split these joins, whose inputs reuse earlier partitioning.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from cardflow.functions.columns import (blank_to_null, case_when, decode, first_
 from cardflow.functions.dates import BusinessDate, before_day, day
 from cardflow.operators.joins import exclude_listed, left_join_many_parts
 from cardflow.operators.ranking import latest_per_key, pg_asc, pg_desc
+from cardflow.operators.skew import hot_keys, salted_join
 from cardflow.operators.sets import distinct_rows, union_distinct
 from cardflow.operators.temporal import effective_on
 
@@ -148,9 +151,11 @@ def legacy_rows(app: DataFrame) -> DataFrame:
     return app.filter(b("test_app_sw").isNull() | b("test_acct_flag").isNull())
 
 
-def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame, rules: SummaryRules) -> DataFrame:
+def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame, rules: SummaryRules,
+                  hot: DataFrame | None = None, salts: int = 32) -> DataFrame:
     """Legacy rows (test rows with both marks set drop), not deduplicated: one output row per
-    distinct combination of the joined income element and product override."""
+    distinct combination of the joined income element and product override. With ``hot``
+    (application ids holding very many legacy rows, column ``app_num``) both joins are salted."""
     # decoded before the DISTINCT: at most one row per (application, income product)
     income = (element.filter(b("element_name") == INCOME_ELEMENT)
               .select(F.col("app_num"), decode(b("alpha_value"), INCOME_PRODUCTS).alias("income_cpc")).distinct())
@@ -172,7 +177,11 @@ def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame,
         b("acct_cust_data_62").alias("cpgn_src_cd"),
         b("user_1_byte_12").alias("entry_code"),
     )
-    j = a.join(income, "app_num", "left").join(override_cpc, "app_num", "left")
+    if hot is None:
+        j = a.join(income, "app_num", "left").join(override_cpc, "app_num", "left")
+    else:
+        j = salted_join(salted_join(a, income, ["app_num"], "left", hot, salts), override_cpc, ["app_num"], "left",
+                        hot, salts)
     ch, officer = F.col("ch"), F.col("officer")
     care_lo, care_hi = rules.care_window
     in_care_window = F.col("dt_entered").between(F.lit(care_lo), F.lit(care_hi))
@@ -277,15 +286,24 @@ def _prefixed(df: DataFrame, prefix: str, fields: Sequence[str]) -> DataFrame:
     return df.select("appl_id", *[F.col(f).alias(prefix + f) for f in fields])
 
 
-def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate, rules: SummaryRules) -> DataFrame:
+def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate, rules: SummaryRules,
+                              hot_min_rows: int | None = 1_000_000, salts: int = 32) -> DataFrame:
     """The summary table rows (the 14 columns of the original's final stage).
 
     ``inputs`` keys: legacy_app, legacy_element, legacy_override, app, app_decision, app_element,
     app_user_data, app_transfer, app_account, account_custom, excluded_app.
+
+    Application ids with more than ``hot_min_rows`` legacy rows (and a bounded share of them, see
+    ``hot_keys``) are spread over ``salts`` tasks in the joins that keep every legacy row;
+    ``hot_min_rows=None`` turns the detection off.
     """
     spine = application_spine(inputs["legacy_app"], inputs["app"], bd, rules)
     spine = exclude_listed(spine, "appl_id", inputs["excluded_app"], "app_num")
-    ta = _prefixed(legacy_source(inputs["legacy_app"], inputs["legacy_element"], inputs["legacy_override"], rules),
+    hot = None
+    if hot_min_rows is not None:
+        hot = hot_keys(legacy_rows(inputs["legacy_app"]).select("app_num"), ["app_num"], min_rows=hot_min_rows)
+    ta = _prefixed(legacy_source(inputs["legacy_app"], inputs["legacy_element"], inputs["legacy_override"], rules,
+                                 hot, salts),
                    "ta_", SOURCE_FIELDS)
     cur = _prefixed(current_source(inputs["app"], inputs["app_decision"], inputs["app_element"],
                                    inputs["app_user_data"], inputs["app_transfer"], inputs["app_account"],
@@ -293,9 +311,11 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
                     "cur_", SOURCE_FIELDS + ["inst_cr"])
     # The legacy source has rows for exactly the non-test legacy ids (its joins are left joins).
     # Ids with legacy rows and ids without them are disjoint, and the second kind has one row
-    # per id, so only the first needs the DISTINCT; it still has the id partitioning of its join.
+    # per id, so only the first needs the DISTINCT (its partial step runs before the shuffle).
     legacy_ids = legacy_rows(inputs["legacy_app"]).select(F.col("app_num").alias("appl_id"))
-    matched, unmatched = left_join_many_parts(spine.join(cur, "appl_id", "left"), ta, ["appl_id"], legacy_ids)
+    hot_ids = None if hot is None else hot.select(F.col("app_num").alias("appl_id"))
+    matched, unmatched = left_join_many_parts(spine.join(cur, "appl_id", "left"), ta, ["appl_id"], legacy_ids,
+                                              hot_ids, salts)
     return distinct_rows(_overlay(matched, rules)).unionByName(_overlay(unmatched, rules))
 
 

@@ -127,3 +127,24 @@ def test_with_row_number_matches_window_under_a_hot_key(spark):
     got = with_row_number(df, ["k"], order, "rn", num_partitions=7)
     assert got.columns == ["k", "d", "id", "rn"]
     assert sorted(rows(got, "id", "rn")) == want
+
+
+def test_salted_join_equals_join_and_spreads_a_hot_key(spark):
+    from cardflow.operators.skew import hot_keys, salted_join
+
+    n = 6000
+    big = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(7)).when(F.col("id") % 97 == 0, F.lit(None)).otherwise(F.col("id"))
+        .alias("k"), F.col("id").alias("v"))
+    small = spark.createDataFrame([(7, "hot"), (7, "hot2"), (10, "ten"), (None, "null")], "k long, s string")
+    hot = hot_keys(big, ["k"], max_keys=10, min_rows=100)
+    assert rows(hot) == [(7,)]
+    for how in ("inner", "left"):
+        want = sorted(rows(big.join(small, "k", how)), key=repr)
+        got = salted_join(big, small, ["k"], how, hot=hot, salts=8)
+        assert got.columns == ["k", "v", "s"]
+        assert sorted(rows(got), key=repr) == want
+    # the hot key's rows land in several shuffle partitions of the join
+    spread = (salted_join(big, small, ["k"], "inner", hot=hot, salts=8).filter("k = 7")
+              .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 1
