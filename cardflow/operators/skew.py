@@ -16,16 +16,22 @@ from pyspark.sql import functions as F
 _SALT, _HOT, _ROWS = "__salt", "__hot", "__rows"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000, min_rows: int = 1_000_000) -> DataFrame:
-    """Keys of ``df`` holding more than ``max(min_rows, rows / max_keys)`` rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
+             min_rows: int = 1_000_000) -> DataFrame | None:
+    """Keys of ``df`` holding more than ``max(min_rows, rows / max_keys)`` rows, or ``None``
+    when there is none.
 
     Fewer than ``max_keys`` keys can each hold more than ``rows / max_keys`` rows, so the result
-    has a proven size bound and may be broadcast. Costs one row count (a driver-side number) and
-    one aggregate whose partial step runs before its shuffle.
+    has a proven size bound and may be broadcast. One aggregate (partial step before its
+    shuffle) gives the total and the largest per-key count to the driver; only when a key is
+    hot is the key list itself computed, lazily, when the join that uses it runs.
     """
-    total = df.count()
-    threshold = max(min_rows, -(-total // max_keys))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    stats = counts.agg(F.sum(_ROWS).alias("total"), F.max(_ROWS).alias("largest")).first()
+    total, largest = int(stats["total"] or 0), int(stats["largest"] or 0)
+    threshold = max(min_rows, -(-total // max_keys))
+    if largest <= threshold:
+        return None
     return counts.filter(F.col(_ROWS) > threshold).select(*keys)
 
 
@@ -38,11 +44,14 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     copied once per salt; every other row has salt 0. The join on (keys, salt) returns the same
     rows as the plain join, and a hot key's rows are spread over ``salts`` tasks. ``hot``
     defaults to ``hot_keys(big, keys)``; pass it when several joins share the same hot keys.
+    When no key is hot this is the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins with the big side on the left")
     keys = list(keys)
     hot = hot_keys(big, keys) if hot is None else hot
+    if hot is None:  # nothing is hot: the plain join keeps the cheaper co-partitioned plan
+        return big.join(small, keys, how)
     marks = F.broadcast(hot.select(*keys).distinct().withColumn(_HOT, F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
     b = (big.join(marks, keys, "left")

@@ -139,6 +139,7 @@ def test_salted_join_equals_join_and_spreads_a_hot_key(spark):
     small = spark.createDataFrame([(7, "hot"), (7, "hot2"), (10, "ten"), (None, "null")], "k long, s string")
     hot = hot_keys(big, ["k"], max_keys=10, min_rows=100)
     assert rows(hot) == [(7,)]
+    assert hot_keys(big.filter("k <> 7"), ["k"], max_keys=10, min_rows=100) is None
     for how in ("inner", "left"):
         want = sorted(rows(big.join(small, "k", how)), key=repr)
         got = salted_join(big, small, ["k"], how, hot=hot, salts=8)
