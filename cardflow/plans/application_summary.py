@@ -212,10 +212,11 @@ def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame,
 
 def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user_data: DataFrame,
                    transfer: DataFrame, account: DataFrame, account_custom: DataFrame,
-                   bd: BusinessDate) -> DataFrame:
+                   bd: BusinessDate, hot_min_rows: int | None = 1_000_000, salts: int = 32) -> DataFrame:
     """One row per application id: the row valid on the business date with the newest status
     (NULL status date first, then newest validity start), with each joined table's row valid
-    on that date. Ties are broken by the remaining columns, ascending, NULLs last."""
+    on that date. Ties are broken by the remaining columns, ascending, NULLs last. A transfer
+    account shared by more than ``hot_min_rows`` applications is salted in its lookup."""
     d = bd.as_of
 
     def valid_top(df: DataFrame, key: str, columns: Sequence, order: Sequence[Column],
@@ -244,7 +245,15 @@ def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user
     acct = valid_top(account, "appl_id",
                      ["appl_id", "custom_data_60", "custom_data_62", F.col("clnt_prod_cd").alias("acct_cpc")],
                      [pg_asc("custom_data_60"), pg_asc("custom_data_62"), pg_asc("acct_cpc")])
-    xfer_cdf = xfer.join(cdf, "xfer_acct_id", "left").select("appl_id", "xfer_cpc", "inst_cr")
+    # many applications may share one transfer account: salted if one account is hot
+    hot_acct = None
+    if hot_min_rows is not None:
+        hot_acct = hot_keys(xfer.select("xfer_acct_id"), ["xfer_acct_id"], min_rows=hot_min_rows)
+    if hot_acct is None:
+        xfer_cdf = xfer.join(cdf, "xfer_acct_id", "left")
+    else:
+        xfer_cdf = salted_join(xfer, cdf, ["xfer_acct_id"], "left", hot_acct, salts)
+    xfer_cdf = xfer_cdf.select("appl_id", "xfer_cpc", "inst_cr")
 
     j = (a.join(dec, "appl_id", "left").join(inc, "appl_id", "left").join(usr, "appl_id", "left")
          .join(xfer_cdf, "appl_id", "left").join(acct, "appl_id", "left"))
@@ -307,7 +316,7 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
                    "ta_", SOURCE_FIELDS)
     cur = _prefixed(current_source(inputs["app"], inputs["app_decision"], inputs["app_element"],
                                    inputs["app_user_data"], inputs["app_transfer"], inputs["app_account"],
-                                   inputs["account_custom"], bd),
+                                   inputs["account_custom"], bd, hot_min_rows, salts),
                     "cur_", SOURCE_FIELDS + ["inst_cr"])
     # The legacy source has rows for exactly the non-test legacy ids (its joins are left joins).
     # Ids with legacy rows and ids without them are disjoint, and the second kind has one row

@@ -33,7 +33,8 @@ def plain_summary(inputs):
                      "ta_", S.SOURCE_FIELDS)
     cur = S._prefixed(S.current_source(inputs["app"], inputs["app_decision"], inputs["app_element"],
                                        inputs["app_user_data"], inputs["app_transfer"], inputs["app_account"],
-                                       inputs["account_custom"], bd), "cur_", S.SOURCE_FIELDS + ["inst_cr"])
+                                       inputs["account_custom"], bd, hot_min_rows=None),
+                      "cur_", S.SOURCE_FIELDS + ["inst_cr"])
     return distinct_rows(S._overlay(spine.join(cur, "appl_id", "left").join(ta, "appl_id", "left"), r))
 
 
@@ -46,6 +47,9 @@ def test_summary_with_a_hot_application_id(spark):
         n_orders = 15000  # sf0.01: a third of the order keys become one application id
         inputs["legacy_app"] = _hot(inputs["legacy_app"], "app_num", n_orders // 3)
         inputs["legacy_element"] = _hot(inputs["legacy_element"], "app_num", n_orders // 3)
+        # a third of the transfer rows point at one account, which has custom data
+        inputs["app_transfer"] = inputs["app_transfer"].withColumn(
+            "acct_id", F.when(F.col("appl_id") < n_orders // 3, F.lit(HOT)).otherwise(F.col("acct_id")))
         legacy = inputs["legacy_app"]
         share = legacy.filter(F.col("app_num") == HOT).count() / legacy.count()
         assert share > 0.3
@@ -62,7 +66,8 @@ def test_summary_with_a_hot_application_id(spark):
         with contextlib.redirect_stdout(buf):
             out.explain()
         # the legacy joins and the matched join are salted by a hash of the row
-        assert buf.getvalue().count("xxhash64") >= 3
+        # the legacy joins, the matched join and the transfer-account lookup are salted
+        assert buf.getvalue().count("xxhash64") >= 4
     finally:
         for k, v in old.items():
             if v is None:
