@@ -9,12 +9,13 @@ from __future__ import annotations
 import uuid
 
 from cardflow.plans.adjustment_transactions import ACCOUNTING_FUNCTIONS, adjustment_transactions
-from cardflow.plans.application_summary import daily_application_summary, run_daily_application_summary
+from cardflow.plans.application_summary import (SUMMARY_INPUTS, daily_application_summary,
+                                                run_daily_application_summary)
 from cardflow.plans.interest_adjustments import interest_adjustments_mtd
 from cardflow.plans.new_flagged_accounts import HISTORY_COLUMNS, flagged_delta, new_flagged_accounts
 from cardflow.plans.plan_postings import plan_postings_mtd
 from cardflow.registry.base import check
-from cardflow.registry.driver_inputs import (BD_FLAGGED, BD_MTD, BD_SUMMARY, SUMMARY_INPUTS, SUMMARY_RULES,
+from cardflow.registry.driver_inputs import (BD_FLAGGED, BD_MTD, BD_SUMMARY, SUMMARY_RULES,
                                              input_cte, report_input, report_inputs)
 from cardflow.session import scratch_path
 from cardflow.sinks.tables import append_rows, load_new_keys, read_target, replace_table, write_report
