@@ -47,20 +47,24 @@ def left_join(a: DataFrame, b: DataFrame, on: On, many: bool = False) -> DataFra
 
 
 def left_join_many_parts(left: DataFrame, right: DataFrame, on: Sequence[str],
-                         right_keys: DataFrame | None = None, hot: DataFrame | None = None,
+                         right_keys: DataFrame | None = None, hot: DataFrame | None | str = "auto",
                          salts: int = 32) -> tuple[DataFrame, DataFrame]:
     """The two disjoint halves of ``left_join_many``: (matched rows, unmatched left rows with
     the right side's columns NULL). Their key sets are disjoint, so per-key work after the
     join (such as a ``DISTINCT``) can run on each half separately.
 
-    With ``hot`` (keys holding very many ``right`` rows, see ``skew.hot_keys``) the matched half
-    is a salted join, for plans where adaptive execution cannot split the join itself.
+    Keys holding very many ``right`` rows (``skew.hot_keys``; ``hot="auto"`` detects them with
+    one small aggregate, a DataFrame gives them, ``None`` skips salting) are salted in the
+    matched half: adaptive execution splits a skewed join only when both inputs come straight
+    from a shuffle, which a join in a chain of joins does not.
     """
+    from cardflow.operators.skew import hot_keys, salted_join
+
     keys = list(on)
     matched = left.join(right, keys, "inner")
+    if isinstance(hot, str):
+        hot = hot_keys(right.select(*keys), keys)
     if hot is not None:
-        from cardflow.operators.skew import salted_join
-
         matched = salted_join(right, left, keys, "inner", hot, salts).select(*matched.columns)
     probe = (right if right_keys is None else right_keys).select(*keys).distinct()
     unmatched = left.join(probe, keys, "left_anti")
@@ -69,7 +73,7 @@ def left_join_many_parts(left: DataFrame, right: DataFrame, on: Sequence[str],
 
 
 def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str],
-                   right_keys: DataFrame | None = None) -> DataFrame:
+                   right_keys: DataFrame | None = None, hot: DataFrame | None | str = "auto") -> DataFrame:
     """Left outer join for a right side that may hold many rows per key, hot keys included.
 
     Adaptive execution splits an oversized partition of a sort-merge join only on a side it
@@ -80,8 +84,10 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str],
 
     ``right_keys`` may give a cheaper relation with the same keys as ``right`` (for instance
     the driving table of ``right``'s own left joins) so the anti join does not recompute it.
+    Where the plan leaves the join unsplittable, hot keys are salted (see
+    ``left_join_many_parts``).
     """
-    matched, unmatched = left_join_many_parts(left, right, on, right_keys)
+    matched, unmatched = left_join_many_parts(left, right, on, right_keys, hot)
     return matched.unionByName(unmatched)
 
 

@@ -129,6 +129,23 @@ def test_with_row_number_matches_window_under_a_hot_key(spark):
     assert sorted(rows(got, "id", "rn")) == want
 
 
+SHUFFLE_JOIN_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                     "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def partitions_holding(spark, df, cond):
+    """Number of shuffle partitions holding rows matching ``cond`` when joins must shuffle."""
+    old = {k: spark.conf.get(k, None) for k in SHUFFLE_JOIN_CONF}
+    try:
+        for k, v in SHUFFLE_JOIN_CONF.items():
+            spark.conf.set(k, v)
+        return df.filter(cond).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_salted_join_equals_join_and_spreads_a_hot_key(spark):
     from cardflow.operators.skew import hot_keys, salted_join
 
@@ -145,7 +162,23 @@ def test_salted_join_equals_join_and_spreads_a_hot_key(spark):
         got = salted_join(big, small, ["k"], how, hot=hot, salts=8)
         assert got.columns == ["k", "v", "s"]
         assert sorted(rows(got), key=repr) == want
-    # the hot key's rows land in several shuffle partitions of the join
-    spread = (salted_join(big, small, ["k"], "inner", hot=hot, salts=8).filter("k = 7")
-              .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread > 1
+    # the hot key's rows land in several shuffle partitions of the join (a plain join: one)
+    assert partitions_holding(spark, salted_join(big, small, ["k"], "inner", hot=hot, salts=8), "k = 7") > 1
+    assert partitions_holding(spark, big.join(small, "k", "inner"), "k = 7") == 1
+
+
+def test_left_join_many_salts_a_hot_key_after_another_join(spark):
+    from cardflow.operators.skew import hot_keys
+
+    n = 6000
+    spine = spark.range(n).select(F.col("id").alias("k"))
+    first = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"))
+    right = spark.range(n).select(F.when(F.col("id") < n // 3, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("b"))
+    left = spine.join(first, "k", "left")  # the left input comes out of a join, not a shuffle
+    hot = hot_keys(right.select("k"), ["k"], max_keys=10, min_rows=100)
+    got = J.left_join_many(left, right, ["k"], hot=hot)
+    want = left.join(right, "k", "left")
+    assert sorted(rows(got), key=repr) == sorted(rows(want.select(*got.columns)), key=repr)
+    assert partitions_holding(spark, got, "k = 7") > 1
+    assert partitions_holding(spark, J.left_join_many(left, right, ["k"], hot=None), "k = 7") == 1
