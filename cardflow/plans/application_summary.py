@@ -245,10 +245,14 @@ def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user
     acct = valid_top(account, "appl_id",
                      ["appl_id", "custom_data_60", "custom_data_62", F.col("clnt_prod_cd").alias("acct_cpc")],
                      [pg_asc("custom_data_60"), pg_asc("custom_data_62"), pg_asc("acct_cpc")])
-    # many applications may share one transfer account: salted if one account is hot
+    # many applications may share one transfer account: salted if one account is hot. Counted
+    # on the valid transfer rows (a superset of the top rows, no ranking needed); a superset
+    # can only add keys, still fewer than hot_keys' bound.
     hot_acct = None
     if hot_min_rows is not None:
-        hot_acct = hot_keys(xfer.select("xfer_acct_id"), ["xfer_acct_id"], min_rows=hot_min_rows)
+        valid_transfers = effective_on(transfer, d).filter(F.col("acct_id") > 0)
+        hot_acct = hot_keys(valid_transfers.select(F.col("acct_id").alias("xfer_acct_id")), ["xfer_acct_id"],
+                            min_rows=hot_min_rows)
     if hot_acct is None:
         xfer_cdf = xfer.join(cdf, "xfer_acct_id", "left")
     else:
@@ -310,7 +314,8 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
     spine = exclude_listed(spine, "appl_id", inputs["excluded_app"], "app_num")
     hot = None
     if hot_min_rows is not None:
-        hot = hot_keys(legacy_rows(inputs["legacy_app"]).select("app_num"), ["app_num"], min_rows=hot_min_rows)
+        # counted over every legacy row (one column; a superset of the non-test rows)
+        hot = hot_keys(inputs["legacy_app"].select("app_num"), ["app_num"], min_rows=hot_min_rows)
     ta = _prefixed(legacy_source(inputs["legacy_app"], inputs["legacy_element"], inputs["legacy_override"], rules,
                                  hot, salts),
                    "ta_", SOURCE_FIELDS)
