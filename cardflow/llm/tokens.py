@@ -1,30 +1,33 @@
 """Token ids of whole texts with the tokenizers library, one encoding for each distinct chunk.
 
-A chunk is a run of white space with the word after it; a word of letters alone also ends at a comma
-or full stop. The byte-level pre-tokenizer never puts a character other than white space and a
+A chunk begins with a space or line end, or with a comma or full stop after a letter, and goes on to
+the next such place. The byte-level pre-tokenizer never puts a character other than white space and a
 white-space character after it into one token, nor a letter and a punctuation mark after it, so the
-ids of a text are the ids of its chunks in order. Chunks repeat, so most are looked up; a chunk with
-white space other than space, tab and line ends makes its whole text be encoded at once instead.
-The cache of a worker process has a fixed size.
+ids of a text are the ids of its chunks in order. Chunks repeat, so each distinct one of a slice is
+looked up once and the ids are gathered with numpy. A text with a chunk of white space alone, or
+with other white space than spaces and line ends, is encoded at once instead. The cache of a
+worker process has a fixed size: two halves, the older dropped when the newer is full.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import accumulate, chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_LETTERS = "A-Za-z" + "".join(map(chr, (*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))))
-_CHUNK = re.compile(rf"[ \t\r\n]*(?:[{_LETTERS}]+(?=[ \t\r\n,.]|\Z)|[^ \t\r\n]+)|[ \t\r\n]+")
-#: White space and format characters other than space, tab and line ends.
-_ODD = (0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F,
-        0x205F, 0x2060, 0x3000, 0xFEFF)
-_OTHER_SPACE = re.compile("[" + "".join(map(chr, _ODD)) + "]")
-CACHE_CHUNKS = 800_000
+#: White space and format characters other than spaces and line ends, and the cut mark itself.
+_ODD = (0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028,
+        0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)
+_ODD_CLASS = "[" + "".join(map(chr, _ODD)) + "]"
+_UNSAFE = re.compile(_ODD_CLASS + r"|^[ \n]+\Z")
+_CUT = "\x1f"
+CACHE_CHUNKS = 500_000
 LONG_CHUNK = 48
-PIECE_CHARS = 1 << 20
+SLICE_CHARS = 12_000_000
+RUN_CHUNKS = 4000
 
 
 class ChunkEncoder:
@@ -33,43 +36,91 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        # a byte-level token has one character for each byte
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, k in vocabulary.items():
+            self.token_bytes[k] = len(token)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [x.ids for x in found]
-        data = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes()
-        ends = [0, *accumulate(4 * len(x) for x in ids)]
-        return [data[a:b] for a, b in zip(ends, ends[1:])]
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+    def _ids(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        """(chunk, ids). Chunks that begin with a space are encoded many at a time, as a running
+        text, and its ids are cut at their ends, told by the tokens' lengths in bytes."""
+        spaced = [c for c in chunks if c[0] == " "]
+        other = [c for c in chunks if c[0] != " "]
+        groups = [spaced[k:k + RUN_CHUNKS] for k in range(0, len(spaced), RUN_CHUNKS)]
+        encoded = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, encoded):
+            ids = np.array(found.ids, dtype="<u4")
+            ends = np.cumsum(self.token_bytes[ids])
+            wanted = np.cumsum([len(c.encode()) for c in group])
+            at = np.searchsorted(ends, wanted)
+            if not np.array_equal(ends[at], wanted):
+                other.extend(group)
+                continue
+            data, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+            yield from zip(group, [data[a:b] for a, b in zip(cuts, cuts[1:])])
+        yield from zip(other, self._whole(other))
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         at = 0
         while at < len(texts):
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= PIECE_CHARS):
+            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE_CHARS):
                 size += len(texts[end])
                 end += 1
-            yield from self._encode_some(texts[at:end])
+            yield from self._encode_slice(texts[at:end])
             at = end
 
-    def _encode_some(self, texts: Sequence[str]) -> Iterator[bytes]:
-        chunks = [_CHUNK.findall(t) for t in texts]
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        cache = self.cache
-        missing = list(set().union(*chunks).difference(cache))
-        whole = {c for c in missing if _OTHER_SPACE.search(c)}
-        plain = [c for c in missing if c not in whole] if whole else missing
-        cache.update(zip(plain, self._ids(plain)))
-        for text, parts in zip(texts, chunks):
-            if whole and not whole.isdisjoint(parts):
-                yield self._ids([text])[0]
-            else:
-                yield b"".join(map(cache.__getitem__, parts))
-        for chunk in plain:
-            if len(chunk) > LONG_CHUNK:
-                del cache[chunk]
+    def _encode_slice(self, texts: Sequence[str]) -> Iterator[bytes]:
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _ODD_CLASS).to_numpy(zero_copy_only=False)
+        column = pc.replace_substring(column, " ", _CUT + " ")
+        column = pc.replace_substring(column, "\n", _CUT + "\n")
+        column = pc.replace_substring_regex(column, r"(\pL)([,.])", r"\1" + _CUT + r"\2")
+        parts = pc.split_pattern(column, _CUT)
+        coded = pc.dictionary_encode(parts.flatten())
+        where = coded.indices.to_numpy()
+        chunks = coded.dictionary.to_pylist()
+        ends = np.asarray(parts.offsets)
+
+        cache, older = self.cache, self.older
+        codes = [cache.get(c) for c in chunks]
+        unsafe: set[str] = set()
+        missing: dict[str, bytes] = {}
+        unknown = []
+        for c, found in zip(chunks, codes):
+            if found is None:
+                if c in older:
+                    missing[c] = older[c]
+                elif _UNSAFE.search(c):
+                    unsafe.add(c)
+                else:
+                    unknown.append(c)
+        missing.update(self._ids(unknown))
+        codes = [missing.get(c, b"") if x is None else x for c, x in zip(chunks, codes)]
+        if len(cache) + len(missing) > CACHE_CHUNKS:  # what is in use moves on from the older half
+            self.older, self.cache = cache, {"": b""}
+        self.cache.update((c, x) for c, x in missing.items() if len(c) <= LONG_CHUNK)
+        if unsafe:
+            bad = np.fromiter((c in unsafe for c in chunks), bool, len(chunks))
+            odd |= np.add.reduceat(np.append(bad[where], False), ends[:-1]) * (np.diff(ends) > 0) > 0
+        pool = np.frombuffer(b"".join(codes), "<u4")
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes[where]
+        stops = np.cumsum(counts)
+        ids = pool[np.repeat(starts[where] - (stops - counts), counts) + np.arange(stops[-1] if len(stops) else 0)]
+        bounds = 4 * np.concatenate([[0], stops])[ends]
+        data = memoryview(ids.tobytes())
+        for k, text in enumerate(texts):
+            yield self._whole([text])[0] if odd[k] else bytes(data[bounds[k]:bounds[k + 1]])
 
 
 _encoders: dict[str, ChunkEncoder] = {}
