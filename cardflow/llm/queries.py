@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardflow.llm import ngram_join, packing, pii, quality_model, quality_rules, token_codes
+from cardflow.llm import (
+    chat, embeddings, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_codes, unigram)
 from cardflow.llm.common import scratch_folder, ship_code, table, written
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -29,10 +30,59 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.joined(F.col("__pii.all")).alias("spans"))
 
 
+#: Names of the shards that documents are placed on.
+SHARDS = tuple(f"shard-{k:03d}" for k in range(256))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sharding.place(docs, "doc_id", SHARDS, spread=("text",)).select("doc_id", "slot", "shard")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+TOOLS: chat.Schemas = {
+    "search": {"query": ("string", True), "limit": ("integer", True), "after": ("string", False)},
+    "summarise": {"text": ("string", True), "sentences": ("integer", False), "after": ("string", False)},
+    "measure": {"value": ("number", True), "exact": ("boolean", True), "after": ("string", False)},
+}
+
+
+def tool_dialogue(conversations: DataFrame) -> DataFrame:
+    """The conversations with every assistant turn written as a tool call and every later user turn as
+    the result of the turn before: the shape that tool-calling data has. Arguments come from the
+    texts, some of them of a wrong type; a call refers to the one at half its turn."""
+    turn, text = F.col("turn"), F.col("text")
+    name = lambda t: F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), t.cast("string"))
+    after = F.when(turn > 1, F.concat(F.lit("${"), name(F.floor(turn / 2)), F.lit("}")))
+    odd = F.pmod(F.length(text), F.lit(7)) == 0
+    arguments = F.when(F.pmod(turn, F.lit(3)) == 0, F.to_json(F.struct(
+        F.substring_index(text, " ", 6).alias("query"), F.when(~odd, F.length(text)).alias("limit"), after.alias("after")))).when(
+        F.pmod(turn, F.lit(3)) == 1, F.to_json(F.struct(
+            text.alias("text"), F.when(odd, F.length(text)).alias("sentences"), after.alias("after")))).otherwise(
+        F.to_json(F.struct((F.length(text) / 8).alias("value"), F.when(odd, F.lit("yes")).otherwise(F.lit("no")).alias("exact"),
+                           after.alias("after"))))
+    tool = F.element_at(F.array(F.lit("search"), F.lit("summarise"), F.lit("measure")),
+                        (F.pmod(turn, F.lit(3)) + 1).cast("int"))
+    fixed = F.regexp_replace(arguments, '"exact":"no"', '"exact":false')
+    call = F.concat(F.lit('{"tool_calls":[{"id":'), F.concat(F.lit('"'), name(turn), F.lit('"')), F.lit(',"name":"'), tool,
+                    F.lit('","arguments":'), fixed, F.lit("}]}"))
+    result = F.to_json(F.struct(name(turn - 1).alias("tool_call_id"), text.alias("content")))
+    said = F.when(F.col("role") == "assistant", call).when((F.col("role") == "user") & (turn > 1), result).otherwise(text)
+    role = F.when((F.col("role") == "user") & (turn > 1), "tool").otherwise(F.col("role"))
+    return conversations.select("conv_id", "turn", role.alias("role"), said.alias("text"))
+
+
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_calls(tool_dialogue(table(spark, sf_dir, "conversations")), TOOLS)
+
+
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_code(spark)
     vectors = written(table(spark, sf_dir, "documents").select("doc_id", quality_model.features("text").alias("vector")),
@@ -59,13 +109,21 @@ def op9_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.read_tokens(spark, folder)
 
 
+def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Builder] = {
     "op1_pii": op1_pii,
+    "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
+    "op4_tool_calls": op4_tool_calls,
+    "op5_embeddings": op5_embeddings,
     "op6_quality": op6_quality,
     "op7_ngram_join": op7_ngram_join,
     "op8_rules": op8_rules,
     "op9_token_codes": op9_token_codes,
+    "op10_unigram": op10_unigram,
 }
 
 

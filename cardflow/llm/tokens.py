@@ -30,6 +30,18 @@ SLICE_CHARS = 12_000_000
 RUN_CHUNKS = 4000
 
 
+def gather(codes: Sequence[bytes], where: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, bounds) of texts from the ids (bytes) of distinct chunks, the chunk of each place and
+    the places at which texts end."""
+    pool = np.frombuffer(b"".join(codes), "<u4")
+    sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+    starts = np.cumsum(sizes) - sizes
+    counts = sizes[where]
+    stops = np.cumsum(counts)
+    ids = pool[np.repeat(starts[where] - (stops - counts), counts) + np.arange(stops[-1] if len(stops) else 0)]
+    return ids, np.concatenate([[0], stops])[ends]
+
+
 class ChunkEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -111,16 +123,10 @@ class ChunkEncoder:
         if unsafe:
             bad = np.fromiter((c in unsafe for c in chunks), bool, len(chunks))
             odd |= np.add.reduceat(np.append(bad[where], False), ends[:-1]) * (np.diff(ends) > 0) > 0
-        pool = np.frombuffer(b"".join(codes), "<u4")
-        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
-        starts = np.cumsum(sizes) - sizes
-        counts = sizes[where]
-        stops = np.cumsum(counts)
-        ids = pool[np.repeat(starts[where] - (stops - counts), counts) + np.arange(stops[-1] if len(stops) else 0)]
-        bounds = 4 * np.concatenate([[0], stops])[ends]
+        ids, bounds = gather(codes, where, ends)
         data = memoryview(ids.tobytes())
         for k, text in enumerate(texts):
-            yield self._whole([text])[0] if odd[k] else bytes(data[bounds[k]:bounds[k + 1]])
+            yield self._whole([text])[0] if odd[k] else bytes(data[4 * bounds[k]:4 * bounds[k + 1]])
 
 
 _encoders: dict[str, ChunkEncoder] = {}
