@@ -111,8 +111,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
         for batch in batches:
             out: list[list[int | None]] = [[] for _ in range(6)]
             ids = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for key, data in zip(ids, encoder(tokenizer).encode(texts)):
+            for key, data in zip(ids, encoder(tokenizer).encode(batch.column(1))):
                 data += tail
                 n = len(data) // 4
                 for start in range(0, n, capacity):

@@ -118,8 +118,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "do
                 names=["part", "first", "doc_ids", "n_tokens", "codes"])
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for key, data in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(texts)):
+            for key, data in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(batch.column(1))):
                 keys.append(key)
                 held.append(data + tail)
                 size += len(held[-1]) // 4

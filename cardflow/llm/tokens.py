@@ -24,12 +24,23 @@ _ODD = (0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x18
 _ODD_CLASS = "[" + "".join(map(chr, _ODD)) + "]"
 _UNSAFE = re.compile(_ODD_CLASS + r"|^[ \n]+\Z")
 _CUT = "\x1f"
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 400_000
 LONG_CHUNK = 48
-SLICE_CHARS = 12_000_000
+SLICE_BYTES = 12_000_000
 RUN_CHUNKS = 4000
 
 
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Parts of a text column of about ``size`` bytes; a longer text is a part of its own."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(column):
+        begin = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, begin + size, side="right")))
+        yield column.slice(at, end - at)
+        at = end
+
+
 def gather(codes: Sequence[bytes], where: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids, bounds) of texts from the ids (bytes) of distinct chunks, the chunk of each place and
     the places at which texts end."""
@@ -79,19 +90,15 @@ class ChunkEncoder:
             yield from zip(group, [data[a:b] for a, b in zip(cuts, cuts[1:])])
         yield from zip(other, self._whole(other))
 
-    def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE_CHARS):
-                size += len(texts[end])
-                end += 1
-            yield from self._encode_slice(texts[at:end])
-            at = end
-
-    def _encode_slice(self, texts: Sequence[str]) -> Iterator[bytes]:
-        column = pa.array(texts, pa.large_string())
+    def encode(self, texts: Sequence[str] | pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; a null is an empty text."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        for part in slices(column):
+            yield from self._encode_slice(part)
+
+    def _encode_slice(self, texts: pa.Array) -> Iterator[bytes]:
+        column = texts
         odd = pc.match_substring_regex(column, _ODD_CLASS).to_numpy(zero_copy_only=False)
         column = pc.replace_substring(column, " ", _CUT + " ")
         column = pc.replace_substring(column, "\n", _CUT + "\n")
@@ -125,8 +132,8 @@ class ChunkEncoder:
             odd |= np.add.reduceat(np.append(bad[where], False), ends[:-1]) * (np.diff(ends) > 0) > 0
         ids, bounds = gather(codes, where, ends)
         data = memoryview(ids.tobytes())
-        for k, text in enumerate(texts):
-            yield self._whole([text])[0] if odd[k] else bytes(data[4 * bounds[k]:4 * bounds[k + 1]])
+        for k in range(len(texts)):
+            yield self._whole([texts[k].as_py()])[0] if odd[k] else bytes(data[4 * bounds[k]:4 * bounds[k + 1]])
 
 
 _encoders: dict[str, ChunkEncoder] = {}
