@@ -18,6 +18,7 @@ def connected_components(edges: DataFrame, a: str = "u", b: str = "v") -> DataFr
     """(node, component): ``component`` is the least node reachable. Nodes without an edge to
     another node are absent; null ends are ignored; repeated edges and loops don't matter."""
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
+    pairs = written(pairs.distinct(), "cc-pairs")
     both = written(pairs.union(pairs.select("v", "u")).distinct(), "cc-edges")
     labels = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label"))
                      .select(F.col("u").alias("node"), "label"), "cc-labels")

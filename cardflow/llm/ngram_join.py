@@ -17,8 +17,9 @@ n-gram order. Documents with the same set form a class, and only one document of
 3. A block returns a spanning forest of its links, and the components of all forests are the
    result. No list of all pairs is ever made, and no link is lost.
 
-The documents a block needs are sent to as many blocks as their group has: work on a group grows
-with the square of its distinct texts, its memory does not.
+A group of more than one block is cut by set size first, as linked sets are of similar size; the
+documents of a size class are then sent to as many blocks as the class has: work on a group grows
+with the square of its distinct texts of a size, its memory does not.
 
 A null or empty text has no shingles and links with nothing. Rows with a null id are returned with
 a null component and link with nothing. Repeated rows are one document; an id that occurs with
@@ -27,6 +28,7 @@ several texts is linked by all of them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ from cardflow.llm.components import connected_components
 from cardflow.llm.textstats import mix64, shingle_set, utf8, word_hashes
 
 #: Common shingles asked of a pair's prefixes, as a share of the set in percent.
-EXTRA_PERCENT = 6
+EXTRA_PERCENT = 4
 BLOCK_DOCS = 384
 BLOCK_SHINGLES = 1_500_000
 FRAGMENT = 4096
@@ -95,15 +97,17 @@ def shingle_prefixes(docs: DataFrame, doc_id: str, text: str, width: int, percen
 
 def candidate_ties(prefixes: DataFrame) -> DataFrame:
     """(u, v): ties between documents that may link, transitively complete (step 1)."""
-    rows = prefixes.select("doc_id", "need", F.explode("prefix").alias("shingle"))
-    shared = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("least"),
-                                          F.max("doc_id").alias("most"))
-              .filter("least < most").select("shingle", "docs", "least"))
-    marked = rows.join(shared, "shingle").groupBy("doc_id", "need").agg(
+    rows = prefixes.select("doc_id", F.explode("prefix").alias("shingle"))
+    shared = (rows.groupBy("shingle").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+              .filter("least < most").select("shingle", "least"))
+    marks = written(rows.join(shared, "shingle"), "ngram-marks")
+    often = marks.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"))
+    marked = marks.join(often, "shingle").groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("docs", "shingle", "least"))).alias("marks"))
-    kept = marked.filter(F.size("marks") >= F.col("need")).withColumn(
+    kept = marked.join(prefixes.select("doc_id", "need"), "doc_id").filter(F.size("marks") >= F.col("need")).withColumn(
         "marks", F.expr("slice(marks, 1, cast(size(marks) - need + 1 as int))"))
-    return kept.select(F.col("doc_id").alias("u"), F.explode(F.array_distinct("marks.least")).alias("v")).filter("u <> v")
+    ties = kept.select(F.col("doc_id").alias("u"), F.explode(F.array_distinct("marks.least")).alias("v")).filter("u <> v")
+    return written(ties, "ngram-ties")
 
 
 def _links(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -148,25 +152,35 @@ def verified_links(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id:
 
     ``groups``: (node, component); ``sizes``: (doc_id, n) of the same documents.
     """
-    members = groups.join(sizes, groups["node"] == sizes["doc_id"]).select("node", "component", "n")
-    blocks = members.groupBy("component").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    split = members.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    members = written(groups.join(sizes, groups["node"] == sizes["doc_id"]).select("node", "component", "n"), "ngram-members")
+    size = (F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)
+    large = members.groupBy("component").agg(F.greatest(*size).alias("size")).filter("size > 1").select(
+        "component", F.lit(True).alias("large"))
+    # linked sets differ in size by a factor of at most 1 / t: their classes are the same or neighbours
+    class_of = F.floor(F.log("n") / (math.log(100 / percent) * 1.001 + 1e-9))
+    classed = members.join(large, "component", "left").select(
+        "node", "component", "n", F.explode(F.when(F.col("large"), F.array(class_of, class_of - 1)).otherwise(
+            F.array(F.lit(0).cast("long")))).alias("class"))
+    blocks = classed.groupBy("component", "class").agg(F.greatest(*[F.ceil(x) for x in size]).alias("blocks"))
+    split = classed.join(blocks, ["component", "class"]).groupBy("node").agg(F.collect_list(F.struct(
+        "component", "class", "blocks", F.pmod(F.xxhash64("node", "class"), F.col("blocks")).alias("own"))).alias("places"))
     texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("body"))
 
     def expand(batches):
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], _lists(list(_sets(batch, width, lower=True)))],
-                    names=["node", "component", "own", "blocks", "grams"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(list(_sets(batch, width, lower=True)))],
+                                                 names=["node", "places", "grams"])
 
-    sets = split.join(texts, "node").select("node", "component", "own", "blocks", "body").mapInArrow(
-        expand, "node long, component long, own long, blocks long, grams array<long>")
+    places = "array<struct<component:long,class:long,blocks:long,own:long>>"
+    sets = split.join(texts, "node").select("node", "places", "body").mapInArrow(
+        expand, f"node long, places {places}, grams array<long>")
     # a block pair (i, j) gets the documents of i and j; a group of one block is compared within
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    sent = sets.withColumn("with", other).select(
-        "node", F.xxhash64("component", F.least("own", "with"), F.greatest("own", "with")).alias("task"), "grams")
+    placed = sets.select("node", F.explode("places").alias("p"), "grams")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("p.blocks") - 1))
+    sent = placed.withColumn("with", other).select(
+        "node", F.xxhash64("p.component", "p.class", F.least("p.own", "with"), F.greatest("p.own", "with")).alias("task"),
+        "grams")
 
     def compare(group: pa.Table) -> pa.RecordBatch:
         column = group.column("grams").combine_chunks()
