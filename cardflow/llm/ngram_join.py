@@ -5,11 +5,15 @@ n-gram order. Documents with the same set form a class, and only one document of
 
 1. Candidates. If two sets have Jaccard similarity >= t, at most ``d = n(1-t)/t`` shingles of
    either (n shingles) are not shared, so the first ``d + l`` shingles of both in the global
-   order hold at least ``l`` common ones. Only these prefixes are shuffled. A shingle met in one
-   prefix only cannot be shared; a document with fewer than ``l`` shared shingles has no
-   partner. Of the rest, the ``l - 1`` most frequent may be left out: the rarest common shingle
-   of two partners is then still there, while passages that many documents share drop out.
-   Documents are tied to the least document that has the shingle too, never to each other.
+   order hold at least ``l`` common ones. From 88 % on the keys are coarser: the global order is
+   cut into K fragments (K a power of two that follows n), and a key is a fragment with all the
+   shingles that the document has there. At most d fragments differ, so the same holds for the
+   non-empty fragments, and texts that merely share passages share few whole fragments. Documents
+   with so few non-empty fragments that they or a partner may lack ``d + l`` of them use the
+   shingles too. Only these keys are shuffled. A key of one document only cannot be shared; a
+   document with fewer than ``l`` shared keys has no partner. Of the rest, the ``l - 1`` most
+   frequent may be left out: the rarest common key of two partners is then still there.
+   Documents are tied to the least document that has the key too, never to each other.
 2. Counting. The documents of a connected group of such ties are compared in blocks of bounded
    size. A block cuts the global order into fragments, counts the common n-grams of all its
    pairs in each fragment separately (a product of the fragment's incidence matrices), sums
@@ -45,6 +49,7 @@ EXTRA_PERCENT = 4
 BLOCK_DOCS = 384
 BLOCK_SHINGLES = 1_500_000
 FRAGMENT = 4096
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -68,42 +73,69 @@ def _sets(batch: pa.RecordBatch, width: int, lower: bool) -> Iterator[np.ndarray
         yield shingle_set(words, width)
 
 
+def _fragments(n: int) -> int:
+    """Number of fragments for sets of n shingles: a power of two, 0.45 n to 0.9 n."""
+    return 1 << max(0, math.ceil(math.log2(0.45 * n)))
+
+
+def _keys(s: np.ndarray, percent: int, extra: int) -> list[tuple[int, np.ndarray]]:
+    """(common keys that a partner must have, keys) of each scheme a set takes part in."""
+    n = len(s)
+    d = n * (100 - percent) // percent
+    if not d:  # only an equal set can link
+        return []
+    size, need = d + _common(n, extra), _common(-(-n * percent // 100), extra)
+    if percent < 88:
+        return [(need, s[:size])]
+    schemes = []
+    least = -(-size * 100 // percent) + 2 + d  # fewer fragments: a partner may have less than its size
+    plain = False
+    for fragments in sorted({_fragments(n), _fragments(n * 100 // percent)}):
+        where = ((s >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+        starts = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+        whole = np.add.reduceat(mix64(s), starts)
+        schemes.append((need, mix64(whole + where[starts] * _ODD[0] + np.uint64(fragments) * _ODD[1])[:size]))
+        plain |= len(starts) < least
+    return [*schemes, (need, s[:size])] if plain else schemes
+
+
 def shingle_prefixes(docs: DataFrame, doc_id: str, text: str, width: int, percent: int,
                      extra: int = EXTRA_PERCENT) -> DataFrame:
-    """(doc_id, n, k1, k2, need, prefix): set size, two hashes of the whole set, common shingles
-    that a partner must have in its prefix, and the prefix (empty where no other set can link)."""
+    """(doc_id, n, k1, k2, need, prefixes): set size, two hashes of the whole set, common keys that a
+    partner must share in a scheme, and the keys of each scheme (none where no other set can link)."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n, k1, k2, need, prefix = [], [], [], [], []
+            n, k1, k2, need, schemes, keys = [], [], [], [], [0], []
             for s in _sets(batch, width, lower=True):
-                size = len(s)
-                d = size * (100 - percent) // percent
-                n.append(size)
+                found = _keys(s, percent, extra)
+                n.append(len(s))
                 k1.append(int(mix64(s).sum().view(np.int64)))
                 k2.append(int(mix64(s ^ _SALT).sum().view(np.int64)))
-                need.append(_common(-(-size * percent // 100), extra))
-                prefix.append(s[:d + _common(size, extra)] if d else s[:0])
+                need.append(found[0][0] if found else 0)
+                keys.extend(k for _, k in found)
+                schemes.append(len(keys))
+            prefixes = pa.ListArray.from_arrays(pa.array(schemes, pa.int32()), _lists(keys))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(k1, pa.int64()),
-                 pa.array(k2, pa.int64()), pa.array(need, pa.int64()), _lists(prefix)],
-                names=["doc_id", "n", "k1", "k2", "need", "prefix"])
+                 pa.array(k2, pa.int64()), pa.array(need, pa.int64()), prefixes],
+                names=["doc_id", "n", "k1", "k2", "need", "prefixes"])
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(
-        run, "doc_id long, n long, k1 long, k2 long, need long, prefix array<long>")
+        run, "doc_id long, n long, k1 long, k2 long, need long, prefixes array<array<long>>")
 
 
 def candidate_ties(prefixes: DataFrame) -> DataFrame:
     """(u, v): ties between documents that may link, transitively complete (step 1)."""
-    rows = prefixes.select("doc_id", F.explode("prefix").alias("shingle"))
-    shared = (rows.groupBy("shingle").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-              .filter("least < most").select("shingle", "least"))
-    marks = written(rows.join(shared, "shingle"), "ngram-marks")
-    often = marks.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"))
-    marked = marks.join(often, "shingle").groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("docs", "shingle", "least"))).alias("marks"))
+    schemes = prefixes.select("doc_id", F.posexplode("prefixes").alias("scheme", "keys"))
+    rows = schemes.select("doc_id", "scheme", F.explode("keys").alias("key"))
+    shared = rows.groupBy("key").count().filter("count > 1").select("key")
+    marks = written(rows.join(shared, "key"), "ngram-marks")
+    often = marks.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("least"))
+    marked = marks.join(often, "key").groupBy("doc_id", "scheme").agg(
+        F.sort_array(F.collect_list(F.struct("docs", "key", "least"))).alias("marks"))
     kept = marked.join(prefixes.select("doc_id", "need"), "doc_id").filter(F.size("marks") >= F.col("need")).withColumn(
         "marks", F.expr("slice(marks, 1, cast(size(marks) - need + 1 as int))"))
     ties = kept.select(F.col("doc_id").alias("u"), F.explode(F.array_distinct("marks.least")).alias("v")).filter("u <> v")
@@ -212,7 +244,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = written(base.filter("n > 0 and doc_id is not null").groupBy(*same)
                       .agg(F.min("doc_id").alias("class_id")), "ngram-classes")
     spread = classes.filter("n > 1").select("class_id", *same)
-    heads = base.filter(F.size("prefix") > 0).join(
+    heads = base.filter(F.size("prefixes") > 0).join(
         spread.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi").dropDuplicates(["doc_id", *same])
     groups = connected_components(candidate_ties(heads))
     sizes = spread.groupBy(F.col("class_id").alias("doc_id")).agg(F.max("n").alias("n"))
