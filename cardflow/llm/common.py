@@ -11,6 +11,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardflow.session import scratch_path
 
@@ -58,6 +59,21 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` without most of the rows whose long ``key`` is not among those of ``wanted``.
+
+    A bitmap of hashed keys of fixed size (256 rows of 4 KB, broadcast) is tested before the join
+    that follows shuffles ``df``. It only ever lets too many rows through, however many keys there are.
+    """
+    hashed = F.pmod(F.xxhash64(key), F.lit(256 * 32768))
+    bucket, place = F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed)
+    bits = F.broadcast(wanted.select(bucket.alias("__bucket"), place.alias("__place")).groupBy("__bucket").agg(
+        F.bitmap_construct_agg("__place").alias("__bits")))
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (df.join(bits, bucket == F.col("__bucket"))
+            .filter(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1).select(*df.columns))
+
+
 def consecutive_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each key as one table, from batches that are sorted by ``key``."""
     held: list[pa.RecordBatch] = []

@@ -40,13 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import per_group, ship_code, written
+from cardflow.llm.common import likely_in, per_group, ship_code, written
 from cardflow.llm.components import connected_components
 from cardflow.llm.textstats import mix64, shingle_set, utf8, word_hashes
 
 #: Common shingles asked of a pair's prefixes, as a share of the set in percent.
 EXTRA_PERCENT = 4
-BLOCK_DOCS = 384
+BLOCK_DOCS = 768
 BLOCK_SHINGLES = 1_500_000
 FRAGMENT = 4096
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
@@ -196,7 +196,7 @@ def verified_links(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id:
     blocks = classed.groupBy("component", "class").agg(F.greatest(*[F.ceil(x) for x in size]).alias("blocks"))
     split = classed.join(blocks, ["component", "class"]).groupBy("node").agg(F.collect_list(F.struct(
         "component", "class", "blocks", F.pmod(F.xxhash64("node", "class"), F.col("blocks")).alias("own"))).alias("places"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("body"))
+    texts = likely_in(docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("body")), "node", members)
 
     def expand(batches):
         for batch in batches:
