@@ -1,7 +1,7 @@
 """Vectorised word hashing of whole texts.
 
 Words are the runs of bytes other than space and 0x09-0x0D. Each word gets a 64-bit multilinear
-hash; texts are handled in slabs of a few MB, so memory stays bounded for any text length.
+hash; texts are handled in slabs of half a MB, so memory stays bounded for any text length.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-SLAB = 1 << 21
+SLAB = 1 << 19
 _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(1, 2**63, 1 << 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

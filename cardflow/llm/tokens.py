@@ -24,6 +24,7 @@ _ODD = (0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x18
 _ODD_CLASS = "[" + "".join(map(chr, _ODD)) + "]"
 _UNSAFE = re.compile(_ODD_CLASS + r"|^[ \n]+\Z")
 _CUT = "\x1f"
+#: Chunks in each half of a worker's cache.
 CACHE_CHUNKS = 400_000
 LONG_CHUNK = 48
 SLICE_BYTES = 12_000_000
@@ -54,11 +55,12 @@ def gather(codes: Sequence[bytes], where: np.ndarray, ends: np.ndarray) -> tuple
 
 
 class ChunkEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.cache_chunks = cache_chunks
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -77,8 +79,8 @@ class ChunkEncoder:
         spaced = [c for c in chunks if c[0] == " "]
         other = [c for c in chunks if c[0] != " "]
         groups = [spaced[k:k + RUN_CHUNKS] for k in range(0, len(spaced), RUN_CHUNKS)]
-        encoded = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
-        for group, found in zip(groups, encoded):
+        for group in groups:  # one at a time: the library's objects take a hundred bytes a token
+            (found,) = self.tokenizer.encode_batch_fast(["".join(group)], add_special_tokens=False)
             ids = np.array(found.ids, dtype="<u4")
             ends = np.cumsum(self.token_bytes[ids])
             wanted = np.cumsum([len(c.encode()) for c in group])
@@ -96,6 +98,7 @@ class ChunkEncoder:
         column = pc.fill_null(column.cast(pa.large_string()), "")
         for part in slices(column):
             yield from self._encode_slice(part)
+        pa.default_memory_pool().release_unused()
 
     def _encode_slice(self, texts: pa.Array) -> Iterator[bytes]:
         column = texts
@@ -124,7 +127,7 @@ class ChunkEncoder:
                     unknown.append(c)
         missing.update(self._ids(unknown))
         codes = [missing.get(c, b"") if x is None else x for c, x in zip(chunks, codes)]
-        if len(cache) + len(missing) > CACHE_CHUNKS:  # what is in use moves on from the older half
+        if len(cache) + len(missing) > self.cache_chunks:  # what is in use moves on from the older half
             self.older, self.cache = cache, {"": b""}
         self.cache.update((c, x) for c, x in missing.items() if len(c) <= LONG_CHUNK)
         if unsafe:
@@ -136,11 +139,12 @@ class ChunkEncoder:
             yield self._whole([texts[k].as_py()])[0] if odd[k] else bytes(data[4 * bounds[k]:4 * bounds[k + 1]])
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, cache_chunks: int = CACHE_CHUNKS) -> ChunkEncoder:
     """The worker process's encoder for a vocabulary file; its cache outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    key = (path, cache_chunks)
+    if key not in _encoders:
+        _encoders[key] = ChunkEncoder(path, cache_chunks)
+    return _encoders[key]

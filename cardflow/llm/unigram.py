@@ -38,7 +38,7 @@ from cardflow.llm.tokens import gather
 MARKER = "▁"
 _CUT = "\x1f"
 _CHUNK = re.compile(r"\n| *[^ \n]+| +")
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 300_000
 LONG_CHUNK = 48
 SLICE_CHARS = 8_000_000
 GROUP_BYTES = 1 << 21
