@@ -70,12 +70,6 @@ def decode(c: ColumnLike, mapping: Mapping[object, object], default=None) -> Col
     return case_when([(c == F.lit(k), v) for k, v in mapping.items()], default)
 
 
-def decode_in(c: ColumnLike, groups: Sequence[tuple[Iterable[object], object]], default=None) -> Column:
-    """Decode where several codes share one label: ``[(codes, label), ...]``."""
-    c = col(c)
-    return case_when([(c.isin(list(codes)), v) for codes, v in groups], default)
-
-
 def flag(c: ColumnLike, yes: str, no: str) -> Column:
     """Presence to label: non-NULL gives ``yes``, NULL gives ``no`` (PRJ-9)."""
     return F.when(col(c).isNotNull(), F.lit(yes)).otherwise(F.lit(no))

@@ -1,7 +1,7 @@
 """Run a report job end to end: read its tables, compute, write, export under a dated name.
 
     python -m cardflow.jobs interest_adjustments --run-date 2024-03-16 \\
-        --table txn_detail=warehouse.pl_txn_details --output-root /reports
+        --table txn_detail=warehouse.plan_transactions --output-root /reports
 
 ``--table name=location`` maps each input of the job to a catalog table or a parquet folder
 (a location containing ``/`` or ``:``). The run date defaults to today; every date the job uses

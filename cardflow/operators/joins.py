@@ -78,7 +78,8 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str],
 
     Adaptive execution splits an oversized partition of a sort-merge join only on a side it
     may duplicate: either side of an inner join, but only the preserved side of an outer one.
-    So the join is written as the inner join (a hot key on ``right`` is split into several
+    So where a key is hot (one aggregate over the key columns of ``right`` tells; ``hot=None``
+    skips it), the join is written as the inner join (a hot key on ``right`` is split into several
     tasks) plus the left rows without a match (an anti join, which never builds the key's
     rows), with the right side's columns NULL. Same rows as ``left.join(right, on, "left")``.
 
@@ -87,6 +88,12 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str],
     Where the plan leaves the join unsplittable, hot keys are salted (see
     ``left_join_many_parts``).
     """
+    from cardflow.operators.skew import hot_keys
+
+    if isinstance(hot, str):
+        hot = hot_keys(right.select(*on), on)
+    if hot is None:  # nothing is hot: one plain join, each side read once
+        return left.join(right, list(on), "left")
     matched, unmatched = left_join_many_parts(left, right, on, right_keys, hot)
     return matched.unionByName(unmatched)
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardflow.session import checkpoint_dir
+
 _PID, _LOCAL, _OFFSET, _COUNT = "__range_pid", "__local_rn", "__rn_offset", "__rows"
 
 
@@ -56,15 +58,17 @@ def with_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[Col
     (range partition, key) group, and each group gets the row count of the same key in earlier
     range partitions added. Within a range partition the keys are contiguous, so only its first
     key can continue from an earlier partition: the offset table has at most one row per range
-    partition, which bounds its broadcast. Both branches read one range exchange (Spark reuses
-    identical exchanges within a query), so their partition ids agree. End ``order`` with a
+    partition, which bounds its broadcast. The ranged rows are written to the checkpoint folder once with their
+    partition id, and both branches read them there, so the ids agree whatever the plan; this runs
+    when the frame is built. End ``order`` with a
     unique key for a reproducible numbering; give ``order`` columns an explicit NULL ordering
     (``pg_asc``/``pg_desc``).
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(k).asc_nulls_first() for k in partition]
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn(_PID, F.spark_partition_id())
+    checkpoint_dir(spark)
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
     local = ranged.withColumn(_LOCAL, F.row_number().over(Window.partitionBy(_PID, *partition).orderBy(*order)))
     counts = ranged.groupBy(*partition, _PID).agg(F.count(F.lit(1)).alias(_COUNT))
     before = Window.partitionBy(*partition).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -73,5 +77,5 @@ def with_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[Col
     cond = [local[c].eqNullSafe(offsets[c]) for c in [*partition, _PID]]
     joined = local.join(F.broadcast(offsets), cond, "left")
     out = joined.select(local["*"], F.col(_OFFSET))
-    return (out.withColumn(name, (F.col(_LOCAL) + F.coalesce(F.col(_OFFSET), F.lit(0))).cast("int"))
+    return (out.withColumn(name, (F.col(_LOCAL) + F.coalesce(F.col(_OFFSET), F.lit(0))).cast("long"))
             .drop(_PID, _LOCAL, _OFFSET))

@@ -17,18 +17,23 @@ _SALT, _HOT, _ROWS = "__salt", "__hot", "__rows"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
-             min_rows: int = 1_000_000) -> DataFrame | None:
+             min_rows: int | None = None) -> DataFrame | None:
     """Keys of ``df`` holding more than ``max(min_rows, rows / max_keys)`` rows, or ``None``
-    when there is none.
+    when there is none. ``min_rows`` defaults to a task's even share of the rows (and 10,000 at
+    least): a smaller key can't make a task much longer than the others.
 
     Fewer than ``max_keys`` keys can each hold more than ``rows / max_keys`` rows, so the result
     has a proven size bound and may be broadcast. One aggregate (partial step before its
     shuffle) gives the total and the largest per-key count to the driver; only when a key is
     hot is the key list itself computed, lazily, when the join that uses it runs.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    present = df.dropna(subset=list(keys))  # a NULL key matches nothing: never a reason to salt
+    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
     stats = counts.agg(F.sum(_ROWS).alias("total"), F.max(_ROWS).alias("largest")).first()
     total, largest = int(stats["total"] or 0), int(stats["largest"] or 0)
+    if min_rows is None:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        min_rows = max(10_000, -(-total // tasks))
     threshold = max(min_rows, -(-total // max_keys))
     if largest <= threshold:
         return None
@@ -39,9 +44,10 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
                 hot: DataFrame | None = None, salts: int = 32) -> DataFrame:
     """``big.join(small, keys, how)`` (``how`` is ``inner`` or ``left``) with hot keys spread.
 
-    Rows of ``big`` whose key is hot get a salt in ``[0, salts)`` from a hash of the whole row
-    (deterministic, so a retried task salts the same way); rows of ``small`` with a hot key are
-    copied once per salt; every other row has salt 0. The join on (keys, salt) returns the same
+    Rows of ``big`` whose key is hot, or NULL (it matches nothing), get a salt in ``[0, salts)`` from
+    their place in the input, so identical rows get different ones too; rows of ``small`` with a hot
+    key are copied once per salt, so any salt of a retried task gives the same rows; every other row
+    has salt 0. The join on (keys, salt) returns the same
     rows as the plain join, and a hot key's rows are spread over ``salts`` tasks. ``hot``
     defaults to ``hot_keys(big, keys)``; pass it when several joins share the same hot keys.
     When no key is hot this is the plain join.
@@ -53,9 +59,12 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     if hot is None:  # nothing is hot: the plain join keeps the cheaper co-partitioned plan
         return big.join(small, keys, how)
     marks = F.broadcast(hot.select(*keys).distinct().withColumn(_HOT, F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts))
+    spreads = F.coalesce(F.col(_HOT), F.lit(False))
+    for key in keys:
+        spreads = spreads | F.col(key).isNull()
     b = (big.join(marks, keys, "left")
-         .withColumn(_SALT, F.when(F.col(_HOT), spread).otherwise(F.lit(0)).cast("long")).drop(_HOT))
+         .withColumn(_SALT, F.when(spreads, spread).otherwise(F.lit(0)).cast("long")).drop(_HOT))
     zero, last = F.lit(0).cast("long"), F.lit(salts - 1).cast("long")
     copies = F.when(F.col(_HOT), F.sequence(zero, last)).otherwise(F.array(zero))
     s = small.join(marks, keys, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)

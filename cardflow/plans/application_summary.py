@@ -328,6 +328,8 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
     # per id, so only the first needs the DISTINCT (its partial step runs before the shuffle).
     legacy_ids = legacy_rows(inputs["legacy_app"]).select(F.col("app_num").alias("appl_id"))
     hot_ids = None if hot is None else hot.select(F.col("app_num").alias("appl_id"))
+    if hot is None:  # one pass: spine and current source are computed once
+        return distinct_rows(_overlay(spine.join(cur, "appl_id", "left").join(ta, "appl_id", "left"), rules))
     matched, unmatched = left_join_many_parts(spine.join(cur, "appl_id", "left"), ta, ["appl_id"], legacy_ids,
                                               hot_ids, salts)
     return distinct_rows(_overlay(matched, rules)).unionByName(_overlay(unmatched, rules))

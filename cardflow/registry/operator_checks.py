@@ -394,13 +394,13 @@ def q_not_in_with_null(spark, sf_dir):
 
 
 @check("q_row_number", f"""
-SELECT o_orderkey, o_custkey, {_NULLABLE_DAY_SQL} AS d,
+SELECT o_orderkey, o_custkey, o_totalprice, {_NULLABLE_DAY_SQL} AS d,
        CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY {_NULLABLE_DAY_SQL} DESC NULLS FIRST,
-                               o_orderkey DESC NULLS FIRST) AS INTEGER) AS rn
+                               o_orderkey DESC NULLS FIRST) AS BIGINT) AS rn
 FROM orders
 """)
 def q_row_number(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", _nullable_day().alias("d"))
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", _nullable_day().alias("d"))
     return with_row_number(o, ["o_custkey"], [pg_desc("d"), pg_desc("o_orderkey")], "rn")
 
 

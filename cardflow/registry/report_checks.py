@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from cardflow.plans.adjustment_transactions import ACCOUNTING_FUNCTIONS, adjustment_transactions
 from cardflow.plans.application_summary import (SUMMARY_INPUTS, daily_application_summary,
                                                 run_daily_application_summary)
@@ -134,6 +136,26 @@ def q_append_returning(spark, sf_dir):
     return load_new_keys(batch, target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
 
 
+@check("q_load_second_batch", DELTA_SQL)
+def q_load_second_batch(spark, sf_dir):
+    """Two batches of one load date: the second holds the first's keys and the unseen ones."""
+    from cardflow.plans.new_flagged_accounts import flagged_batch
+
+    target = _seeded_history(spark, sf_dir)
+    batch = flagged_batch(report_input(spark, sf_dir, "account_snapshot"), BD_FLAGGED)
+    load_new_keys(batch.filter("acct_id < 1000"), target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
+    return load_new_keys(batch, target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
+
+
+@check("q_replace_self_read", RPT3_SQL)
+def q_replace_self_read(spark, sf_dir):
+    """A replace whose plan reads the target, spelled in another way."""
+    folder = scratch_path(spark, "replaced", uuid.uuid4().hex)
+    replace_table(q_rpt_interest_adjustments_mtd(spark, sf_dir), f"{folder}/t")
+    replace_table(read_target(spark, f"{folder}/t"), f"{folder}/./t")
+    return read_target(spark, f"{folder}/t")
+
+
 @check("q_replace_table", RPT3_SQL)
 def q_replace_table(spark, sf_dir):
     target = scratch_path(spark, "replaced", uuid.uuid4().hex)
@@ -151,6 +173,19 @@ def q_report_export(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@check("q_report_export_csv", """
+SELECT '  ' || c_name || ' ' AS padded, c_custkey, CASE WHEN c_nationkey < 12 THEN '   ' ELSE 'x' END AS blank
+FROM customer
+""")
+def q_report_export_csv(spark, sf_dir):
+    """The default export keeps blanks at either end of a text."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("padded"), "c_custkey",
+        F.when(F.col("c_nationkey") < 12, "   ").otherwise("x").alias("blank"))
+    path, _ = write_report(customer, scratch_path(spark, "reports", uuid.uuid4().hex), "padded", BD_MTD)
+    return spark.read.option("header", True).schema(customer.schema).csv(path)
+
+
 # ---------------------------------------------------------------- RPT-5
 def _summary_sql() -> str:
     """The summary in DuckDB, written independently of the DataFrame code: blank-to-NULL values

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # also where a split join feeds an aggregate that would otherwise reuse the join's partitioning
 # (AQE then adds the exchange above the partial aggregate), and JIT-friendly code generation.
 RECOMMENDED_CONF = {
+    "spark.sql.session.timeZone": "UTC",  # days and months of zoned timestamps don't depend on the cluster
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

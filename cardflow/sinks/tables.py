@@ -8,6 +8,7 @@ a lost executor cannot take the only copy of rows that are about to be appended.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -65,28 +66,17 @@ def append_returning(df: DataFrame, target: str, columns: Sequence[str]) -> Data
     return kept
 
 
-def _reads_target(df: DataFrame, target: str) -> bool:
-    """True when the plan of ``df`` reads files under the parquet folder ``target``."""
-    if not target_exists(df.sparkSession, target):
-        return False
-    loc = target.rstrip("/").replace("file://", "").replace("file:", "")
-    return any(loc in f for f in df.inputFiles())
-
-
 def replace_table(df: DataFrame, target: str) -> None:
     """``DROP TABLE IF EXISTS`` + ``CREATE TABLE AS`` (SNK-3).
 
-    Catalog table: the rows are written to a staging table first, then the old table is
-    dropped and the staging table renamed. Until the new rows are completely written the old
-    table stays as it was (a lost job leaves it intact), and a plan that reads its own target
-    needs no special care. Parquet folder: a plan that reads the folder is materialised first
-    (overwriting deletes the folder before writing), then the folder is overwritten.
+    The rows are completely written to a staging table or sibling folder first, and only then take
+    the target's place by renaming. A job that fails leaves the old rows as they were, and a plan that
+    reads its own target, however the path is spelled, needs no special care. Between the two
+    renames (drop and rename for a catalog table) there is a moment without a target.
     """
     spark = df.sparkSession
     if is_path(target):
-        if _reads_target(df, target):
-            df = materialize(df)
-        df.write.mode("overwrite").parquet(target)
+        _replace_folder(df, target)
         return
     staging = f"{target}__staging"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
@@ -95,6 +85,22 @@ def replace_table(df: DataFrame, target: str) -> None:
     spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
 
 
+def _replace_folder(df: DataFrame, target: str) -> None:
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(target.rstrip("/"))
+    mark = uuid.uuid4().hex
+    staging, old = (hadoop.Path(place.getParent(), f"_{kind}_{place.getName()}_{mark}") for kind in ("new", "old"))
+    df.write.parquet(staging.toString())
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(place) and not fs.rename(place, old):
+        raise OSError(f"could not move {target} aside; the new rows are in {staging}")
+    if not fs.rename(staging, place):
+        fs.rename(old, place)
+        raise OSError(f"could not move {staging} to {target}")
+    fs.delete(old, True)
+
+
 def report_path(root: str, name: str, bd: BusinessDate, grain: str = "day") -> str:
     """``{root}/{name}_{stamp}``: ``%Y%m%d`` for daily, ``%Y%m`` for monthly reports (SNK-4)."""
     return f"{root.rstrip('/')}/{name}_{bd.stamp(grain)}"
@@ -112,7 +118,9 @@ def write_report(df: DataFrame, root: str, name: str, bd: BusinessDate, grain: s
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # text as it is: blanks at either end belong to the value
+        writer = (writer.option("header", True).option("ignoreLeadingWhiteSpace", False)
+                  .option("ignoreTrailingWhiteSpace", False))
     writer.format(fmt).save(path)
     return path, int(obs.get["rows"])
 
@@ -136,17 +144,11 @@ def load_new_keys(batch: DataFrame, target: str, match_on: Sequence[str], column
                   load_date: dt.date, load_col: str = "data_load_dt") -> DataFrame:
     """Incremental load (CMP-5): append the batch rows with unseen keys and return them.
 
-    Safe to re-run: if rows stamped with ``load_date`` are already in the target the append is
-    skipped, and the returned rows are always read back from the target by ``load_date``, so a
-    retry after a failure between append and report gives the same report.
+    Keys the target already holds, of whatever load date, are left out, so a second batch of the same
+    date adds its unseen keys and a re-run adds nothing. The returned rows are read back from the
+    target by ``load_date``: a retry after a failure between append and report gives the same report.
     """
     spark = batch.sparkSession
-    if target_exists(spark, target):
-        history = read_target(spark, target)
-        done = not history.filter(F.col(load_col) == F.lit(load_date)).isEmpty()
-        if not done:
-            delta = new_keys(batch, history, match_on)
-            append_returning(stamp_rows(delta, load_date, load_col), target, columns)
-    else:
-        append_returning(stamp_rows(batch, load_date, load_col), target, columns)
+    delta = new_keys(batch, read_target(spark, target), match_on) if target_exists(spark, target) else batch
+    append_rows(stamp_rows(delta, load_date, load_col), target, columns)
     return read_target(spark, target).filter(F.col(load_col) == F.lit(load_date))

@@ -182,3 +182,23 @@ def test_left_join_many_salts_a_hot_key_after_another_join(spark):
     assert sorted(rows(got), key=repr) == sorted(rows(want.select(*got.columns)), key=repr)
     assert partitions_holding(spark, got, "k = 7") > 1
     assert partitions_holding(spark, J.left_join_many(left, right, ["k"], hot=None), "k = 7") == 1
+
+
+def test_row_number_with_payload_and_a_hot_key(spark):
+    from cardflow.operators.ranking import row_number, with_row_number
+
+    df = spark.range(60_000).select((F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 97)).alias("k"), "id",
+                                    F.concat(F.lit("payload"), F.col("id")).alias("p"))
+    got = with_row_number(df, ["k"], [F.col("id").desc_nulls_first()], "rn", num_partitions=8).select("id", "rn")
+    want = df.withColumn("want", row_number(["k"], [F.col("id").desc_nulls_first()])).select("id", "want")
+    assert got.join(want, "id").filter("rn <> want").count() == 0
+
+
+def test_salted_join_spreads_identical_rows_and_null_keys(spark):
+    from cardflow.operators.skew import salted_join
+
+    big = spark.range(4000).select(F.when(F.col("id") < 2000, 7).cast("long").alias("k"), F.lit("x").alias("v"))
+    small = spark.createDataFrame([(7, "a")], "k long, w string")
+    hot = spark.createDataFrame([(7,)], "k long")
+    got = salted_join(big, small, ["k"], "left", hot=hot, salts=8)
+    assert got.count() == 4000 and got.filter("w = 'a'").count() == 2000

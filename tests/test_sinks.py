@@ -103,3 +103,30 @@ def test_failed_replace_keeps_old_catalog_table(spark, scratch):
     assert sorted(rows(spark.table(name))) == [(1,), (2,)]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"DROP TABLE IF EXISTS {name}__staging")
+
+
+def test_second_batch_of_a_load_date_adds_its_unseen_keys(spark, scratch):
+    target, day = os.path.join(scratch, "second"), dt.date(2024, 1, 1)
+    make = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k long")
+    load_new_keys(make(2), target, ["k"], ["k", "data_load_dt"], day)
+    assert sorted(rows(load_new_keys(make(2, 3), target, ["k"], ["k", "data_load_dt"], day), "k")) == [(2,), (3,)]
+
+
+def test_failing_folder_replace_keeps_the_old_rows(spark, scratch):
+    target = os.path.join(scratch, "kept")
+    replace_table(spark.createDataFrame([(1,)], "k long"), target)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("k"))
+    try:
+        replace_table(broken, target)
+        raise AssertionError("the replace should fail")
+    except Exception as error:
+        assert "no" in str(error)
+    assert rows(read_target(spark, target)) == [(1,)]
+    replace_table(read_target(spark, target).withColumn("k", F.col("k") + 1), os.path.join(scratch, ".", "kept"))
+    assert rows(read_target(spark, target)) == [(2,)]
+
+
+def test_csv_export_keeps_blanks(spark, scratch):
+    df = spark.createDataFrame([("  DEC ", 1), ("   ", 2)], "v string, k int")
+    path, _ = write_report(df, scratch, "blank", BusinessDate(dt.date(2024, 3, 1)))
+    assert sorted(rows(spark.read.option("header", True).csv(path), "v")) == [("   ",), ("  DEC ",)]
