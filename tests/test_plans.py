@@ -87,9 +87,9 @@ def test_summary_joins_share_the_application_key(spark):
 
 
 def test_left_join_many_splits_a_hot_key(spark):
-    from pyspark.sql import functions as F
+    from test_operators import partitions_holding
 
-from test_operators import partitions_holding
+    from pyspark.sql import functions as F
 
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
@@ -111,7 +111,7 @@ from test_operators import partitions_holding
         assert partitions_holding(spark, J.left_join_many(left, right, ["k"]), "k = 7") > 1
         # the summary's shape: DISTINCT right after the split join (needs forceOptimizeSkewedJoin,
         # part of the recommended settings; AQE then shuffles above the partial aggregate)
-        matched, _ = J.left_join_many_parts(left, right, ["k"])
+        matched, _ = J.left_join_many_parts(left, right, ["k"], hot=None)
         deduped = matched.distinct()
         assert deduped.count() == n  # every right row matches and v is unique
         deduped.collect()
