@@ -3,12 +3,13 @@
 A document is the sorted set of its 64-bit word-shingle hashes; the hash order is the global
 n-gram order. Documents with the same set form a class, and only one document of a class goes on.
 
-1. Candidates. If two sets have Jaccard similarity >= t, at most ``d = n(1-t)/t`` shingles of
-   either (n shingles) are not shared, so the first ``d + l`` shingles of both in the global
-   order hold at least ``l`` common ones. From 88 % on the keys are coarser: the global order is
-   cut into K fragments (K a power of two that follows n), and a key is a fragment with all the
-   shingles that the document has there. At most d fragments differ, so the same holds for the
-   non-empty fragments, and texts that merely share passages share few whole fragments. Documents
+1. Candidates. If two sets have Jaccard similarity >= t, at most ``n(1-t)`` shingles of a set of
+   n are not in the other, so the first ``n(1-t) + l`` shingles of both in the global order hold
+   at least ``l`` common ones. From 88 % on the keys are coarser: the global order is cut into K
+   fragments (K a power of two that follows n), and a key is a fragment with all the shingles that
+   the document has there. At most ``d = n(1-t)/t`` shingles are in one set only, so at most d
+   fragments differ and the first ``d + l`` non-empty fragments hold ``l`` common ones; texts that
+   merely share passages share few whole fragments. Documents
    with so few non-empty fragments that they or a partner may lack ``d + l`` of them use the
    shingles too. Only these keys are shuffled. A key of one document only cannot be shared; a
    document with fewer than ``l`` shared keys has no partner. Of the rest, the ``l - 1`` most
@@ -21,9 +22,12 @@ n-gram order. Documents with the same set form a class, and only one document of
 3. A block returns a spanning forest of its links, and the components of all forests are the
    result. No list of all pairs is ever made, and no link is lost.
 
-A group of more than one block is cut by set size first, as linked sets are of similar size; the
-documents of a size class are then sent to as many blocks as the class has: work on a group grows
-with the square of its distinct texts of a size, its memory does not.
+A group of more than one block is grouped anew first, by step 1 on whole sets within the group: a
+linked document has at least t of its shingles in one other document, so those that merely share
+passages leave the group, and only the rarest 1 - t of the shared shingles tie. What is still more
+than one block is cut by set size, as linked sets are of similar size; the documents of a size class
+are then sent to as many blocks as the class has: work on a group grows with the square of its
+distinct texts of a size, its memory does not.
 
 A null or empty text has no shingles and links with nothing. Rows with a null id are returned with
 a null component and link with nothing. Repeated rows are one document; an id that occurs with
@@ -37,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardflow.llm.common import likely_in, per_group, ship_code, written
@@ -85,8 +89,9 @@ def _keys(s: np.ndarray, percent: int, extra: int) -> list[tuple[int, np.ndarray
     if not d:  # only an equal set can link
         return []
     size, need = d + _common(n, extra), _common(-(-n * percent // 100), extra)
+    first = s[:n + -n * percent // 100 + _common(n, extra)]
     if percent < 88:
-        return [(need, s[:size])]
+        return [(need, first)]
     schemes = []
     least = -(-size * 100 // percent) + 2 + d  # fewer fragments: a partner may have less than its size
     plain = False
@@ -96,7 +101,7 @@ def _keys(s: np.ndarray, percent: int, extra: int) -> list[tuple[int, np.ndarray
         whole = np.add.reduceat(mix64(s), starts)
         schemes.append((need, mix64(whole + where[starts] * _ODD[0] + np.uint64(fragments) * _ODD[1])[:size]))
         plain |= len(starts) < least
-    return [*schemes, (need, s[:size])] if plain else schemes
+    return [*schemes, (need, first)] if plain else schemes
 
 
 def shingle_prefixes(docs: DataFrame, doc_id: str, text: str, width: int, percent: int,
@@ -142,6 +147,49 @@ def candidate_ties(prefixes: DataFrame) -> DataFrame:
     return written(ties, "ngram-ties")
 
 
+def _sizes() -> tuple[Column, Column]:
+    """A group's size in blocks, by documents and by shingles."""
+    return F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES
+
+
+def _texts_of(members: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``members`` (one row a node) with the texts of their documents in ``body``."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("body"))
+    return members.join(likely_in(texts, "node", members), "node")
+
+
+def refined(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id: str, text: str, width: int,
+            percent: int) -> DataFrame:
+    """(node, component, n): ``groups`` with those of more than one block grouped anew by the whole
+    sets of their documents; nodes that can't link are absent."""
+    members = written(groups.join(sizes, groups["node"] == sizes["doc_id"]).select("node", "component", "n"), "ngram-members")
+    large = written(members.groupBy("component").agg(F.greatest(*_sizes()).alias("size")).filter("size > 1")
+                    .select("component"), "ngram-large")
+    if large.isEmpty():
+        return members
+    again = members.join(large, "component", "left_semi")
+
+    def whole(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sets = list(_sets(batch, width, lower=True))
+            salt = mix64(batch.column(1).to_numpy().view(np.uint64))
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            keys = _lists([mix64(s ^ x) for s, x in zip(sets, salt)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(-(-n * percent // 100)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32)), keys)],
+                names=["doc_id", "need", "prefixes"])
+
+    ship_code(docs.sparkSession)
+    texts = _texts_of(again, docs, doc_id, text).select("node", "component", "body").distinct()
+    sets = written(texts.mapInArrow(whole, "doc_id long, need long, prefixes array<array<long>>"), "ngram-again")
+    anew = connected_components(candidate_ties(sets)).join(sizes, F.col("node") == F.col("doc_id")).select(
+        "node", "component", "n")
+    return written(members.join(large, "component", "left_anti").select("node", "component", "n").union(anew), "ngram-refined")
+
+
 def _links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Boolean matrix of the linked pairs of a block: overlaps counted fragment by fragment."""
     m = len(sets)
@@ -184,8 +232,8 @@ def verified_links(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id:
 
     ``groups``: (node, component); ``sizes``: (doc_id, n) of the same documents.
     """
-    members = written(groups.join(sizes, groups["node"] == sizes["doc_id"]).select("node", "component", "n"), "ngram-members")
-    size = (F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)
+    members = refined(groups, docs, sizes, doc_id, text, width, percent)
+    size = _sizes()
     large = members.groupBy("component").agg(F.greatest(*size).alias("size")).filter("size > 1").select(
         "component", F.lit(True).alias("large"))
     # linked sets differ in size by a factor of at most 1 / t: their classes are the same or neighbours
@@ -196,7 +244,6 @@ def verified_links(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id:
     blocks = classed.groupBy("component", "class").agg(F.greatest(*[F.ceil(x) for x in size]).alias("blocks"))
     split = classed.join(blocks, ["component", "class"]).groupBy("node").agg(F.collect_list(F.struct(
         "component", "class", "blocks", F.pmod(F.xxhash64("node", "class"), F.col("blocks")).alias("own"))).alias("places"))
-    texts = likely_in(docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("body")), "node", members)
 
     def expand(batches):
         for batch in batches:
@@ -205,7 +252,7 @@ def verified_links(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id:
                                                  names=["node", "places", "grams"])
 
     places = "array<struct<component:long,class:long,blocks:long,own:long>>"
-    sets = split.join(texts, "node").select("node", "places", "body").mapInArrow(
+    sets = _texts_of(split, docs, doc_id, text).select("node", "places", "body").mapInArrow(
         expand, f"node long, places {places}, grams array<long>")
     # a block pair (i, j) gets the documents of i and j; a group of one block is compared within
     placed = sets.select("node", F.explode("places").alias("p"), "grams")
