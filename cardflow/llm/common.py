@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -74,6 +75,15 @@ def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
             .filter(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1).select(*df.columns))
 
 
+def give_back() -> None:
+    """Hand the memory that a finished task no longer uses back to the system: Python workers live on
+    and go over to other stages, where what earlier ones have left adds up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def consecutive_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each key as one table, from batches that are sorted by ``key``."""
     held: list[pa.RecordBatch] = []
@@ -101,6 +111,7 @@ def per_group(df: DataFrame, key: str, fn: Callable[[pa.Table], pa.RecordBatch],
             out = fn(group)
             if out is not None and out.num_rows:
                 yield out
+        give_back()
 
     ship_code(df.sparkSession)
     n = parallelism(df.sparkSession)

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import likely_in, per_group, ship_code, written
+from cardflow.llm.common import give_back, likely_in, per_group, ship_code, written
 from cardflow.llm.components import connected_components
 from cardflow.llm.textstats import mix64, shingle_set, utf8, word_hashes
 
@@ -127,6 +127,7 @@ def shingle_prefixes(docs: DataFrame, doc_id: str, text: str, width: int, percen
                 [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(k1, pa.int64()),
                  pa.array(k2, pa.int64()), pa.array(need, pa.int64()), prefixes],
                 names=["doc_id", "n", "k1", "k2", "need", "prefixes"])
+        give_back()
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(
         run, "doc_id long, n long, k1 long, k2 long, need long, prefixes array<array<long>>")
@@ -181,6 +182,7 @@ def refined(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id: str, t
                 [batch.column(0), pa.array(-(-n * percent // 100)),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32)), keys)],
                 names=["doc_id", "need", "prefixes"])
+        give_back()
 
     ship_code(docs.sparkSession)
     texts = _texts_of(again, docs, doc_id, text).select("node", "component", "body").distinct()
@@ -195,15 +197,16 @@ def _links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     m = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     grams = np.concatenate(sets)
-    owner = np.repeat(np.arange(m), sizes)
+    owner = np.repeat(np.arange(m, dtype=np.int32), sizes)
     order = np.argsort(grams, kind="stable")
     grams, owner = grams[order], owner[order]
     first = np.empty(len(grams), dtype=bool)
     first[:1], first[1:] = True, grams[1:] != grams[:-1]
-    rank = np.cumsum(first) - 1
+    rank = np.cumsum(first, dtype=np.int32) - 1
     often = np.bincount(rank)[rank] > 1  # an n-gram of one document overlaps with nothing
     owner, rank = owner[often], rank[often]
-    _, rank = np.unique(rank, return_inverse=True)
+    first = np.append(True, rank[1:] != rank[:-1])[:len(rank)]
+    rank = np.cumsum(first, dtype=np.int32) - 1
     overlap = np.zeros((m, m), dtype=np.int64)
     for low in range(0, int(rank[-1]) + 1 if len(rank) else 0, FRAGMENT):
         a, b = np.searchsorted(rank, [low, low + FRAGMENT])
@@ -250,6 +253,7 @@ def verified_links(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(list(_sets(batch, width, lower=True)))],
                                                  names=["node", "places", "grams"])
+        give_back()
 
     places = "array<struct<component:long,class:long,blocks:long,own:long>>"
     sets = _texts_of(split, docs, doc_id, text).select("node", "places", "body").mapInArrow(

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import ship_code, written
+from cardflow.llm.common import give_back, ship_code, written
 from cardflow.llm.tokens import CACHE_CHUNKS, encoder
 
 CAPACITY = 2048
@@ -121,6 +121,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                     row += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                              names=[f.split()[0] for f in PIECES.split(", ")])
+        give_back()
 
     ship_code(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, PIECES)

@@ -189,10 +189,10 @@ def test_quality_model_held_out_accuracy(spark):
     assert len({r["s"] for r in empty.collect()}) == 1
 
 
-@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
-def test_jaccard_components(spark, docs, width, percent):
+def brute_components(rows, width, percent):
+    """({id: number of shingles}, {id: least id reachable by links}) by comparing all pairs."""
     sets = {}
-    for key, text in odd_documents():
+    for key, text in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
         s = {tuple(w[k:k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
         if key is not None:
@@ -202,13 +202,48 @@ def test_jaccard_components(spark, docs, width, percent):
         new = {a: min([label[a], *(label[b] for b in sets if sets[a] and sets[b] and 100 * len(sets[a] & sets[b])
                                    >= percent * len(sets[a] | sets[b]))]) for a in sets}
         if new == label:
-            break
+            return {k: len(s) for k, s in sets.items()}, label
         label = new
+
+
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
+def test_jaccard_components(spark, docs, width, percent):
+    sizes, label = brute_components(odd_documents(), width, percent)
     rows = ngram_join.jaccard_components(docs, width=width, percent=percent).collect()
     assert len(rows) == docs.count()
     for r in rows:
         if r["doc_id"] is not None:
-            assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), label[r["doc_id"]])
+            assert (r["n_shingles"], r["component_id"]) == (sizes[r["doc_id"]], label[r["doc_id"]])
+
+
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
+def test_jaccard_large_groups(spark, monkeypatch, width, percent):
+    """Shared passages tie many documents into groups of far more than one block; edited copies with
+    similarities on both sides of the limit, and repeated rows, are among them."""
+    rng = random.Random(percent)
+    word = lambda: f"w{rng.randrange(4000)}"
+    passages = [[word() for _ in range(40)] for _ in range(4)]
+    rows = []
+    for k in range(40):
+        text = [word() for _ in range(rng.randrange(30, 90))]
+        text += rng.choice(passages) + rng.choice(passages)
+        rows.append((len(rows), " ".join(text)))
+        for _ in range(rng.randrange(4)):
+            copy = list(text)
+            for _ in range(rng.randrange(7)):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append((len(rows), " ".join(copy[:len(copy) - rng.randrange(12)])))
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 4)
+    seen = []
+    refined = ngram_join.refined
+    monkeypatch.setattr(ngram_join, "refined", lambda *a: seen.append((a[0].count(), refined(*a))) or seen[-1][1])
+    sizes, label = brute_components(rows, width, percent)
+    docs = spark.createDataFrame([*rows, *rows[:5]], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+             for r in ngram_join.jaccard_components(docs, width=width, percent=percent, extra=1).collect()}
+    assert found == {k: (sizes[k], label[k]) for k in sizes}
+    assert 0 < len(set(label.values())) < len(rows)
+    assert seen[0][1].count() < seen[0][0]
 
 
 def test_components_of_a_chain(spark):
