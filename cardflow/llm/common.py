@@ -84,6 +84,13 @@ def give_back() -> None:
         trim(0)
 
 
+def short_batches(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``rows`` and none empty: little is held, and sent, at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def consecutive_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each key as one table, from batches that are sorted by ``key``."""
     held: list[pa.RecordBatch] = []

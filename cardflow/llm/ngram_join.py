@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import give_back, likely_in, per_group, ship_code, written
+from cardflow.llm.common import give_back, likely_in, per_group, ship_code, short_batches, written
 from cardflow.llm.components import connected_components
 from cardflow.llm.textstats import mix64, shingle_set, utf8, word_hashes
 
@@ -110,9 +110,7 @@ def shingle_prefixes(docs: DataFrame, doc_id: str, text: str, width: int, percen
     partner must share in a scheme, and the keys of each scheme (none where no other set can link)."""
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in short_batches(batches):
             n, k1, k2, need, schemes, keys = [], [], [], [], [0], []
             for s in _sets(batch, width, lower=True):
                 found = _keys(s, percent, extra)
@@ -171,9 +169,7 @@ def refined(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id: str, t
     again = members.join(large, "component", "left_semi")
 
     def whole(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in short_batches(batches):
             sets = list(_sets(batch, width, lower=True))
             salt = mix64(batch.column(1).to_numpy().view(np.uint64))
             n = np.array([len(s) for s in sets], dtype=np.int64)
@@ -249,10 +245,9 @@ def verified_links(groups: DataFrame, docs: DataFrame, sizes: DataFrame, doc_id:
         "component", "class", "blocks", F.pmod(F.xxhash64("node", "class"), F.col("blocks")).alias("own"))).alias("places"))
 
     def expand(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(list(_sets(batch, width, lower=True)))],
-                                                 names=["node", "places", "grams"])
+        for batch in short_batches(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(list(_sets(batch, width, lower=True)))],
+                                             names=["node", "places", "grams"])
         give_back()
 
     places = "array<struct<component:long,class:long,blocks:long,own:long>>"

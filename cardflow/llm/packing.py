@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardflow.llm.common import give_back, ship_code, written
-from cardflow.llm.tokens import CACHE_CHUNKS, encoder
+from cardflow.llm.tokens import CACHE_CHUNKS, SLICE_BYTES, encoder
 
 CAPACITY = 2048
 #: Parts of each length for ranking: at least SALTS, and one for each SALT_ROWS pieces.
@@ -102,7 +102,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 1,
-           capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS) -> DataFrame:
+           capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row for each piece: full windows and the remainder of each document. ``row`` is unique."""
     tail = end_id.to_bytes(4, "little")
 
@@ -111,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
         for batch in batches:
             out: list[list[int | None]] = [[] for _ in range(6)]
             ids = batch.column(0).to_pylist()
-            for key, data in zip(ids, encoder(tokenizer, cache_chunks).encode(batch.column(1))):
+            for key, data in zip(ids, encoder(tokenizer, cache_chunks, slice_bytes).encode(batch.column(1))):
                 data += tail
                 n = len(data) // 4
                 for start in range(0, n, capacity):
@@ -140,10 +140,10 @@ def ranked(parts: DataFrame, total: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 1,
-         capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS) -> DataFrame:
+         capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row a piece."""
     spark: SparkSession = docs.sparkSession
-    parts = written(pieces(docs, tokenizer, doc_id, text, end_id, capacity, cache_chunks), "packing-pieces")
+    parts = written(pieces(docs, tokenizer, doc_id, text, end_id, capacity, cache_chunks, slice_bytes), "packing-pieces")
     histogram = {int(r[0]): int(r[1]) for r in parts.groupBy("length").count().collect()}  # <= capacity rows
     rows = plan_rows(minimum_bin_slack(histogram, capacity))
     # at most capacity patterns of at most sqrt(2 * capacity) distinct lengths: a bounded table

@@ -55,12 +55,12 @@ def gather(codes: Sequence[bytes], where: np.ndarray, ends: np.ndarray) -> tuple
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
+    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS, slice_bytes: int = SLICE_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache_chunks = cache_chunks
+        self.cache_chunks, self.slice_bytes = cache_chunks, slice_bytes
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -96,7 +96,7 @@ class ChunkEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers; a null is an empty text."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         column = pc.fill_null(column.cast(pa.large_string()), "")
-        for part in slices(column):
+        for part in slices(column, self.slice_bytes):
             yield from self._encode_slice(part)
         pa.default_memory_pool().release_unused()
 
@@ -139,12 +139,13 @@ class ChunkEncoder:
             yield self._whole([texts[k].as_py()])[0] if odd[k] else bytes(data[4 * bounds[k]:4 * bounds[k + 1]])
 
 
-_encoders: dict[tuple[str, int], ChunkEncoder] = {}
+_encoders: dict[tuple[str, int, int], ChunkEncoder] = {}
 
 
-def encoder(path: str, cache_chunks: int = CACHE_CHUNKS) -> ChunkEncoder:
-    """The worker process's encoder for a vocabulary file; its cache outlives a task."""
-    key = (path, cache_chunks)
+def encoder(path: str, cache_chunks: int = CACHE_CHUNKS, slice_bytes: int = SLICE_BYTES) -> ChunkEncoder:
+    """The worker process's encoder for a vocabulary file; its cache outlives a task. The text of
+    ``slice_bytes`` that is encoded at a time takes some thirty times its size in memory."""
+    key = (path, cache_chunks, slice_bytes)
     if key not in _encoders:
-        _encoders[key] = ChunkEncoder(path, cache_chunks)
+        _encoders[key] = ChunkEncoder(*key)
     return _encoders[key]

@@ -18,8 +18,9 @@ SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
 #: Common shingles asked of two prefixes, in percent of the set; more than for 90 % similarity.
 PREFIX_EXTRA = 10
-#: A small cache of token chunks: workers that go on with other stages keep it.
-CACHE_CHUNKS = 100_000
+#: A small cache of token chunks and little text encoded at a time: the workers also hold what the
+#: stages before have left, and the executor's JVM its whole heap.
+CACHE_CHUNKS, SLICE_BYTES = 100_000, 1_500_000
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +66,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All remaining documents packed into sequences of 2048 ids, one row a piece."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_chunks=CACHE_CHUNKS)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_chunks=CACHE_CHUNKS,
+                        slice_bytes=SLICE_BYTES)
 
 
 STAGES = [
