@@ -99,7 +99,7 @@ def _keys(s: np.ndarray, percent: int, extra: int) -> list[tuple[int, np.ndarray
         where = ((s >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
         starts = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
         whole = np.add.reduceat(mix64(s), starts)
-        schemes.append((need, mix64(whole + where[starts] * _ODD[0] + np.uint64(fragments) * _ODD[1])[:size]))
+        schemes.append((need, mix64(whole + where[starts] * _ODD[0] + np.uint64(fragments * int(_ODD[1]) % 2**64))[:size]))
         plain |= len(starts) < least
     return [*schemes, (need, first)] if plain else schemes
 
