@@ -1,5 +1,6 @@
 """The training-data operators against brute force, on small fixtures with odd rows."""
 
+import functools
 import hashlib
 import random
 import re
@@ -36,10 +37,15 @@ def docs(spark):
     return spark.createDataFrame([(k, t, 1, "x", 2) for k, t in odd_documents()], SCHEMA)
 
 
-def reference_ids(text):
+@functools.cache
+def reference_tokenizer():
     t = Tokenizer.from_file(BPE)
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def reference_ids(text):
+    return reference_tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
