@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALT, _HOT, _ROWS = "__salt", "__hot", "__rows"
+from cardflow.session import checkpoint_dir
+
+_SALT, _HOT, _ROWS, _ROW = "__salt", "__hot", "__rows", "__row"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
@@ -45,12 +47,13 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     """``big.join(small, keys, how)`` (``how`` is ``inner`` or ``left``) with hot keys spread.
 
     Rows of ``big`` whose key is hot, or NULL (it matches nothing), get a salt in ``[0, salts)`` from
-    their place in the input, so identical rows get different ones too; rows of ``small`` with a hot
-    key are copied once per salt, so any salt of a retried task gives the same rows; every other row
-    has salt 0. The join on (keys, salt) returns the same
-    rows as the plain join, and a hot key's rows are spread over ``salts`` tasks. ``hot``
-    defaults to ``hot_keys(big, keys)``; pass it when several joins share the same hot keys.
-    When no key is hot this is the plain join.
+    their row id, so identical rows get different ones too; rows of ``small`` with a hot key are
+    copied once per salt; every other row has salt 0. The join on (keys, salt) returns the same
+    rows as the plain join, and a hot key's rows are spread over ``salts`` tasks. ``big`` is written
+    to the checkpoint folder with its row ids when the frame is built, so a retried task reads the
+    ids that the lost one had: numbered anew, rows out of a shuffle could change places and salts,
+    and be lost or doubled. ``hot`` defaults to ``hot_keys(big, keys)``; pass it when several joins
+    share the same hot keys. When no key is hot this is the plain join and nothing is written.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins with the big side on the left")
@@ -59,12 +62,14 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     if hot is None:  # nothing is hot: the plain join keeps the cheaper co-partitioned plan
         return big.join(small, keys, how)
     marks = F.broadcast(hot.select(*keys).distinct().withColumn(_HOT, F.lit(True)))
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts))
+    checkpoint_dir(big.sparkSession)
+    placed = big.withColumn(_ROW, F.monotonically_increasing_id()).checkpoint(eager=True)
+    spread = F.pmod(F.xxhash64(_ROW), F.lit(salts))
     spreads = F.coalesce(F.col(_HOT), F.lit(False))
     for key in keys:
         spreads = spreads | F.col(key).isNull()
-    b = (big.join(marks, keys, "left")
-         .withColumn(_SALT, F.when(spreads, spread).otherwise(F.lit(0)).cast("long")).drop(_HOT))
+    b = (placed.join(marks, keys, "left")
+         .withColumn(_SALT, F.when(spreads, spread).otherwise(F.lit(0)).cast("long")).drop(_HOT, _ROW))
     zero, last = F.lit(0).cast("long"), F.lit(salts - 1).cast("long")
     copies = F.when(F.col(_HOT), F.sequence(zero, last)).otherwise(F.array(zero))
     s = small.join(marks, keys, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)

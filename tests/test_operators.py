@@ -202,3 +202,29 @@ def test_salted_join_spreads_identical_rows_and_null_keys(spark):
     hot = spark.createDataFrame([(7,)], "k long")
     got = salted_join(big, small, ["k"], "left", hot=hot, salts=8)
     assert got.count() == 4000 and got.filter("w = 'a'").count() == 2000
+
+
+def test_salts_stay_when_the_big_side_is_read_in_another_order(spark):
+    """As after a lost executor: the rows come back in another order, and must keep their join task."""
+    import numpy as np
+
+    from cardflow.operators.skew import salted_join
+
+    def reordered(frames):
+        for f in frames:
+            yield f.iloc[np.random.default_rng().permutation(len(f))]
+
+    big = spark.range(0, 2000, 1, 2).selectExpr("cast(7 as long) k", "id v").mapInPandas(reordered, "k long, v long")
+    small = spark.createDataFrame([(7, "a")], "k long, w string")
+    hot = spark.createDataFrame([(7,)], "k long")
+    old = {k: spark.conf.get(k, None) for k in SHUFFLE_JOIN_CONF}
+    try:
+        for k, v in SHUFFLE_JOIN_CONF.items():
+            spark.conf.set(k, v)
+        got = salted_join(big, small, ["k"], "inner", hot=hot, salts=8).select("v", F.spark_partition_id().alias("p"))
+        first, again = dict(rows(got, "v", "p")), dict(rows(got, "v", "p"))  # two plans, each reads the rows anew
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(first) == 2000 and len(set(first.values())) > 1
+    assert first == again
