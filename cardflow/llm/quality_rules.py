@@ -4,6 +4,9 @@ Every text is compressed whole and in fixed chunks with zstandard. The ratio com
 text must lie inside the band of its length: below it the text is repetitive, above it the text is
 incompressible. Ratios of texts differ with their length, so each length class has limits of its
 own; texts shorter than the first class have too little to compress and are not judged by ratio.
+The ratio of a whole text averages a bad stretch away, so its chunks decide too: a text fails when
+more than a small share of them, or several in a row, lie outside their limits. What is left behind
+the last full chunk is judged as a chunk with the limits of its own length.
 
 A null text counts as an empty one: no words, ``base_failed`` true, ratios null. Repeated rows are
 judged one by one and get equal results.
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -36,19 +40,20 @@ class Bands:
 
     ``whole`` holds (bytes at least, lowest ratio, highest ratio) in ascending order. ``chunk``
     holds the same limits for the chunks of ``chunk_bytes``; a text fails when more than
-    ``chunk_share`` of its full chunks lie outside.
+    ``chunk_share`` of its chunks, or ``chunk_run`` of them in a row, lie outside.
     """
 
     whole: tuple[tuple[int, float, float], ...] = (
         (256, 0.28, 0.95), (512, 0.26, 0.85), (1024, 0.25, 0.75), (4096, 0.22, 0.70), (16384, 0.20, 0.65))
     chunk_bytes: int = 4096
     chunk: tuple[float, float] = (0.15, 0.75)
-    chunk_share: float = 0.5
+    chunk_share: float = 0.1
+    chunk_run: int = 3
     level: int = 3
 
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "ratio double, chunks long, chunks_outside long")
+          "ratio double, chunks long, chunks_outside long, tail_outside boolean, longest_run long")
 
 
 def repeated_words(words: np.ndarray, width: int = REPEAT_WINDOW) -> int:
@@ -75,20 +80,29 @@ def _statistics(texts: list[bytes], bands: Bands) -> dict[str, list]:
     out: dict[str, list] = {k.split()[0]: [] for k in SCHEMA.split(", ")}
     low, high = bands.chunk
     size = bands.chunk_bytes
+    packed = lambda part: len(packer.compress(part)) / len(part)
     for text, words in zip(texts, word_hashes(texts)):
         solid = text.translate(None, _SPACES)
         full = range(0, len(text) - size + 1, size)
-        outside = sum(not low <= len(packer.compress(text[a:a + size])) / size <= high for a in full)
+        bad = [not low <= packed(text[a:a + size]) <= high for a in full]
+        tail = text[len(full) * size:]
+        limits = [x[1:] for x in bands.whole if len(tail) >= x[0]][-1:] if bad else []  # no full chunk: the tail is the text
+        end = [not a <= packed(tail) <= b for a, b in limits]
         for name, value in (
                 ("n_words", len(words)), ("word_chars", _points(solid)),
                 ("n_symbols", len(text.translate(None, _NOT_SYMBOLS))),
                 ("n_dup_lines", duplicate_lines(text)), ("n_repeat_words", repeated_words(words)),
-                ("ratio", len(packer.compress(text)) / len(text) if text else None),
-                ("chunks", len(full)), ("chunks_outside", outside)):
+                ("ratio", packed(text) if text else None),
+                ("chunks", len(full)), ("chunks_outside", sum(bad)),
+                ("tail_outside", end[0] if end else None), ("longest_run", _longest_run(bad + end))):
             out[name].append(value)
     return out
 
 
+def _longest_run(flags: list[bool]) -> int:
+    return max((sum(1 for _ in run) for on, run in groupby(flags) if on), default=0)
+
+
 def _points(data: bytes) -> int:
     """Code points of UTF-8 bytes: all bytes but continuation bytes."""
     buf = np.frombuffer(data, dtype=np.uint8)
@@ -118,7 +132,9 @@ def with_verdict(df: DataFrame, text: str = "text", bands: Bands = Bands()) -> D
     inside = F.lit(True)
     for least, low, high in bands.whole:
         inside = F.when(length >= least, s("ratio").between(low, high)).otherwise(inside)
-    band = ~inside | (s("chunks_outside") > s("chunks") * bands.chunk_share)
+    judged = s("chunks") + s("tail_outside").isNotNull().cast("long")
+    outside = s("chunks_outside") + F.coalesce(s("tail_outside").cast("long"), F.lit(0))
+    band = ~inside | (outside > judged * bands.chunk_share) | (s("longest_run") >= bands.chunk_run)
     return (measured.withColumn("__rules", F.struct(
         "__stat.*", base.alias("base_failed"), band.alias("band_failed"), (~base & ~band).alias("kept")))
         .drop("__stat"))

@@ -100,7 +100,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_code(spark)
     judged = quality_rules.with_verdict(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return judged.select("doc_id", "__rules.*")
+    return judged.select("doc_id", "__rules.*").drop("tail_outside", "longest_run")
 
 
 def op9_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

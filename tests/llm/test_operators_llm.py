@@ -1,5 +1,6 @@
 """The training-data operators against brute force, on small fixtures with odd rows."""
 
+import base64
 import functools
 import hashlib
 import random
@@ -273,6 +274,28 @@ def test_rule_statistics(spark, docs):
         assert r["base_failed"] == (len(w) < 20 or 100 * len(covered) > 30 * len(w))
 
 
+def test_rules_reject_one_bad_stretch(spark):
+    ship_code(spark)
+    rng = random.Random(11)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(2000)]
+
+    def clean(size):
+        return " ".join(rng.choice(words) for _ in range(size // 3))[:size]
+
+    def noise(size):
+        return base64.b64encode(rng.randbytes(size)).decode()[:size]
+
+    texts = {"clean": clean(100_000), "clean with a tail": clean(4096 + 3000), "one chunk of many": clean(60_000) + noise(4096) + clean(40_000),
+             "nearly half": clean(55_000) + noise(45_000), "long": clean(700_000) + noise(20_000) + clean(300_000),
+             "tail": clean(4096 * 3) + noise(3000), "one of two": clean(4096) + noise(4096)}
+    df = spark.createDataFrame(list(texts.items()), "name string, text string")
+    got = {r["name"]: r for r in quality_rules.with_verdict(df).select("name", "__rules.*").collect()}
+    kept = {k for k, r in got.items() if r["kept"]}
+    assert kept == {"clean", "clean with a tail", "one chunk of many"}, {k: (r["ratio"], r["chunks_outside"]) for k, r in got.items()}
+    # the whole ratio alone would have let these through
+    assert all(0.2 < got[k]["ratio"] < 0.65 and 2 * got[k]["chunks_outside"] <= got[k]["chunks"] for k in ("nearly half", "long", "tail"))
+
+
 def test_chunk_encoder_equals_the_library():
     rng = random.Random(3)
     parts = ["a", " ", "  ", "\n", "\n\n", ",", ".", "é", "don", "'t", "3", ".14", "\t", "\xa0", "\x1f", "日本", "!", "\x1c", "<|endoftext|>"]
