@@ -2,15 +2,19 @@
 
 Generators (regular expressions) propose spans of four kinds, with overlaps: the base pattern of
 each kind, and stricter or looser ones that also find what a base match swallowed (a phone number
-followed by a card number) or writes differently. A validator belongs to each kind (octets, Luhn,
+followed by a card number) or writes differently. Grouped card numbers are proposed at every group
+start, phone numbers with every number of groups at their end, so that a number before or behind
+hides neither. A validator belongs to each kind (octets, Luhn,
 digit counts). Base matches that pass it are always kept.
 
 The other candidates are chosen by boosted regression trees over format and context features that
 leave the validator out; the validator's outcome is the label. Training needs the counts of each
 feature combination only: one aggregate over all candidates of all documents, whose size is bounded by the
 product of the feature ranges. Trees are grown on four fifths of the documents, and the other fifth sets, for each
-kind, the highest score that the required share of its valid candidates reaches. A candidate is added if it passes its
-validator, reaches that score and overlaps no base span; of overlapping additions the best stays.
+kind, the highest score that the required share of its valid candidates outside base spans reaches; without any there,
+those of all documents set it, and without any at all the validator alone decides. A candidate is added if it passes
+its validator, reaches that score and overlaps no base span. Of overlapping additions the one that overlaps the fewest
+others stays, then the longest, then the best; a phone number (only its digits are counted) comes after the other kinds.
 
 Offsets are code points, end exclusive. A null text has no spans. Repeated rows are treated one by one
 and give equal results.
@@ -44,14 +48,18 @@ GENERATORS: dict[str, tuple[str, ...]] = {
     "card": (
         r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
         r"(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])",
-        r"(?<![0-9A-Za-z])[0-9]{4}(?:[\x20-][0-9]{4}){3}(?![0-9A-Za-z])",
+        r"(?<![0-9A-Za-z])(?=([0-9]{4}(?:[\x20-][0-9]{4}){3})(?![0-9A-Za-z])((?s:.?)))[0-9]",
     ),
     "phone": (
         r"\+[0-9][\x20().0-9-]+[0-9]",
-        r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[\x20.-]{1,2}[0-9]{2,4}){1,3}(?![0-9])",
+        *(rf"\+[0-9]{{1,3}}[\x20.-]?(?:\([0-9]{{2,4}}\)|[0-9]{{2,4}})(?:[\x20.-]{{1,2}}[0-9]{{2,4}}){{{n}}}(?![0-9])"
+          for n in (3, 2, 1)),
         r"(?<![0-9A-Za-z+(])\([0-9]{3}\)[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
     ),
 }
+#: Generators whose matches may overlap: the pattern looks ahead and takes one character; group 1 is the
+#: candidate, group 2 the character behind it.
+LOOKING_AHEAD = {("card", 2)}
 #: A text without a match of these has no candidate of the kind.
 TRIGGERS = {"email": r"@|[\(\[]at[\)\]]", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}",
             "phone": r"\+[0-9]|\([0-9]{3}\)"}
@@ -114,12 +122,18 @@ def _side(c: Column) -> Column:
 def _found(kind: str, generator: int, text: Column) -> Column:
     """Candidates of one generator: structs with span, validity and features."""
 
-    def spans(hits: Column, pieces: Column, starts: Column) -> Column:
+    pattern = GENERATORS[kind][generator]
+    ahead = (kind, generator) in LOOKING_AHEAD
+    every = lambda group: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+    def spans(hits: Column, pieces: Column, starts: Column, behind: Column) -> Column:
         def one(hit: Column, i: Column) -> Column:
-            left, right = F.get(pieces, i), F.get(pieces, i + 1)
+            left, right = F.get(pieces, i), F.get(behind, i if ahead else i + 1)
+            first = F.greatest(F.lit(1), i - 4)
             digits = F.length(_digits(hit))
             plain = F.length(F.regexp_replace(hit, r"[0-9A-Za-z]", ""))
-            near = F.substring(left, -CONTEXT, CONTEXT)
+            near = F.substring(left, -CONTEXT, CONTEXT) if not ahead else F.substring(F.array_join(F.transform(
+                F.slice(pieces, first, i + 2 - first), lambda x: F.substring(x, -CONTEXT, CONTEXT)), "0"), -CONTEXT, CONTEXT)
             return F.struct(
                 F.lit(KINDS.index(kind)).alias("kind"), F.get(starts, i).alias("start"),
                 (F.get(starts, i) + F.length(hit)).alias("end"), _valid(kind, hit).alias("valid"),
@@ -134,13 +148,14 @@ def _found(kind: str, generator: int, text: Column) -> Column:
     def placed(hits: Column) -> Column:
         def steps(pieces: Column) -> Column:
             return F.transform(hits, lambda _, i: F.length(F.get(pieces, i))
-                               + F.when(i > 0, F.length(F.get(hits, i - 1))).otherwise(0))
+                               + F.when(i > 0, F.lit(1) if ahead else F.length(F.get(hits, i - 1))).otherwise(0))
 
         return F.when(F.size(hits) == 0, F.expr(f"cast(array() as {_ARRAY})")).otherwise(
-            _let(F.split(text, GENERATORS[kind][generator], -1), lambda pieces: _let(
-                steps(pieces), lambda st: _let(_running(st), lambda starts: spans(hits, pieces, starts)))))
+            _let(F.split(text, pattern, -1), lambda pieces: _let(
+                steps(pieces), lambda st: _let(_running(st), lambda starts: _let(
+                    every(2) if ahead else pieces, lambda behind: spans(hits, pieces, starts, behind))))))
 
-    return _let(F.regexp_extract_all(text, F.lit(GENERATORS[kind][generator]), F.lit(0)), placed)
+    return _let(every(1 if ahead else 0), placed)
 
 
 _ARRAY = ("array<struct<kind:int,start:int,end:int,valid:boolean,generator:int,length:int,separators:int,"
@@ -216,11 +231,13 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 24, depth: int = 3, r
     """Train on all candidates of ``docs``; only counts per feature combination reach the driver."""
     body = F.coalesce(F.col(text), F.lit(""))
     fold = F.pmod(F.crc32(body.cast("binary")), F.lit(5)) == 0
-    rows = docs.select(fold.alias("fold"), F.explode(candidates(body)).alias("c"))
-    counts = rows.groupBy("fold", "c.valid", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(
+    marked = _let(candidates(body), lambda found: _let(_base(found), lambda base: F.transform(
+        found, lambda c: F.struct(c.alias("c"), _addable(c, base).alias("free")))))
+    rows = docs.select(fold.alias("fold"), F.explode(marked).alias("m")).select("fold", "m.*")
+    counts = rows.groupBy("fold", "free", "c.valid", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(
         F.count(F.lit(1)).alias("n")).collect()
     if not counts:
-        return Boosted(0.0, (), (float("inf"),) * len(KINDS))
+        return Boosted(0.0, (), (float("-inf"),) * len(KINDS))
     counts.sort(key=lambda r: tuple(r))
     x = np.array([[r[f] for f in FEATURES] for r in counts])
     y = np.array([float(r["valid"]) for r in counts])
@@ -236,24 +253,34 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 24, depth: int = 3, r
         tree = _grow(x[grown], (n * (y - p))[grown], (n * p * (1 - p))[grown], depth, rate)
         trees.append(tree)
         score += _evaluate(tree, x)
-    checked = held if held.any() else grown
-    return Boosted(start, tuple(trees), tuple(_threshold(score, y, n, checked & (x[:, 0] == k), recall)
+    free = np.array([r["free"] for r in counts])
+    return Boosted(start, tuple(trees), tuple(_threshold(score, y, n, free & (x[:, 0] == k), held, recall)
                                               for k in range(len(KINDS))))
 
 
-def _threshold(score: np.ndarray, y: np.ndarray, n: np.ndarray, rows: np.ndarray, recall: float) -> float:
-    """The highest score that ``recall`` of the valid candidates reach; infinite without any."""
-    good = (n * y)[rows].sum()
-    for value in sorted(set(score[rows].tolist()), reverse=True):
-        if good and (n * y)[rows & (score >= value)].sum() >= recall * good:
-            return value - 1e-9
-    return float("inf")
+def _threshold(score: np.ndarray, y: np.ndarray, n: np.ndarray, rows: np.ndarray, held: np.ndarray, recall: float) -> float:
+    """The highest score that ``recall`` of the valid candidates among the held-out ``rows`` reach; of all
+    ``rows`` if none is held out, and minus infinity if there is none."""
+    for part in (rows & held, rows):
+        good = (n * y)[part].sum()
+        for value in sorted(set(score[part].tolist()), reverse=True):
+            if good and (n * y)[part & (score >= value)].sum() >= recall * good:
+                return value - 1e-9
+    return float("-inf")
 
 
 def _overlap(a, b) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def _base(found: Column) -> Column:
+    return F.filter(found, lambda c: (c["generator"] == 0) & c["valid"])
+
+
+def _addable(c, base: Column) -> Column:
+    return (c["generator"] > 0) & ~F.exists(base, lambda b: _overlap(b, c))
+
+
 def with_spans(docs: DataFrame, model: Boosted, text: str = "text", name: str = "__pii") -> DataFrame:
     """``docs`` with a struct ``name``: ``base`` and ``all`` spans, arrays of (kind, start, end) by
     kind, then start. One pass, no shuffle."""
@@ -261,11 +288,13 @@ def with_spans(docs: DataFrame, model: Boosted, text: str = "text", name: str =
     slim = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
 
     def choose(found: Column, base: Column) -> Column:
-        added = F.filter(found, lambda c: (c["generator"] > 0) & model.accepts(c)
-                         & ~F.exists(base, lambda b: _overlap(b, c)))
-        ranked = F.array_sort(F.transform(added, lambda c: F.struct(
-            (-model.score(c)).alias("rank"), (c["start"] - c["end"]).alias("size"), c["start"].alias("start"),
-            c["end"].alias("end"), c["kind"].alias("kind"))))
+        added = F.filter(found, lambda c: model.accepts(c) & _addable(c, base))
+        others = lambda c, all_: F.size(F.filter(all_, lambda o: _overlap(o, c) & (
+            (o["start"] != c["start"]) | (o["end"] != c["end"]))))
+        ranked = _let(added, lambda all_: F.array_sort(F.transform(all_, lambda c: F.struct(
+            (c["kind"] == KINDS.index("phone")).alias("counted"), others(c, all_).alias("others"),
+            (c["start"] - c["end"]).alias("size"), (-model.score(c)).alias("rank"), c["start"].alias("start"),
+            c["end"].alias("end"), c["kind"].alias("kind")))))
         extra = F.aggregate(ranked, F.expr("cast(array() as array<struct<kind:int,start:int,end:int>>)"),
                             lambda kept, c: F.when(F.exists(kept, lambda k: _overlap(k, c)), kept)
                             .otherwise(F.concat(kept, F.array(slim(c)))))
@@ -273,7 +302,7 @@ def with_spans(docs: DataFrame, model: Boosted, text: str = "text", name: str =
             F.array_sort(spans).alias("base"), F.array_sort(F.concat(spans, extra)).alias("all")))
 
     return docs.withColumn(name, _let(candidates(body), lambda found: _let(
-        F.filter(found, lambda c: (c["generator"] == 0) & c["valid"]), lambda base: choose(found, base))))
+        _base(found), lambda base: choose(found, base))))
 
 
 def joined(spans: Column) -> Column:

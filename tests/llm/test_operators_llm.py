@@ -88,6 +88,21 @@ def test_pii_base_spans_and_redaction(spark):
     assert row["c"].startswith("mail [EMAIL] or ")
 
 
+def test_pii_card_between_other_numbers(spark):
+    card = "4111 1111 1111 1111"
+    texts = {f"order 2024 {card}": "order 2024 [CARD]", f"+1 (826) 555-4081 {card}": "[PHONE] [CARD]",
+             f"é {card} 5500 0000 0000 0004 2024 x": "é [CARD] [CARD] 2024 x", f"2024 {card} +1 (826) 555-4081 {card}.": "2024 [CARD] [PHONE] [CARD].",
+             "2024 2025 2026 2027 2028": "2024 2025 2026 2027 2028"}
+    plain = [("mail a@b.co",), ("pay 5500 0000 0000 0004",), ("call +49 170 555 1234",), (None,)]
+    mixed = [(t,) for t in texts] + [(f"{k} 2024 {card} and 1.2.3.{k}",) for k in range(40)]
+    for rows in (plain, plain + mixed, [("nothing",)]):  # no candidate outside base spans; some; none at all
+        model = pii.fit(spark.createDataFrame(rows, "text string"))
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        got = {r["text"]: r["c"] for r in pii.with_spans(df, model).select(
+            "text", pii.redacted(F.col("text"), F.col("__pii.all")).alias("c")).collect()}
+        assert got == texts
+
+
 def test_sharding_table_turns_and_stability(spark, docs):
     names = [f"s{k}" for k in range(10)]
     table = sharding.lookup_table(names, 1009)
