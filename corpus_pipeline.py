@@ -43,16 +43,20 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the least id) of each group linked by five-word shingles at 0.8 or more.
 
-    Of repeated rows of an id one stays; rows with a null id are in no group and stay.
+    Of repeated rows with the same id and text one stays. An id with different texts is as many
+    documents: each goes only if its own text links. Rows with a null id are in no group and stay.
     """
-    linked = written(ngram_join.jaccard_components(docs, width=SHINGLE_WORDS, percent=SIMILARITY_PERCENT,
+    known = docs.filter("doc_id is not null")
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        keyed, key = docs, "doc_id"
+    else:  # row ids in the order of (doc_id, text), so that the least id of a group is that of its least row
+        keyed, key = written(known.dropDuplicates(["doc_id", "text"]).orderBy("doc_id", "text")
+                             .withColumn("__row", F.monotonically_increasing_id()), "stage-rows"), "__row"
+    linked = written(ngram_join.jaccard_components(keyed, doc_id=key, width=SHINGLE_WORDS, percent=SIMILARITY_PERCENT,
                                                    extra=PREFIX_EXTRA), "stage-components")
-    gone = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = linked.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    gone = linked.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = keyed.join(gone, key, "left_anti").select(*docs.columns)
+    return kept if key == "doc_id" else kept.unionByName(docs.filter("doc_id is null"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
