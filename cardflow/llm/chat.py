@@ -7,7 +7,8 @@ join on conversation and identifier, so a very long conversation spreads over al
 results the earliest is taken and all are counted. A string ``${id}`` in the arguments makes a call
 depend on another call of its conversation; levels order the calls topologically: 0 without
 dependencies, else one more than the highest level among them. Rounds of joins find them, as
-many as the longest chain has calls. Arguments are validated against the tool's schema and each linked call is
+many as the longest chain has calls. A ``${id}`` that names no call of the conversation orders nothing and
+is an error of the call. Arguments are validated against the tool's schema and each linked call is
 serialised as canonical JSON: keys sorted, no white space, numbers as parsed.
 
 Messages with a null or unreadable text, or without an identifier, hold no call and no result. Calls of a
@@ -23,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import written
+from cardflow.llm.common import scratch_folder, written
 
 #: tool -> parameter -> (JSON type, required)
 Schemas = Mapping[str, Mapping[str, tuple[str, bool]]]
@@ -71,27 +72,46 @@ def results_of(messages: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("turn"), F.col("r.content").alias("content")))["content"].alias("result"))
 
 
+def _needs(arguments: str) -> Column:
+    return F.array_distinct(F.regexp_extract_all(arguments, F.lit(r"\$\{([^}\"]+)\}"), F.lit(1)))
+
+
+def unresolved(calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, missing): identifiers that the arguments refer to and that no call of the conversation has."""
+    key = ["conv_id", "call_id"]
+    wanted = calls.filter("conv_id is not null").select(*key, F.explode(_needs("arguments")).alias("needs")).distinct()
+    known = calls.select("conv_id", F.col("call_id").alias("needs")).distinct()
+    return wanted.join(known, ["conv_id", "needs"], "left_anti").groupBy(*key).agg(
+        F.collect_list("needs").alias("missing"))
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of each call identifier; ``level`` is null within and behind a cycle."""
     key = ["conv_id", "call_id"]
-    wanted = calls.filter("conv_id is not null").select(*key, F.explode_outer(F.array_distinct(
-        F.regexp_extract_all("arguments", F.lit(r"\$\{([^}\"]+)\}"), F.lit(1)))).alias("needs")).distinct()
+    wanted = calls.filter("conv_id is not null").select(*key, F.explode_outer(_needs("arguments")).alias("needs")).distinct()
     known = wanted.select(*key).distinct()
     needs = written(wanted.filter("needs is not null").join(
         known.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"]), "chat-needs")
-    done = written(known.join(needs, key, "left_anti").withColumn("level", F.lit(0).cast("long")), "chat-levels")
-    open_needs, level = needs, 0
+    spark, folder = calls.sparkSession, scratch_folder(calls.sparkSession, "chat-levels")
+    paths: list[str] = []
+
+    def level_of(solved: DataFrame) -> DataFrame:
+        """``solved`` with the next level, written to a folder of its own and read back."""
+        out = solved.withColumn("level", F.lit(len(paths)).cast("long"))
+        paths.append(f"{folder}/{len(paths)}")
+        out.write.parquet(paths[-1])
+        return spark.read.schema(out.schema).parquet(paths[-1])
+
+    last, open_needs = level_of(known.join(needs, key, "left_anti")), needs
     while True:
-        level += 1
         # what the last round solved is taken off; a call without open needs left gets the next level
-        solved = done.filter(F.col("level") == level - 1).select("conv_id", F.col("call_id").alias("needs"))
+        solved = last.select("conv_id", F.col("call_id").alias("needs"))
         rest = written(open_needs.join(solved, ["conv_id", "needs"], "left_anti"), "chat-needs")
-        ready = written(open_needs.select(*key).distinct().join(rest, key, "left_anti")
-                        .withColumn("level", F.lit(level).cast("long")), "chat-levels")
-        if ready.isEmpty():
+        last = level_of(open_needs.select(*key).distinct().join(rest, key, "left_anti"))
+        if last.isEmpty():
             break
-        done, open_needs = done.unionByName(ready), rest
-    return known.join(done, key, "left")
+        open_needs = rest
+    return known.join(spark.read.schema(last.schema).parquet(*paths), key, "left")
 
 
 def canonical(name: Column, call_id: Column, arguments: Column, result: Column) -> Column:
@@ -111,8 +131,11 @@ def link_calls(messages: DataFrame, schemas: Schemas) -> DataFrame:
     results = written(results_of(messages), "chat-results")
     key = ["conv_id", "call_id"]
     linked = calls.join(results.hint("shuffle_hash"), key, "left").join(
-        levels(calls).withColumn("ordered", F.lit(True)), key, "left")
-    errors = argument_errors(F.col("name"), F.col("arguments"), schemas)
+        levels(calls).withColumn("ordered", F.lit(True)), key, "left").join(unresolved(calls), key, "left")
+    own, none = _needs("arguments"), F.expr("cast(array() as array<string>)")
+    missing = F.when(F.col("conv_id").isNull(), own).otherwise(F.array_intersect(own, F.coalesce("missing", none)))
+    errors = F.concat(argument_errors(F.col("name"), F.col("arguments"), schemas), F.transform(
+        F.coalesce(missing, none), lambda x: F.concat(F.lit("unresolved ${"), x, F.lit("}"))))
     rows = linked.withColumn("errors", errors).select(
         "conv_id", "turn", "position", "call_id", "name", "level",
         F.when(F.col("ordered") & F.col("level").isNull(), "cyclic").when(F.size("errors") > 0, "invalid")

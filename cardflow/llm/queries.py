@@ -53,10 +53,10 @@ TOOLS: chat.Schemas = {
 def tool_dialogue(conversations: DataFrame) -> DataFrame:
     """The conversations with every assistant turn written as a tool call and every later user turn as
     the result of the turn before: the shape that tool-calling data has. Arguments come from the
-    texts, some of them of a wrong type; a call refers to the one at half its turn."""
+    texts, some of them of a wrong type; a call refers to that of the assistant turn before."""
     turn, text = F.col("turn"), F.col("text")
     name = lambda t: F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), t.cast("string"))
-    after = F.when(turn > 1, F.concat(F.lit("${"), name(F.floor(turn / 2)), F.lit("}")))
+    after = F.when(turn > 2, F.concat(F.lit("${"), name(turn - 2), F.lit("}")))
     odd = F.pmod(F.length(text), F.lit(7)) == 0
     arguments = F.when(F.pmod(turn, F.lit(3)) == 0, F.to_json(F.struct(
         F.substring_index(text, " ", 6).alias("query"), F.when(~odd, F.length(text)).alias("limit"), after.alias("after")))).when(

@@ -363,3 +363,17 @@ def test_unigram_viterbi_and_round_trip(spark, docs):
         assert model.decode(ids) == text and abs(score - best(text)) < 1e-6
     rows = unigram.encoded(docs, P.path("piece_bpe_32k.model")).collect()
     assert len(rows) == docs.count() and all(r["round_trip"] for r in rows)
+
+
+def test_tool_calls_refer_to_calls(spark):
+    from cardflow.llm.queries import TOOLS, tool_dialogue
+
+    turns = [(c, t, "assistant" if t % 2 else "user", f"text {t}") for c in (1, 2) for t in range(12)]
+    said = tool_dialogue(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string"))
+    found = {(r["conv_id"], r["turn"]): r for r in chat.link_calls(said, TOOLS).collect()}
+    assert {k: r["level"] for k, r in found.items()} == {(c, t): t // 2 for c in (1, 2) for t in range(1, 12, 2)}
+    assert not any("unresolved" in e for r in found.values() for e in r["errors"])
+    call = '{"tool_calls":[{"id":"x","name":"f","arguments":{"a":1,"b":"${gone}"}}]}'
+    one = spark.createDataFrame([(1, 0, "assistant", call), (None, 0, "assistant", call), (1, 1, "tool", '{"tool_call_id":"x"}')],
+                                "conv_id long, turn long, role string, text string")
+    assert all(r["status"] == "invalid" and r["errors"] == ["unresolved ${gone}"] for r in chat.link_calls(one, SCHEMAS).collect())
