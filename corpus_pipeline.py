@@ -90,5 +90,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Compression, tokenising and boosting can't be written in SQL; tests compare with brute force.
+#: Compression, tokenising and boosting can't be written in SQL; tests compare the operators, and of the stages
+#: the n-gram Jaccard join, with plain Python.
 ORACLE_SQL = None
