@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.llm import (
-    chat, embeddings, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_codes, unigram)
+    chat, embeddings, filter_audit, mixing, ngram_join, packing, pii, quality_model, quality_rules, sharding,
+    spelling, token_codes, unigram)
 from cardflow.llm.common import scratch_folder, ship_code, table, written
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,21 @@ def op10_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(table(spark, sf_dir, "documents"))
+    shards = F.size(F.array_distinct("spans.shard"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", shards.alias("n_shards"),
+                      F.array_min("spans.shard").alias("least_shard"))
+
+
 QUERIES: dict[str, Builder] = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
@@ -124,6 +140,9 @@ QUERIES: dict[str, Builder] = {
     "op8_rules": op8_rules,
     "op9_token_codes": op9_token_codes,
     "op10_unigram": op10_unigram,
+    "op11_spelling": op11_spelling,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_mixing": op13_mixing,
 }
 
 
@@ -131,5 +150,55 @@ def builders() -> dict[str, Builder]:
     return dict(QUERIES)
 
 
+#: The audit restated: every text judged by patterns, every order of the filters walked step by step.
+FILTER_AUDIT_SQL = r"""
+WITH RECURSIVE judged AS (
+  SELECT d.doc_id, coalesce(d.source, '') AS part, coalesce(d.text, '') AS body,
+         regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents d),
+failures AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY body) THEN 'E' ELSE '' END AS fails
+  FROM judged),
+marked AS (
+  SELECT f.*, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic
+  FROM failures f
+  LEFT JOIN (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+             FROM labels GROUP BY doc_id) l ON l.doc_id = f.doc_id),
+cells AS (SELECT part, fails, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM marked GROUP BY part, fails),
+letters(letter) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders(filter_order) AS (
+  SELECT '' UNION ALL
+  SELECT filter_order || letter FROM orders, letters WHERE NOT contains(filter_order, letter)),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter, left(filter_order, step - 1) AS earlier
+  FROM orders, range(1, 6) AS r(step) WHERE length(filter_order) = 5),
+audited AS (
+  SELECT c.part, s.filter_order, s.step, s.letter,
+         sum(CASE WHEN translate(fails, earlier || letter, '') = fails THEN docs ELSE 0 END) AS kept,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, earlier, '') = fails THEN docs ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, earlier, '') <> fails THEN docs ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = letter THEN docs ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, earlier, '') = fails THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, earlier, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells c, steps s
+  GROUP BY c.part, s.filter_order, s.step, s.letter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM audited
+"""
+
+ORACLES: dict[str, str] = {
+    "op12_filter_audit": FILTER_AUDIT_SQL,
+}
+
+
 def oracles() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
