@@ -53,26 +53,50 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = scratch_folder(spark, name)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    back = spark.read.schema(df.schema).parquet(folder)
+    back.scratch_folder = folder
+    return back
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a ``written`` table whose readers have all been written themselves."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """``df`` without most of the rows whose long ``key`` is not among those of ``wanted``.
+#: Rows of 4 KB in a bitmap of hashed keys.
+BITMAP_ROWS = 256
+
+
+def _marked(df: DataFrame, key: str, wanted: DataFrame, rows: int) -> DataFrame:
+    """``df`` with ``__likely``: whether the hash of its long ``key`` is that of a key of ``wanted``.
 
-    A bitmap of hashed keys of fixed size (256 rows of 4 KB, broadcast) is tested before the join
-    that follows shuffles ``df``. It only ever lets too many rows through, however many keys there are.
+    The hashed keys of ``wanted`` are a bitmap of fixed size (``rows`` times 4 KB, broadcast), however
+    many there are. It never misses a key; the fuller it is, the more others it lets through.
     """
-    hashed = F.pmod(F.xxhash64(key), F.lit(256 * 32768))
+    hashed = F.pmod(F.xxhash64(key), F.lit(rows * 32768))
     bucket, place = F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed)
     bits = F.broadcast(wanted.select(bucket.alias("__bucket"), place.alias("__place")).groupBy("__bucket").agg(
         F.bitmap_construct_agg("__place").alias("__bits")))
     byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (df.join(bits, bucket == F.col("__bucket"))
-            .filter(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1).select(*df.columns))
+    likely = F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False)) & F.col(key).isNotNull()
+    return df.join(bits, bucket == F.col("__bucket"), "left").withColumn("__likely", likely).drop("__bucket", "__bits")
+
+
+def likely_in(df: DataFrame, key: str, wanted: DataFrame, rows: int = BITMAP_ROWS) -> DataFrame:
+    """``df`` without most of the rows whose long ``key`` is not among those of ``wanted``: tested before a
+    join shuffles ``df``."""
+    return _marked(df, key, wanted, rows).filter("__likely").drop("__likely")
+
+
+def unlikely_in(df: DataFrame, key: str, wanted: DataFrame, rows: int = BITMAP_ROWS) -> DataFrame:
+    """The other rows of ``df``: none has a ``key`` (null included) of ``wanted``."""
+    return _marked(df, key, wanted, rows).filter(~F.col("__likely")).drop("__likely")
 
 
 def give_back() -> None:

@@ -44,7 +44,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import give_back, likely_in, per_group, ship_code, short_batches, written
+from cardflow.llm.common import (discard, give_back, likely_in, per_group, ship_code, short_batches, unlikely_in,
+                                 written)
 from cardflow.llm.components import connected_components
 from cardflow.llm.textstats import mix64, shingle_set, utf8, word_hashes
 
@@ -53,6 +54,8 @@ EXTRA_PERCENT = 4
 BLOCK_DOCS = 768
 BLOCK_SHINGLES = 1_500_000
 FRAGMENT = 4096
+#: Bitmap rows (of 4 KB) that tell documents with copies or repeated ids from the others.
+ODD_BITMAP = 1024
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -132,18 +135,26 @@ def shingle_prefixes(docs: DataFrame, doc_id: str, text: str, width: int, percen
 
 
 def candidate_ties(prefixes: DataFrame) -> DataFrame:
-    """(u, v): ties between documents that may link, transitively complete (step 1)."""
+    """(u, v): ties between documents that may link, transitively complete (step 1).
+
+    A key goes through three shuffles: its count and least document (partial sums before the shuffle), the
+    join that marks a document's shared keys (both sides straight from a shuffle, so a key held by very
+    many documents is split), and a document's marks. ``key`` only orders equally frequent keys there, in
+    the same way for all documents: its lower half does.
+    """
     schemes = prefixes.select("doc_id", F.posexplode("prefixes").alias("scheme", "keys"))
-    rows = schemes.select("doc_id", "scheme", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").count().filter("count > 1").select("key")
-    marks = written(rows.join(shared, "key"), "ngram-marks")
-    often = marks.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("least"))
-    marked = marks.join(often, "key").groupBy("doc_id", "scheme").agg(
-        F.sort_array(F.collect_list(F.struct("docs", "key", "least"))).alias("marks"))
-    kept = marked.join(prefixes.select("doc_id", "need"), "doc_id").filter(F.size("marks") >= F.col("need")).withColumn(
-        "marks", F.expr("slice(marks, 1, cast(size(marks) - need + 1 as int))"))
-    ties = kept.select(F.col("doc_id").alias("u"), F.explode(F.array_distinct("marks.least")).alias("v")).filter("u <> v")
-    return written(ties, "ngram-ties")
+    rows = schemes.select("doc_id", F.col("scheme").cast("byte").alias("scheme"), F.explode("keys").alias("key"))
+    shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("least"))
+                     .filter("docs > 1"), "ngram-shared")
+    mark = F.struct("scheme", "docs", F.expr("cast(key & 2147483647 as int)").alias("order"), "least")
+    marked = rows.join(shared, "key").groupBy("doc_id").agg(F.sort_array(F.collect_list(mark)).alias("marks"))
+    kept = F.expr("""flatten(transform(array_distinct(marks.scheme), s -> transform(array(filter(marks, m -> m.scheme = s)),
+                         own -> if(size(own) >= need, slice(own, 1, cast(size(own) - need + 1 as int)).least, array()))[0]))""")
+    ties = marked.join(prefixes.select("doc_id", "need"), "doc_id").select(
+        F.col("doc_id").alias("u"), F.explode(F.array_distinct(kept)).alias("v")).filter("u <> v")
+    out = written(ties, "ngram-ties")
+    discard(shared)
+    return out
 
 
 def _sizes() -> tuple[Column, Column]:
@@ -285,19 +296,27 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ``width``-word shingles; ``component_id`` is the least id reachable by links.
     """
     ship_code(docs.sparkSession)
-    base = written(shingle_prefixes(docs, doc_id, text, width, percent, extra), "ngram-prefixes")
+    full = written(shingle_prefixes(docs, doc_id, text, width, percent, extra), "ngram-prefixes")
     same = ["n", "k1", "k2"]
+    base = written(full.select("doc_id", *same), "ngram-sets")
     classes = written(base.filter("n > 0 and doc_id is not null").groupBy(*same)
                       .agg(F.min("doc_id").alias("class_id")), "ngram-classes")
     spread = classes.filter("n > 1").select("class_id", *same)
-    heads = base.filter(F.size("prefixes") > 0).join(
+    classed = written(base.filter("n > 0").join(classes, same).select("doc_id", *same, "class_id"), "ngram-classed")
+    # one row of one document of a class goes on; only the rows of copies and repeated ids are shuffled to find it
+    odd = written(classed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") != F.col("class_id")).alias("copy"))
+                  .filter("rows > 1 or copy").select("doc_id"), "ngram-odd")
+    keyed = full.filter(F.size("prefixes") > 0)
+    alone = unlikely_in(keyed, "doc_id", odd, ODD_BITMAP).filter("doc_id is not null")
+    chosen = likely_in(keyed, "doc_id", odd, ODD_BITMAP).join(
         spread.withColumnRenamed("class_id", "doc_id"), ["doc_id", *same], "left_semi").dropDuplicates(["doc_id", *same])
-    groups = connected_components(candidate_ties(heads))
+    ties = candidate_ties(alone.unionByName(chosen))
+    discard(full)
+    groups = connected_components(ties)
     sizes = spread.groupBy(F.col("class_id").alias("doc_id")).agg(F.max("n").alias("n"))
     links = verified_links(groups, docs, sizes, doc_id, text, width, percent)
     # an id with several texts heads or belongs to several classes: they are one document
-    several = base.filter("n > 0").join(classes, same).filter("doc_id <> class_id").select(
-        F.col("class_id").alias("u"), F.col("doc_id").alias("v"))
+    several = classed.filter("doc_id <> class_id").select(F.col("class_id").alias("u"), F.col("doc_id").alias("v"))
     merged = connected_components(links.union(several))
     rows = base.select("doc_id", "n").join(
         merged.withColumnRenamed("node", "doc_id").filter("doc_id is not null"), "doc_id", "left")

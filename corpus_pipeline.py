@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.llm import ngram_join, packing, pii, quality_model, quality_rules
-from cardflow.llm.common import ship_code, table, written
+from cardflow.llm.common import likely_in, ship_code, table, unlikely_in, written
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
 #: Common shingles asked of two prefixes, in percent of the set; more than for 90 % similarity.
 PREFIX_EXTRA = 10
+#: Bitmap rows (of 4 KB) that tell documents to be dropped from the others.
+GONE_BITMAP = 1024
 #: A small cache of token chunks and little text encoded at a time: the workers also hold what the
 #: stages before have left, and the executor's JVM its whole heap.
 CACHE_CHUNKS, SLICE_BYTES = 100_000, 1_500_000
@@ -54,8 +56,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
                              .withColumn("__row", F.monotonically_increasing_id()), "stage-rows"), "__row"
     linked = written(ngram_join.jaccard_components(keyed, doc_id=key, width=SHINGLE_WORDS, percent=SIMILARITY_PERCENT,
                                                    extra=PREFIX_EXTRA), "stage-components")
-    gone = linked.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
-    kept = keyed.join(gone, key, "left_anti").select(*docs.columns)
+    gone = written(linked.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "stage-gone")
+    # texts that surely stay aren't shuffled: a bitmap of fixed size tells most of them
+    kept = unlikely_in(keyed, key, gone, GONE_BITMAP).unionByName(
+        likely_in(keyed, key, gone, GONE_BITMAP).join(gone, key, "left_anti")).select(*docs.columns)
     return kept if key == "doc_id" else kept.unionByName(docs.filter("doc_id is null"))
 
 
