@@ -44,6 +44,9 @@ def _hash_slab(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         np.concatenate([np.zeros(starts[0], np.int64),
                         np.arange(starts[0], len(buf)) - np.repeat(starts, np.diff(np.append(starts, len(buf))))])
     values *= _PLACE[place & 0xFFFF]
+    if len(buf) > len(_PLACE):  # beyond the table of places its blocks are told apart by a factor of their own
+        far = np.flatnonzero(place >= len(_PLACE))
+        values[far] *= mix64((place[far] >> 16).astype(np.uint64)) | np.uint64(1)
     sums = np.add.reduceat(values, starts)
     return mix64(sums + (ends - starts).astype(np.uint64) * _MIX[0]), starts
 

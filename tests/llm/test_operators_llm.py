@@ -377,3 +377,20 @@ def test_tool_calls_refer_to_calls(spark):
     one = spark.createDataFrame([(1, 0, "assistant", call), (None, 0, "assistant", call), (1, 1, "tool", '{"tool_call_id":"x"}')],
                                 "conv_id long, turn long, role string, text string")
     assert all(r["status"] == "invalid" and r["errors"] == ["unresolved ${gone}"] for r in chat.link_calls(one, SCHEMAS).collect())
+
+
+def test_places_in_very_long_words_matter():
+    """Bytes that change places at any distance make another word."""
+    from cardflow.llm.textstats import shingle_set, word_hashes
+
+    def swapped(step):
+        word = bytearray(b"ab" * 200_000)
+        word[10], word[11 + step] = ord("x"), ord("y")
+        other = bytearray(word)
+        other[10], other[11 + step] = word[11 + step], word[10]
+        return bytes(word), bytes(other)
+
+    for step in (5, 65_535, 65_536, 131_071, 196_607, 262_143):
+        a, b = word_hashes(swapped(step))
+        assert len(a) == len(b) == 1 and a[0] != b[0]
+        assert (shingle_set(a, 3) != shingle_set(b, 3)).all()
