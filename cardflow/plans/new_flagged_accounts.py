@@ -2,7 +2,7 @@
 
 The original ran the history insert and the report in one statement. Here the two halves are
 separate: ``flagged_delta`` (pure), ``flagged_report`` (pure) and ``run_new_flagged_accounts``,
-which appends the delta and builds the report from the history rows of this load date, so a
+which appends the delta through the load log and builds the report from the rows of that load, so a
 retry after a failure reproduces the same report instead of an empty one.
 """
 
@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from cardflow.functions.columns import pad_id
 from cardflow.functions.dates import BusinessDate, day, in_month
 from cardflow.operators.joins import left_join_effective
-from cardflow.sinks.tables import load_new_keys, new_keys
+from cardflow.operators.membership import may_match
+from cardflow.sinks.load_log import load_once
+from cardflow.sinks.tables import new_keys
 
 # Fixed values of the original job: instalment-credit flags that make an account reportable.
 FLAGS = ("IP", "IC", "VP", "VC", "VF")
@@ -45,9 +47,11 @@ def flagged_delta(snapshot: DataFrame, history: DataFrame, bd: BusinessDate,
 def flagged_report(delta: DataFrame, master: DataFrame, bd: BusinessDate) -> DataFrame:
     """Delta rows with names and address from the account master valid on the business date.
 
-    Several valid master rows fan out; no valid row gives NULL names. No sort.
+    Several valid master rows fan out; no valid row gives NULL names. No sort. The master's scan is
+    filtered by a bitmap of the delta's accounts, so a master of any size sends only rows that may match.
     """
-    joined = left_join_effective(delta, master, ["acct_id", "acct_seq_num"], bd.as_of)
+    keys = ["acct_id", "acct_seq_num"]
+    joined = left_join_effective(delta, may_match(master, delta, keys), keys, bd.as_of)
     return joined.select(
         "name",
         "name_emboss",
@@ -66,9 +70,9 @@ def new_flagged_accounts(snapshot: DataFrame, history: DataFrame, master: DataFr
     return flagged_report(flagged_delta(snapshot, history, bd, flags), master, bd)
 
 
-def run_new_flagged_accounts(snapshot: DataFrame, history_target: str, master: DataFrame,
-                             bd: BusinessDate, flags: Sequence[str] = FLAGS) -> DataFrame:
-    """Append the delta to ``history_target`` once per load date and report what was appended."""
-    loaded = load_new_keys(flagged_batch(snapshot, bd, flags), history_target, ["acct_id"],
-                           HISTORY_COLUMNS, bd.run_date)
+def run_new_flagged_accounts(snapshot: DataFrame, history_target: str, master: DataFrame, bd: BusinessDate,
+                             flags: Sequence[str] = FLAGS, load_id: str | None = None) -> DataFrame:
+    """Append the delta to ``history_target`` exactly once per load and report the rows which that load
+    inserted. A retry (the same ``load_id``; by default the run date and the batch's digest) reports the same."""
+    loaded = load_once(flagged_batch(snapshot, bd, flags), history_target, ["acct_id"], HISTORY_COLUMNS, bd.run_date, load_id)
     return flagged_report(loaded, master, bd)

@@ -547,7 +547,7 @@ WITH pr AS (
          ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS FIRST, l_linenumber DESC,
                             l_partkey DESC, l_suppkey DESC) AS rn
   FROM lineitem WHERE l_returnflag = 'R'),
-se AS (SELECT l_orderkey, l_partkey AS s_part FROM lineitem WHERE l_linenumber = 1)
+se AS (SELECT l_orderkey, l_partkey AS s_part FROM lineitem)
 SELECT o.o_orderkey, pr.p_part, se.s_part, COALESCE(pr.p_part, se.s_part) AS part_pick
 FROM orders o
 LEFT JOIN pr ON o.o_orderkey = pr.l_orderkey AND pr.rn = 1
@@ -560,6 +560,6 @@ def q_overlay(spark, sf_dir):
         li.filter(F.col("l_returnflag") == "R"), ["o_orderkey"],
         [pg_desc("l_shipdate"), pg_desc("l_linenumber"), pg_desc("l_partkey"), pg_desc("l_suppkey")],
     ).select("o_orderkey", F.col("l_partkey").alias("p_part"))
-    secondary = li.filter(F.col("l_linenumber") == 1).select("o_orderkey", F.col("l_partkey").alias("s_part"))
+    secondary = li.select("o_orderkey", F.col("l_partkey").alias("s_part"))
     j = J.overlay(spine, primary, secondary, ["o_orderkey"], many=True)
     return j.select("o_orderkey", "p_part", "s_part", C.prefer("p_part", "s_part").alias("part_pick"))

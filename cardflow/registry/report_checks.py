@@ -14,13 +14,19 @@ from cardflow.plans.adjustment_transactions import ACCOUNTING_FUNCTIONS, adjustm
 from cardflow.plans.application_summary import (SUMMARY_INPUTS, daily_application_summary,
                                                 run_daily_application_summary)
 from cardflow.plans.interest_adjustments import interest_adjustments_mtd
-from cardflow.plans.new_flagged_accounts import HISTORY_COLUMNS, flagged_delta, new_flagged_accounts
+from cardflow.operators.membership import key_bitmap, unseen_rows
+from cardflow.plans.new_flagged_accounts import HISTORY_COLUMNS, flagged_batch, flagged_delta, new_flagged_accounts
 from cardflow.plans.plan_postings import plan_postings_mtd
 from cardflow.registry.base import check
 from cardflow.registry.driver_inputs import (BD_FLAGGED, BD_MTD, BD_SUMMARY, SUMMARY_RULES,
                                              input_cte, report_input, report_inputs)
+from cardflow.functions.dates import BusinessDate
+from cardflow.plans.summary_refresh import refresh_summary
 from cardflow.session import scratch_path
-from cardflow.sinks.tables import append_rows, load_new_keys, read_target, replace_table, write_report
+from cardflow.sinks.load_log import LoadLog, load_once
+from cardflow.sinks.tables import (append_returning, append_rows, load_new_keys, new_keys, read_target, replace_table,
+                                   stamp_rows, write_report)
+from cardflow.sinks.versions import replace_version
 
 # ---------------------------------------------------------------- RPT-3
 RPT3_SQL = f"""
@@ -129,8 +135,6 @@ def _seeded_history(spark, sf_dir) -> str:
 
 @check("q_append_returning", DELTA_SQL)
 def q_append_returning(spark, sf_dir):
-    from cardflow.plans.new_flagged_accounts import flagged_batch
-
     target = _seeded_history(spark, sf_dir)
     batch = flagged_batch(report_input(spark, sf_dir, "account_snapshot"), BD_FLAGGED)
     return load_new_keys(batch, target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
@@ -139,14 +143,71 @@ def q_append_returning(spark, sf_dir):
 @check("q_load_second_batch", DELTA_SQL)
 def q_load_second_batch(spark, sf_dir):
     """Two batches of one load date: the second holds the first's keys and the unseen ones."""
-    from cardflow.plans.new_flagged_accounts import flagged_batch
-
     target = _seeded_history(spark, sf_dir)
     batch = flagged_batch(report_input(spark, sf_dir, "account_snapshot"), BD_FLAGGED)
     load_new_keys(batch.filter("acct_id < 1000"), target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
     return load_new_keys(batch, target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
 
 
+@check("q_load_log", f"""
+{input_cte(["account_snapshot", "flag_history"])},
+{_FLAGGED_CTE},
+marked AS (
+  SELECT 'seed' AS load_id, * FROM flag_history
+  UNION ALL
+  SELECT CASE WHEN cpc = 'CPC1' THEN 'first' ELSE 'second' END, f.* FROM flagged f
+  WHERE cpc = 'CPC1' OR acct_id NOT IN (SELECT acct_id FROM flagged WHERE cpc = 'CPC1'))
+SELECT load_id, acct_id, acct_seq_num, acct_open_dt, cpc, cdf21, data_bus_dt, data_load_dt,
+       CASE WHEN load_id = 'seed' THEN NULL ELSE count(*) OVER (PARTITION BY load_id) END AS logged_rows
+FROM marked
+""")
+def q_load_log(spark, sf_dir):
+    """Loads that crash half way, are replayed and are doubled: the history holds each load's rows once.
+
+    The first batch (one product) crashes with its rows staged and not all of its files published; the next
+    run recovers it. The second batch holds the first's rows too, comes twice, and once more under
+    another id. Every row of the final history is shown with its load and the log's row count.
+    """
+    target = _seeded_history(spark, sf_dir)
+    batch = flagged_batch(report_input(spark, sf_dir, "account_snapshot"), BD_FLAGGED)
+    day, log = BD_FLAGGED.run_date, LoadLog(spark, target)
+    first = new_keys(batch.filter("cpc = 'CPC1'"), read_target(spark, target), ["acct_id"])
+    log.stage(stamp_rows(first, day).select(*HISTORY_COLUMNS).repartition(3), "first", day)
+    log.publish("first", most=1)  # the crash
+    for load_id in ("first", "second", "second", "third"):
+        load_once(batch, target, ["acct_id"], HISTORY_COLUMNS, day, load_id)
+    rows = spark.createDataFrame([(k, v.rows) for k, v in log.loads().items()], "load_id string, logged_rows long")
+    load = F.regexp_extract(F.col("_metadata.file_name"), "^load-([a-z]+)-", 1)
+    history = read_target(spark, target).select(F.when(load == "", "seed").otherwise(load).alias("load_id"), *HISTORY_COLUMNS)
+    return history.join(F.broadcast(rows), "load_id", "left")
+
+
+@check("q_load_returned", DELTA_SQL)
+def q_load_returned(spark, sf_dir):
+    """The rows that a load hands on, from its second, doubled run."""
+    target = _seeded_history(spark, sf_dir)
+    batch = flagged_batch(report_input(spark, sf_dir, "account_snapshot"), BD_FLAGGED)
+    load_once(batch, target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
+    return load_once(batch, target, ["acct_id"], HISTORY_COLUMNS, BD_FLAGGED.run_date)
+
+
+@check("q_unseen_keys", DELTA_SQL)
+def q_unseen_keys(spark, sf_dir):
+    """JON-7 behind a stored bitmap of the history's keys: only rows it can't tell are joined."""
+    history = report_input(spark, sf_dir, "flag_history")
+    batch = flagged_batch(report_input(spark, sf_dir, "account_snapshot"), BD_FLAGGED)
+    fresh = unseen_rows(batch, history, ["acct_id"], key_bitmap(history, ["acct_id"]))
+    return stamp_rows(fresh, BD_FLAGGED.run_date).select(*HISTORY_COLUMNS)
+
+
+@check("q_append_rows_returned", DELTA_SQL)
+def q_append_rows_returned(spark, sf_dir):
+    """SNK-2: the appended rows themselves, handed on after the append."""
+    target = _seeded_history(spark, sf_dir)
+    delta = flagged_delta(report_input(spark, sf_dir, "account_snapshot"), read_target(spark, target), BD_FLAGGED)
+    return append_returning(delta, target, HISTORY_COLUMNS)
+
+
 @check("q_replace_self_read", RPT3_SQL)
 def q_replace_self_read(spark, sf_dir):
     """A replace whose plan reads the target, spelled in another way."""
@@ -395,3 +456,40 @@ def q_refresh_summary(spark, sf_dir):
     path, _ = run_daily_application_summary(summary_inputs(spark, sf_dir), BD_SUMMARY, SUMMARY_RULES,
                                             f"{base}/table", f"{base}/reports", fmt="parquet")
     return spark.read.parquet(path)
+
+
+@check("q_refresh_changed", SUMMARY_SQL)
+def q_refresh_changed(spark, sf_dir):
+    """CMP-10 by changed ids: the summary of the day before, on inputs that have changed since (rows gone,
+    come and altered in seven of the eleven), brought up to date. Equals the full refresh."""
+    target = scratch_path(spark, "refreshed", uuid.uuid4().hex)
+    today = summary_inputs(spark, sf_dir)
+    refresh_summary(day_before(today), BusinessDate(BD_SUMMARY.as_of), SUMMARY_RULES, target)
+    return refresh_summary(today, BD_SUMMARY, SUMMARY_RULES, target)
+
+
+def day_before(inputs):
+    """The inputs as they might have been a day earlier."""
+    before = dict(inputs)
+    before["legacy_app"] = inputs["legacy_app"].withColumn(
+        "status_field", F.when(F.col("dt_status") >= "1998-07-01", "INREVIEW").otherwise(F.col("status_field")))
+    before["legacy_override"] = inputs["legacy_override"].filter("not client_prod_code <=> 'TEC'")
+    before["app"] = inputs["app"].filter("entry_dt < timestamp'1998-07-20 00:00:00'")
+    before["app_user_data"] = inputs["app_user_data"].withColumn(
+        "user_1_byte_12", F.when(F.col("user_1_byte_12") == "I", "A").otherwise(F.col("user_1_byte_12")))
+    before["app_account"] = inputs["app_account"].filter("not custom_data_60 <=> 'X9'")
+    before["account_custom"] = inputs["account_custom"].withColumn(
+        "custom_21_data", F.when(F.col("custom_21_data") == "IC", F.lit(None)).otherwise(F.col("custom_21_data")))
+    before["excluded_app"] = inputs["excluded_app"].limit(0)
+    return before
+
+
+@check("q_replace_versions", RPT3_SQL)
+def q_replace_versions(spark, sf_dir):
+    """Replaces of a versioned folder, the last one from a plan that reads it."""
+    target = scratch_path(spark, "versions", uuid.uuid4().hex)
+    report = q_rpt_interest_adjustments_mtd(spark, sf_dir)
+    replace_version(report.limit(0), target)
+    replace_version(report, target)
+    replace_version(read_target(spark, target), target)
+    return read_target(spark, target)

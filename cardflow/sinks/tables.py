@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.functions.dates import BusinessDate
+from cardflow.operators.membership import unseen_rows
 from cardflow.session import checkpoint_dir
 
 
@@ -23,7 +24,12 @@ def is_path(target: str) -> bool:
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target) if is_path(target) else spark.table(target)
+    """A catalog table, a folder of Parquet files, or the current version of a versioned folder."""
+    if not is_path(target):
+        return spark.table(target)
+    from cardflow.sinks.versions import Versions, is_versioned
+
+    return Versions(spark, target).read() if is_versioned(spark, target) else spark.read.parquet(target)
 
 
 def target_exists(spark: SparkSession, target: str) -> bool:
@@ -133,11 +139,11 @@ def stamp_rows(df: DataFrame, load_date: dt.date, load_col: str = "data_load_dt"
 def new_keys(batch: DataFrame, history: DataFrame, match_on: Sequence[str]) -> DataFrame:
     """Batch rows whose key is not yet in ``history`` (``NOT EXISTS``).
 
-    Only the key columns of the history are read, deduplicated map-side before the shuffle.
-    Duplicate keys inside the batch all stay: the check sees the history as it was before
-    this load.
+    Only the key columns of the history are read; a bitmap of the batch's keys filters them in the scan, so
+    only keys that may be in the batch are shuffled. Duplicate keys inside the batch all stay: the
+    check sees the history as it was before this load.
     """
-    return batch.join(history.select(*match_on).distinct(), list(match_on), "left_anti")
+    return unseen_rows(batch, history, match_on)
 
 
 def load_new_keys(batch: DataFrame, target: str, match_on: Sequence[str], columns: Sequence[str],
