@@ -48,7 +48,7 @@ def left_join(a: DataFrame, b: DataFrame, on: On, many: bool = False) -> DataFra
 
 def left_join_many_parts(left: DataFrame, right: DataFrame, on: Sequence[str],
                          right_keys: DataFrame | None = None, hot: DataFrame | None | str = "auto",
-                         salts: int = 32) -> tuple[DataFrame, DataFrame]:
+                         salts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The two disjoint halves of ``left_join_many``: (matched rows, unmatched left rows with
     the right side's columns NULL). Their key sets are disjoint, so per-key work after the
     join (such as a ``DISTINCT``) can run on each half separately.
@@ -137,12 +137,6 @@ def anti_join(a: DataFrame, b: DataFrame, on: On) -> DataFrame:
     return a.join(b.select(*keys).distinct(), keys, "left_anti")
 
 
-def listing_stats(listing: DataFrame, key: str) -> tuple[int, int]:
-    """(rows, non-NULL keys) of an exclusion listing: one aggregate, two numbers to the driver."""
-    row = listing.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(key)).alias("k")).first()
-    return int(row["n"]), int(row["k"])
-
-
 def exclude_listed(df: DataFrame, key: str, listing: DataFrame, listing_key: str | None = None) -> DataFrame:
     """Null-aware ``key NOT IN (SELECT listing_key FROM listing)`` (JON-8, CMP-11).
 
@@ -150,18 +144,16 @@ def exclude_listed(df: DataFrame, key: str, listing: DataFrame, listing_key: str
     keeps no row; otherwise rows with a NULL key drop and the rest are an anti join.
 
     Spark would plan a single-column ``NOT IN`` as a null-aware *broadcast* anti join whatever
-    the listing's size. Resolving the two NULL cases from one small aggregate first leaves a
-    plain anti join, which Spark broadcasts only when the listing is measured small and
-    otherwise shuffles, so the listing may grow without bound.
+    the listing's size. Here the two NULL cases are scalar subqueries (two numbers) of the same plan that
+    filter ``df`` before a plain anti join, which Spark broadcasts only when the listing is measured
+    small and otherwise shuffles, so the listing may grow without bound. Nothing runs while the frame is
+    built, so it follows what the listing holds when it runs.
     """
     lk = listing_key or key
-    n, non_null = listing_stats(listing, lk)
-    if n == 0:
-        return df
-    if non_null < n:
-        return df.filter(F.lit(False))
+    listed = listing.agg(F.count(F.lit(1)).alias("n")).scalar()
+    non_null = listing.agg(F.count(F.col(lk)).alias("k")).scalar()
     keys = listing.select(F.col(lk).alias("__listed_key")).distinct()
-    probe = df.filter(F.col(key).isNotNull())
+    probe = df.filter((listed == 0) | ((listed == non_null) & F.col(key).isNotNull()))
     return probe.join(keys, probe[key] == keys["__listed_key"], "left_anti")
 
 

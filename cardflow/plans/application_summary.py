@@ -152,7 +152,7 @@ def legacy_rows(app: DataFrame) -> DataFrame:
 
 
 def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame, rules: SummaryRules,
-                  hot: DataFrame | None = None, salts: int = 32) -> DataFrame:
+                  hot: DataFrame | None = None, salts: int | None = None) -> DataFrame:
     """Legacy rows (test rows with both marks set drop), not deduplicated: one output row per
     distinct combination of the joined income element and product override. With ``hot``
     (application ids holding very many legacy rows, column ``app_num``) both joins are salted."""
@@ -212,11 +212,11 @@ def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame,
 
 def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user_data: DataFrame,
                    transfer: DataFrame, account: DataFrame, account_custom: DataFrame,
-                   bd: BusinessDate, hot_min_rows: int | None = 1_000_000, salts: int = 32) -> DataFrame:
+                   bd: BusinessDate, hot_min_rows: int | str | None = "auto", salts: int | None = None) -> DataFrame:
     """One row per application id: the row valid on the business date with the newest status
     (NULL status date first, then newest validity start), with each joined table's row valid
     on that date. Ties are broken by the remaining columns, ascending, NULLs last. A transfer
-    account shared by more than ``hot_min_rows`` applications is salted in its lookup."""
+    account shared by more than ``hot_min_rows`` applications ("auto": a task's share) is salted in its lookup."""
     d = bd.as_of
 
     def valid_top(df: DataFrame, key: str, columns: Sequence, order: Sequence[Column],
@@ -252,7 +252,7 @@ def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user
     if hot_min_rows is not None:
         valid_transfers = effective_on(transfer, d).filter(F.col("acct_id") > 0)
         hot_acct = hot_keys(valid_transfers.select(F.col("acct_id").alias("xfer_acct_id")), ["xfer_acct_id"],
-                            min_rows=hot_min_rows)
+                            min_rows=None if hot_min_rows == "auto" else hot_min_rows)
     if hot_acct is None:
         xfer_cdf = xfer.join(cdf, "xfer_acct_id", "left")
     else:
@@ -300,13 +300,13 @@ def _prefixed(df: DataFrame, prefix: str, fields: Sequence[str]) -> DataFrame:
 
 
 def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate, rules: SummaryRules,
-                              hot_min_rows: int | None = 1_000_000, salts: int = 32) -> DataFrame:
+                              hot_min_rows: int | str | None = "auto", salts: int | None = None) -> DataFrame:
     """The summary table rows (the 14 columns of the original's final stage).
 
     ``inputs`` keys: legacy_app, legacy_element, legacy_override, app, app_decision, app_element,
     app_user_data, app_transfer, app_account, account_custom, excluded_app.
 
-    Application ids with more than ``hot_min_rows`` legacy rows (and a bounded share of them, see
+    Application ids with more than ``hot_min_rows`` legacy rows ("auto": more than a task's share of them, see
     ``hot_keys``) are spread over ``salts`` tasks in the joins that keep every legacy row;
     ``hot_min_rows=None`` turns the detection off.
     """
@@ -315,7 +315,7 @@ def daily_application_summary(inputs: Mapping[str, DataFrame], bd: BusinessDate,
     hot = None
     if hot_min_rows is not None:
         # counted over every legacy row (one column; a superset of the non-test rows)
-        hot = hot_keys(inputs["legacy_app"].select("app_num"), ["app_num"], min_rows=hot_min_rows)
+        hot = hot_keys(inputs["legacy_app"].select("app_num"), ["app_num"], min_rows=None if hot_min_rows == "auto" else hot_min_rows)
     ta = _prefixed(legacy_source(inputs["legacy_app"], inputs["legacy_element"], inputs["legacy_override"], rules,
                                  hot, salts),
                    "ta_", SOURCE_FIELDS)

@@ -20,12 +20,15 @@ from cardflow.plans.plan_postings import plan_postings_mtd
 from cardflow.registry.base import check
 from cardflow.registry.driver_inputs import (BD_FLAGGED, BD_MTD, BD_SUMMARY, SUMMARY_RULES,
                                              input_cte, report_input, report_inputs)
-from cardflow.functions.dates import BusinessDate
+from cardflow.functions.dates import BusinessDate, before_day
+from cardflow.operators.joins import exclude_listed
+from cardflow.operators.skew import hot_keys
+from cardflow.operators.sorting import exported_positions
 from cardflow.plans.summary_refresh import refresh_summary
 from cardflow.session import scratch_path
 from cardflow.sinks.load_log import LoadLog, load_once
-from cardflow.sinks.tables import (append_returning, append_rows, load_new_keys, new_keys, read_target, replace_table,
-                                   stamp_rows, write_report)
+from cardflow.sinks.tables import (append_returning, append_rows, export_with_manifest, load_new_keys, new_keys,
+                                   read_target, replace_table, stamp_rows, verify_export, write_report)
 from cardflow.sinks.versions import replace_version
 
 # ---------------------------------------------------------------- RPT-3
@@ -493,3 +496,109 @@ def q_replace_versions(spark, sf_dir):
     replace_version(report, target)
     replace_version(read_target(spark, target), target)
     return read_target(spark, target)
+
+
+_SORTED_SQL = f"""
+{input_cte(["plan_txn", "plan_code", "txn_detail", "txn_master"])},
+postings AS (
+  SELECT strftime(t.txn_post_dt, '%Y-%m-%d %H:%M:%S') AS k1, lpad(CAST(t.acct_id AS VARCHAR), 11, '0') AS k2, '' AS k3,
+         ROW_NUMBER() OVER (ORDER BY t.txn_post_dt NULLS LAST, t.txn_lvl_proc_option_set_id NULLS LAST, t.acct_id NULLS LAST) AS position
+  FROM plan_txn t
+  JOIN plan_code c ON t.txn_lvl_proc_option_set_id = CAST(c.tlp_option_set AS VARCHAR)
+   AND t.reasgned_txn_cat_cd = CAST(c.tcat_cd AS VARCHAR) AND c.tcat_cd IN (2010, 2011)
+  WHERE t.txn_post_dt >= DATE '{BD_MTD.month_start}' AND t.txn_post_dt < DATE '{BD_MTD.run_date}'),
+interest AS (
+  SELECT strftime(txn_posted_dt, '%Y-%m-%d %H:%M:%S') AS k1, acct_id AS k2, '' AS k3,
+         ROW_NUMBER() OVER (ORDER BY txn_posted_dt NULLS LAST, acct_id NULLS LAST) AS position
+  FROM (SELECT txn_posted_dt, lpad(CAST(acct_id AS VARCHAR), 11, '0') AS acct_id FROM txn_detail
+        WHERE txn_posted_dt >= DATE '{BD_MTD.month_start}' AND txn_posted_dt <= DATE '{BD_MTD.as_of}'
+          AND acct_seq_num = 0 AND txn_trans_cd = '0162' AND merch_nm IN ('EPP INTEREST ADJUST', 'AJUST INTÉRÊTS PPE')) x),
+adjustments AS (
+  SELECT acct_id AS k1, CAST(acct_seq_num AS VARCHAR) AS k2, CAST(txn_posted_dt AS VARCHAR) AS k3,
+         ROW_NUMBER() OVER (ORDER BY acct_id, acct_seq_num, txn_posted_dt, tm_posted_seq_num) AS position
+  FROM (SELECT *, lpad(CAST(acct_id AS VARCHAR), 11, '0') AS padded FROM txn_master
+        WHERE txn_src_cd = 'BO' AND acctg_func_cd IS NOT NULL AND acctg_func_cd <> 'PAY') m(
+          raw_id, acct_seq_num, txn_posted_dt, txn_dt, outpt_txn_intrnl_cd, acctg_func_cd, merch_nm, db_cr_cd, txn_amt,
+          txn_src_cd, tm_posted_seq_num, acct_id))
+SELECT 'plan_postings' AS report, * FROM postings
+UNION ALL SELECT 'interest_adjustments', * FROM interest
+UNION ALL SELECT 'adjustment_transactions', * FROM adjustments
+"""
+
+
+@check("q_sorted_positions", _SORTED_SQL)
+def q_sorted_positions(spark, sf_dir):
+    """SRT-1..3: three exports, each row with its place in the order of the written files. Sort keys only, so
+    that rows tied on them are alike."""
+    root, stamp = scratch_path(spark, "reports", uuid.uuid4().hex), "yyyy-MM-dd HH:mm:ss"
+    reports = {
+        "plan_postings": (q_rpt_plan_postings_mtd(spark, sf_dir), "month", [
+            F.date_format("epp_posted_dt", stamp), F.col("acct_id"), F.lit("")]),
+        "interest_adjustments": (q_rpt_interest_adjustments_mtd(spark, sf_dir), "month", [
+            F.date_format("txn_posted_dt", stamp), F.col("acct_id"), F.lit("")]),
+        "adjustment_transactions": (q_rpt_adjustment_transactions(spark, sf_dir), "day", [
+            F.col("acct_id"), F.col("acct_seq_num").cast("string"), F.col("txn_posted_dt").cast("string")])}
+    out = None
+    for name, (report, grain, keys) in reports.items():
+        path, _ = write_report(report, root, name, BD_MTD, grain, "parquet")
+        places = exported_positions(spark, path).select(
+            F.lit(name).alias("report"), *[k.alias(f"k{n}") for n, k in enumerate(keys, 1)], "position")
+        out = places if out is None else out.unionByName(places)
+    return out
+
+
+@check("q_export_manifest", f"""
+WITH exported AS ({RPT3_SQL})
+SELECT 'interest_adjustments_{BD_MTD.as_of:%Y%m}' AS name, count(*) AS row_count, sum(txn_amt) AS txn_amt,
+       count(DISTINCT acct_id) AS accounts, true AS verified
+FROM exported
+UNION ALL
+SELECT 'interest_adjustments_{BD_MTD.run_date:%Y%m%d}', count(*), sum(txn_amt), count(DISTINCT acct_id), true FROM exported
+""")
+def q_export_manifest(spark, sf_dir):
+    """SNK-4, SNK-5, FN-12: monthly Parquet and daily CSV exports, their dated names and counts from the manifest, and
+    whether the rows read back are those of the manifest."""
+    root, report = scratch_path(spark, "reports", uuid.uuid4().hex), q_rpt_interest_adjustments_mtd(spark, sf_dir)
+    out = None
+    for grain, fmt in (("month", "parquet"), ("day", "csv")):
+        path, manifest = export_with_manifest(report, root, "interest_adjustments", BD_MTD, grain, fmt)
+        verified = verify_export(spark, path, report.schema, fmt) == manifest
+        reader = spark.read.schema(report.schema)
+        back = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+        row = back.agg(F.sum("txn_amt").alias("txn_amt"), F.countDistinct("acct_id").alias("accounts")).select(
+            F.lit(manifest.name).alias("name"), F.lit(manifest.rows).cast("long").alias("row_count"), "txn_amt", "accounts",
+            F.lit(verified).alias("verified"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@check("q_heavy_keys", """
+WITH held AS (SELECT l_returnflag || l_linestatus AS code, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT code FROM held WHERE n > greatest(10, ceil((SELECT sum(n) FROM held) / 4.0))
+""")
+def q_heavy_keys(spark, sf_dir):
+    """Keys with more than a quarter of the rows, by bucket counts first."""
+    codes = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.concat("l_returnflag", "l_linestatus").alias("code"))
+    found = hot_keys(codes, ["code"], max_keys=4, min_rows=10)
+    return codes.limit(0) if found is None else found
+
+
+@check("q_not_in_empty", "SELECT c_custkey, c_nationkey FROM customer")
+def q_not_in_empty(spark, sf_dir):
+    """JON-8 with an empty listing: every row stays."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
+    listing = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_totalprice < 0").select("o_custkey")
+    return exclude_listed(customer, "c_custkey", listing, "o_custkey")
+
+
+@check("q_today", """
+SELECT strftime(current_date, '%Y%m%d') AS day_stamp, strftime(current_date - 1, '%Y_%m') AS month_key,
+       count(*) FILTER (WHERE o_orderdate < current_date) AS before_today, count(*) AS orders
+FROM orders
+""")
+def q_today(spark, sf_dir):
+    """FN-9: dates derived from the day the job runs."""
+    bd = BusinessDate.today()
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.agg(F.count_if(before_day("o_orderdate", bd.run_date)).alias("before_today"), F.count(F.lit(1)).alias("orders")).select(
+        F.lit(bd.stamp("day")).alias("day_stamp"), F.lit(bd.month_key).alias("month_key"), "before_today", "orders")

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cardflow.functions.dates import BusinessDate
 from cardflow.operators.membership import unseen_rows
 from cardflow.session import checkpoint_dir
+from cardflow.sinks.files import Folder
 
 
 def is_path(target: str) -> bool:
@@ -131,6 +134,60 @@ def write_report(df: DataFrame, root: str, name: str, bd: BusinessDate, grain: s
     return path, int(obs.get["rows"])
 
 
+@dataclass(frozen=True)
+class Manifest:
+    """What an export holds, independent of the order of its rows."""
+
+    name: str
+    rows: int
+    row_digest: int
+    column_digests: dict[str, int]
+
+
+_PRIME = (1 << 31) - 1
+
+
+def _text_values(df: DataFrame) -> dict[str, Column]:
+    """Every column as the export's text has it; NULL and empty text are one in CSV."""
+    return {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns}
+
+
+def _digests(df: DataFrame) -> list[Column]:
+    values = _text_values(df)
+    return [F.count(F.lit(1)).alias("rows"), F.sum(F.pmod(F.xxhash64(*values.values()), F.lit(_PRIME))).alias("row_digest"),
+            *[F.sum(F.pmod(F.xxhash64(v), F.lit(_PRIME))).alias(f"c_{k}") for k, v in enumerate(values.values())]]
+
+
+def _manifest(name: str, columns: Sequence[str], seen: Mapping[str, int | None]) -> Manifest:
+    return Manifest(name, int(seen["rows"]), int(seen["row_digest"] or 0),
+                    {c: int(seen[f"c_{k}"] or 0) for k, c in enumerate(columns)})
+
+
+def export_with_manifest(df: DataFrame, root: str, name: str, bd: BusinessDate, grain: str = "day",
+                         fmt: str = "csv") -> tuple[str, Manifest]:
+    """``write_report`` with a manifest beside the rows (``_manifest.json``): the dated name, the row count, a
+    digest of the rows and one of each column, all observed in the write itself (SNK-4, SNK-5, FN-12)."""
+    path = report_path(root, name, bd, grain)
+    seen = Observation(f"manifest_{name}")
+    observed = df.observe(seen, *_digests(df))
+    write_report(observed, root, name, bd, grain, fmt)
+    manifest = _manifest(path.rpartition("/")[2], df.columns, seen.get)
+    Folder(df.sparkSession, path).write_json("_manifest.json", asdict(manifest))
+    return path, manifest
+
+
+def verify_export(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv") -> Manifest:
+    """Read an export back and compare it with its manifest; raises where they differ."""
+    kept = Folder(spark, path).read_json("_manifest.json")
+    reader = spark.read.schema(schema)
+    back = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    found = _manifest(path.rstrip("/").rpartition("/")[2], back.columns, back.agg(*_digests(back)).first().asDict())
+    if asdict(found) != kept:
+        wrong = [c for c in found.column_digests if found.column_digests[c] != kept["column_digests"].get(c)]
+        raise ValueError(f"{path} differs from its manifest: rows {found.rows} of {kept['rows']}, columns {wrong}")
+    return found
+
+
 def stamp_rows(df: DataFrame, load_date: dt.date, load_col: str = "data_load_dt") -> DataFrame:
     """Constant load-date stamp column (PRJ-10)."""
     return df.withColumn(load_col, F.lit(load_date))
