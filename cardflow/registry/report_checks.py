@@ -17,11 +17,13 @@ from cardflow.plans.interest_adjustments import interest_adjustments_mtd
 from cardflow.operators.membership import key_bitmap, unseen_rows
 from cardflow.plans.new_flagged_accounts import HISTORY_COLUMNS, flagged_batch, flagged_delta, new_flagged_accounts
 from cardflow.plans.plan_postings import plan_postings_mtd
-from cardflow.registry.base import check
+from cardflow.registry import operator_checks  # noqa: F401  (registers the oracle of q_overlay)
+from cardflow.registry.base import ORACLES, check
 from cardflow.registry.driver_inputs import (BD_FLAGGED, BD_MTD, BD_SUMMARY, SUMMARY_RULES,
                                              input_cte, report_input, report_inputs)
 from cardflow.functions.dates import BusinessDate, before_day
-from cardflow.operators.joins import exclude_listed
+from cardflow.operators.joins import exclude_listed, overlay
+from cardflow.operators.ranking import latest_per_key, pg_desc
 from cardflow.operators.skew import hot_keys
 from cardflow.operators.sorting import exported_positions
 from cardflow.plans.summary_refresh import refresh_summary
@@ -30,6 +32,8 @@ from cardflow.sinks.load_log import LoadLog, load_once
 from cardflow.sinks.tables import (append_returning, append_rows, export_with_manifest, load_new_keys, new_keys,
                                    read_target, replace_table, stamp_rows, verify_export, write_report)
 from cardflow.sinks.versions import replace_version
+from cardflow.sources.clustered import read_between, write_bucketed, write_clustered
+from cardflow.sources.splits import split_points, split_predicates
 
 # ---------------------------------------------------------------- RPT-3
 RPT3_SQL = f"""
@@ -483,7 +487,7 @@ def day_before(inputs):
     before["app_account"] = inputs["app_account"].filter("not custom_data_60 <=> 'X9'")
     before["account_custom"] = inputs["account_custom"].withColumn(
         "custom_21_data", F.when(F.col("custom_21_data") == "IC", F.lit(None)).otherwise(F.col("custom_21_data")))
-    before["excluded_app"] = inputs["excluded_app"].limit(0)
+    before["excluded_app"] = inputs["excluded_app"].filter(F.lit(False))
     return before
 
 
@@ -492,7 +496,7 @@ def q_replace_versions(spark, sf_dir):
     """Replaces of a versioned folder, the last one from a plan that reads it."""
     target = scratch_path(spark, "versions", uuid.uuid4().hex)
     report = q_rpt_interest_adjustments_mtd(spark, sf_dir)
-    replace_version(report.limit(0), target)
+    replace_version(report.filter(F.lit(False)), target)
     replace_version(report, target)
     replace_version(read_target(spark, target), target)
     return read_target(spark, target)
@@ -580,7 +584,7 @@ def q_heavy_keys(spark, sf_dir):
     """Keys with more than a quarter of the rows, by bucket counts first."""
     codes = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.concat("l_returnflag", "l_linestatus").alias("code"))
     found = hot_keys(codes, ["code"], max_keys=4, min_rows=10)
-    return codes.limit(0) if found is None else found
+    return codes.filter(F.lit(False)) if found is None else found
 
 
 @check("q_not_in_empty", "SELECT c_custkey, c_nationkey FROM customer")
@@ -602,3 +606,46 @@ def q_today(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return orders.agg(F.count_if(before_day("o_orderdate", bd.run_date)).alias("before_today"), F.count(F.lit(1)).alias("orders")).select(
         F.lit(bd.stamp("day")).alias("day_stamp"), F.lit(bd.month_key).alias("month_key"), "before_today", "orders")
+
+
+@check("q_planned_reads", """
+SELECT count(*) AS row_count, sum(l_partkey) AS partkeys, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS price,
+       true AS even FROM lineitem
+""")
+def q_planned_reads(spark, sf_dir):
+    """SRC-4: sixteen planned reads of a table give each row once, none with more than twice its share."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    predicates = split_predicates("l_orderkey", split_points(lineitem, "l_orderkey", 16))
+    out = None
+    for k, predicate in enumerate(predicates):
+        part = lineitem.filter(predicate).select(F.lit(k).alias("part"), "l_partkey",
+                                                 F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+        out = part if out is None else out.union(part)
+    parts = out.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("keys"), F.sum("price").alias("price"))
+    return parts.agg(F.sum("n").alias("row_count"), F.sum("keys").alias("partkeys"), F.sum("price").alias("price"),
+                     (F.max("n") * 16 <= 2 * F.sum("n")).alias("even"))
+
+
+@check("q_clustered_month", RPT3_SQL)
+def q_clustered_month(spark, sf_dir):
+    """SRC-1, FLT-5: the month-to-date report from a table clustered by posting time."""
+    path = scratch_path(spark, "clustered", uuid.uuid4().hex)
+    write_clustered(report_input(spark, sf_dir, "txn_detail"), path, "txn_posted_dt", 32)
+    month = read_between(spark, path, "txn_posted_dt", BD_MTD.month_start, BD_MTD.as_of)
+    return interest_adjustments_mtd(month, BD_MTD)
+
+
+@check("q_overlay_bucketed", ORACLES["q_overlay"])
+def q_overlay_bucketed(spark, sf_dir):
+    """JON-10, JON-9 on tables bucketed and sorted by the order key: no exchange below the joins."""
+    base, key, buckets = scratch_path(spark, "bucketed", uuid.uuid4().hex), ["o_orderkey"], 16
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumnRenamed("l_orderkey", "o_orderkey")
+    spine = write_bucketed(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"), f"{base}/spine", key, buckets)
+    lines = write_bucketed(items.select("o_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag"),
+                           f"{base}/lines", key, buckets)
+    primary = latest_per_key(lines.filter("l_returnflag = 'R'"), key, [
+        pg_desc("l_shipdate"), pg_desc("l_linenumber"), pg_desc("l_partkey"), pg_desc("l_suppkey")]).select(
+        "o_orderkey", F.col("l_partkey").alias("p_part"))
+    secondary = lines.select("o_orderkey", F.col("l_partkey").alias("s_part"))
+    return overlay(spine, primary, secondary, key).select(
+        "o_orderkey", "p_part", "s_part", F.coalesce("p_part", "s_part").alias("part_pick"))

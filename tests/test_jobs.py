@@ -77,3 +77,42 @@ def test_cli_main(spark, tables, tmp_path, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert rc == 0 and out["rows"] == E.queries()["q_rpt_interest_adjustments_mtd"](spark, SF).count()
     assert out["path"].endswith(f"INTEREST_ADJ_{BD_MTD.stamp('month')}")
+
+
+def test_summary_job_for_changed_applications(spark, tables, tmp_path):
+    target, want = str(tmp_path / "summary"), E.queries()["q_rpt_daily_application_summary"](spark, SF).count()
+    for _ in range(2):  # the second run finds nothing changed
+        path, rows = run_job(spark, "daily_application_summary", BD_SUMMARY, tables, str(tmp_path / "out"), target=target,
+                             rules=SUMMARY_RULES, changed_only=True)
+        assert rows == want and path.endswith(f"daily_app_summary_{BD_SUMMARY.stamp('day')}")
+
+
+def test_database_inputs(spark, tables, tmp_path, monkeypatch):
+    """A planned database read: what is asked of the reader (no database is at hand)."""
+    from cardflow import jobs
+    from cardflow.jobs import JdbcTable, read_input
+    from cardflow.sources import splits
+
+    assert JdbcTable.parse("dw.t") == JdbcTable("dw.t")
+    planned = JdbcTable.parse(f"dw.t,acct_id,{tables['txn_detail']},4")
+    with pytest.raises(ValueError):
+        JdbcTable.parse("dw.t,acct_id")
+    with pytest.raises(ValueError):
+        read_input(spark, planned)
+    monkeypatch.setenv("DB_USER", "reader")
+    jdbc = {"url": "jdbc:postgresql://db/x", "user_env": "DB_USER", "password_env": "DB_PASSWORD"}
+    asked = {}
+
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            asked.update(url=url, table=table, predicates=predicates, properties=properties)
+
+    class Session:
+        read = Reader()
+
+    like = spark.read.parquet(tables["txn_detail"])
+    monkeypatch.setattr(jobs, "read_target", lambda s, location: like)
+    read_input(Session(), planned, jdbc)
+    assert asked["table"] == "dw.t" and asked["properties"]["user"] == "reader" and asked["properties"]["queryTimeout"] == "900"
+    assert asked["predicates"] == splits.split_predicates("acct_id", splits.split_points(like, "acct_id", 4))
+    assert len(asked["predicates"]) == 5 and asked["predicates"][-1] == "acct_id IS NULL"
