@@ -25,9 +25,10 @@ from dataclasses import asdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from cardflow.functions.dates import BusinessDate, before_day
-from cardflow.operators.membership import may_match
+from cardflow.operators.membership import key_bitmap, with_membership
 from cardflow.plans.application_summary import SUMMARY_INPUTS, SummaryRules, daily_application_summary
 from cardflow.session import checkpoint_dir
 from cardflow.sinks.versions import Versions
@@ -42,22 +43,21 @@ ENTRY_COLUMN = {"legacy_app": "dt_entered", "app": "entry_dt"}
 FORM = 1
 
 
-def _state(name: str, df: DataFrame, bd: BusinessDate) -> Column:
-    """The row with all that dates decide about it: a row that neither counted nor counts is NULL."""
+def _hashed(name: str, df: DataFrame, bd: BusinessDate, key: str, out: str) -> DataFrame:
+    """(out, a, b): two hashes of each row of an input with all that dates decide about it. Rows of no id, and
+    rows that don't count on the business date, are left out."""
     valid = F.lit(True)
     if "efftv_from_dt" in df.columns:
-        valid = F.lit(bd.as_of).between(F.col("efftv_from_dt"), F.col("efftv_to_dt"))
-    entered = before_day(ENTRY_COLUMN[name], bd.run_date) if name in ENTRY_COLUMN else F.lit(True)
-    valid, entered = F.coalesce(valid, F.lit(False)), F.coalesce(entered, F.lit(False))
-    row = F.struct(*[F.col(c) for c in sorted(df.columns)])
-    # the spine reads applications whatever their validity; other inputs don't count when not valid
-    counts = F.lit(True) if name in ENTRY_COLUMN else valid
-    return F.when(counts, F.struct(F.lit(name).alias("input"), row.alias("row"), valid.alias("valid"), entered.alias("entered")))
-
-
-def _two_hashes(state: Column) -> list[Column]:
-    text = F.to_json(state, {"ignoreNullFields": "false"})
-    return [F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(FORM)).alias("b")]
+        valid = F.coalesce(F.lit(bd.as_of).between(F.col("efftv_from_dt"), F.col("efftv_to_dt")), F.lit(False))
+    entered = F.lit(True)
+    if name in ENTRY_COLUMN:  # the spine reads applications whatever their validity
+        entered = F.coalesce(before_day(ENTRY_COLUMN[name], bd.run_date), F.lit(False))
+    else:
+        df = df.filter(valid)
+    # a hash skips NULLs, so each column comes with whether it is one
+    parts = [F.lit(name), valid, entered, *[x for c in sorted(df.columns) for x in (F.col(c), F.col(c).isNull())]]
+    return df.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(out), F.xxhash64(*parts).alias("a"),
+                                                    F.xxhash64(F.lit(FORM), *parts).alias("b"))
 
 
 _PRIME = (1 << 31) - 1
@@ -73,20 +73,14 @@ def application_digests(inputs: Mapping[str, DataFrame], bd: BusinessDate) -> Da
     """(appl_id, n, s, t, x): a digest of everything that an application's summary rows depend on."""
     rows: DataFrame | None = None
     for name, key in APPLICATION_KEY.items():
-        df = inputs[name]
-        state = _state(name, df, bd)
-        part = df.filter(state.isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("appl_id"), *_two_hashes(state))
+        part = _hashed(name, inputs[name], bd, key, "appl_id")
         rows = part if rows is None else rows.union(part)
-    custom = inputs["account_custom"]
-    state = _state("account_custom", custom, bd)
-    accounts = custom.filter(state.isNotNull()).select(F.col("acct_id").alias("__acct"), *_two_hashes(state)).groupBy("__acct").agg(
-        *_digest())
-    whole = F.struct("n", "s", "t", "x")
+    accounts = _hashed("account_custom", inputs["account_custom"], bd, "acct_id", "__acct").groupBy("__acct").agg(*_digest())
     transfers = inputs["app_transfer"]
     reached = transfers.filter(F.lit(bd.as_of).between(F.col("efftv_from_dt"), F.col("efftv_to_dt"))).select("appl_id", "acct_id")
     through = reached.join(accounts, reached["acct_id"] == accounts["__acct"]).select(
-        F.col("appl_id").cast("long").alias("appl_id"), F.xxhash64("__acct", whole).alias("a"),
-        F.xxhash64(whole, "__acct").alias("b"))
+        F.col("appl_id").cast("long").alias("appl_id"), F.xxhash64("__acct", "n", "s", "t", "x").alias("a"),
+        F.xxhash64("x", "t", "s", "n", "__acct").alias("b"))
     return rows.union(through.filter("appl_id is not null")).groupBy("appl_id").agg(*_digest())
 
 
@@ -110,12 +104,15 @@ def inputs_of(inputs: Mapping[str, DataFrame], ids: DataFrame) -> dict[str, Data
     exclusion listing stays whole (its NULLs count for every id), as do the custom rows (the transfer
     rows that reach them are cut)."""
     cut = dict(inputs)
+    flag, bitmap = "__may_change", key_bitmap(ids, ["appl_id"]).checkpoint(eager=True)  # BLOCKS rows at most
     for name, key in APPLICATION_KEY.items():
+        df = inputs[name]
         if name == "excluded_app":
             continue
-        df = inputs[name]
-        keys = ids.select(F.col("appl_id").cast(df.schema[key].dataType).alias(key))
-        cut[name] = may_match(df, keys, [key]).join(keys, key, "left_semi").select(*df.columns)
+        rows = df
+        if df.schema[key].dataType == LongType():
+            rows = with_membership(df, [key], bitmap, flag).filter(flag).drop(flag)
+        cut[name] = rows.join(ids.select(F.col("appl_id").alias(key)), key, "left_semi").select(*df.columns)
     return cut
 
 
