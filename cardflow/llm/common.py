@@ -79,7 +79,7 @@ def _marked(df: DataFrame, key: str, wanted: DataFrame, rows: int) -> DataFrame:
     The hashed keys of ``wanted`` are a bitmap of fixed size (``rows`` times 4 KB, broadcast), however
     many there are. It never misses a key; the fuller it is, the more others it lets through.
     """
-    hashed = F.pmod(F.xxhash64(key), F.lit(rows * 32768))
+    hashed = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(rows * 32768))  # shorter integers hash otherwise
     bucket, place = F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed)
     bits = F.broadcast(wanted.select(bucket.alias("__bucket"), place.alias("__place")).groupBy("__bucket").agg(
         F.bitmap_construct_agg("__place").alias("__bits")))

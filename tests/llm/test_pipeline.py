@@ -28,3 +28,12 @@ def test_near_duplicates_of_single_ids(spark):
     docs = spark.createDataFrame([(k, t, len(t), 7) for k, t in rows], SCHEMA)
     got = sorted(((r["doc_id"], r["text"]) for r in C.near_duplicate_stage(spark, docs, "").collect()), key=repr)
     assert got == sorted([(2, a + " more"), (3, b), (4, c), (None, d), (None, d)], key=repr)
+
+
+def test_near_duplicates_of_short_integer_ids(spark):
+    a, b, c, _, _ = near_texts()
+    rows = [(9, a), (2, a + " more"), (3, b), (4, c)]
+    docs = spark.createDataFrame([(k, t, len(t), 7) for k, t in rows], SCHEMA.replace("doc_id long", "doc_id int"))
+    got = C.near_duplicate_stage(spark, docs, "")
+    assert got.schema["doc_id"] == docs.schema["doc_id"]
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted([(2, a + " more"), (3, b), (4, c)])
