@@ -65,6 +65,14 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -73,30 +81,33 @@ def parallelism(spark: SparkSession) -> int:
 BITMAP_ROWS = 256
 
 
-def _marked(df: DataFrame, key: str, wanted: DataFrame, rows: int) -> DataFrame:
-    """``df`` with ``__likely``: whether the hash of its long ``key`` is that of a key of ``wanted``.
+def _marked(df: DataFrame, key: str, wanted: DataFrame, rows: int) -> tuple[DataFrame, str]:
+    """``df`` with a column, and its name: whether the hash of its long ``key`` is that of a key of ``wanted``.
 
     The hashed keys of ``wanted`` are a bitmap of fixed size (``rows`` times 4 KB, broadcast), however
     many there are. It never misses a key; the fuller it is, the more others it lets through.
     """
     hashed = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(rows * 32768))  # shorter integers hash otherwise
     bucket, place = F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed)
-    bits = F.broadcast(wanted.select(bucket.alias("__bucket"), place.alias("__place")).groupBy("__bucket").agg(
-        F.bitmap_construct_agg("__place").alias("__bits")))
-    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    number, bitmap, mark = (unused(df, name) for name in ("__bucket", "__bits", "__likely"))
+    bits = F.broadcast(wanted.select(bucket.alias(number), place.alias("__place")).groupBy(number).agg(
+        F.bitmap_construct_agg("__place").alias(bitmap)))
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     likely = F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False)) & F.col(key).isNotNull()
-    return df.join(bits, bucket == F.col("__bucket"), "left").withColumn("__likely", likely).drop("__bucket", "__bits")
+    return df.join(bits, bucket == F.col(number), "left").withColumn(mark, likely).drop(number, bitmap), mark
 
 
 def likely_in(df: DataFrame, key: str, wanted: DataFrame, rows: int = BITMAP_ROWS) -> DataFrame:
     """``df`` without most of the rows whose long ``key`` is not among those of ``wanted``: tested before a
     join shuffles ``df``."""
-    return _marked(df, key, wanted, rows).filter("__likely").drop("__likely")
+    marked, mark = _marked(df, key, wanted, rows)
+    return marked.filter(F.col(mark)).drop(mark)
 
 
 def unlikely_in(df: DataFrame, key: str, wanted: DataFrame, rows: int = BITMAP_ROWS) -> DataFrame:
     """The other rows of ``df``: none has a ``key`` (null included) of ``wanted``."""
-    return _marked(df, key, wanted, rows).filter(~F.col("__likely")).drop("__likely")
+    marked, mark = _marked(df, key, wanted, rows)
+    return marked.filter(~F.col(mark)).drop(mark)
 
 
 def give_back() -> None:

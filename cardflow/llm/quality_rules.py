@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.llm.common import unused
 from cardflow.llm.textstats import utf8, windows, word_hashes
 
 MIN_WORDS = 20
@@ -120,13 +121,14 @@ def statistics(text_column: str, bands: Bands = Bands()):
     return measure(F.coalesce(F.col(text_column), F.lit("")))
 
 
-def with_verdict(df: DataFrame, text: str = "text", bands: Bands = Bands()) -> DataFrame:
-    """``df`` with a struct ``__rules``: the statistics, ``base_failed``, ``band_failed``, ``kept``.
+def with_verdict(df: DataFrame, text: str = "text", bands: Bands = Bands(), name: str = "__rules") -> DataFrame:
+    """``df`` with a struct ``name``: the statistics, ``base_failed``, ``band_failed``, ``kept``.
 
     One pass over the texts; no shuffle.
     """
-    measured = df.withColumn("__stat", statistics(text, bands))
-    s = lambda name: F.col(f"__stat.{name}")
+    stat = unused(df, "__stat")
+    measured = df.withColumn(stat, statistics(text, bands))
+    s = lambda field: F.col(f"{stat}.{field}")
     base = (s("n_words") < MIN_WORDS) | (s("n_repeat_words") * 100 > s("n_words") * REPEAT_PERCENT)
     length = F.coalesce(F.octet_length(F.col(text)), F.lit(0))
     inside = F.lit(True)
@@ -135,6 +137,6 @@ def with_verdict(df: DataFrame, text: str = "text", bands: Bands = Bands()) -> D
     judged = s("chunks") + s("tail_outside").isNotNull().cast("long")
     outside = s("chunks_outside") + F.coalesce(s("tail_outside").cast("long"), F.lit(0))
     band = ~inside | (outside > judged * bands.chunk_share) | (s("longest_run") >= bands.chunk_run)
-    return (measured.withColumn("__rules", F.struct(
-        "__stat.*", base.alias("base_failed"), band.alias("band_failed"), (~base & ~band).alias("kept")))
-        .drop("__stat"))
+    return (measured.withColumn(name, F.struct(
+        f"{stat}.*", base.alias("base_failed"), band.alias("band_failed"), (~base & ~band).alias("kept")))
+        .drop(stat))

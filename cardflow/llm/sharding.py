@@ -7,7 +7,8 @@ one hash and one look-up. Shards get equal parts up to one slot (times their wei
 round), and when a shard is added or removed nearly all other keys stay where they are.
 
 A null key is placed by the hash of the ``spread`` columns, so that many rows without a key don't
-meet in one shard; equal keys always share a shard, repeated rows too.
+meet in one shard; equal keys always share a shard, repeated rows too. Columns of the input that are named
+like the two new ones are replaced by them, the key included; all others are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.llm.common import unused
+
 #: Slots of the table: a prime, and the bound of what is broadcast.
 SLOTS = 65_537
-_SHARD, _SLOT = "__shard", "__slot"
 
 
 def _number(text: str) -> int:
@@ -66,9 +68,10 @@ def place(df: DataFrame, key: str, shards: Mapping[str, int] | Sequence[str], sp
     """``df`` with the columns ``slot`` and ``name``; no shuffle."""
     table = lookup_table(shards, slots)
     spark = df.sparkSession
-    entries = F.broadcast(spark.createDataFrame(list(enumerate(table)), f"{_SLOT} long, {_SHARD} string"))
+    at, own = unused(df, "__slot"), unused(df, "__shard")
+    entries = F.broadcast(spark.createDataFrame(list(enumerate(table)), f"{at} long, {own} string"))
     other = F.concat_ws("\x1f", *[F.coalesce(F.md5(F.col(c).cast("string").cast("binary")), F.lit("")) for c in spread]) \
         if spread else F.lit("")
-    keyed = df.withColumn(slot, slot_of(F.coalesce(F.col(key).cast("string"), other), slots))
-    joined = keyed.join(entries, keyed[slot] == entries[_SLOT]).drop(_SLOT)
-    return joined.withColumn(name, F.col(_SHARD)).drop(_SHARD)
+    placed = df.withColumn(at, slot_of(F.coalesce(F.col(key).cast("string"), other), slots)).join(entries, at)
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (slot.lower(), name.lower())]
+    return placed.select(*kept, F.col(at).alias(slot), F.col(own).alias(name))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.llm import ngram_join, packing, pii, quality_model, quality_rules
-from cardflow.llm.common import likely_in, ship_code, table, unlikely_in, written
+from cardflow.llm.common import likely_in, ship_code, table, unlikely_in, unused, written
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -33,13 +33,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if model is None:  # nothing to learn from: nothing is rejected
         return docs
     score = quality_model.score_text(model, "text")
-    return docs.withColumn("__score", score).filter(F.col("__score") >= quality_model.THRESHOLD).drop("__score")
+    return docs.filter(score >= quality_model.THRESHOLD)
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie within the compression bands."""
     ship_code(spark)
-    return quality_rules.with_verdict(docs).filter("__rules.kept").drop("__rules")
+    rules = unused(docs, "__rules")
+    return quality_rules.with_verdict(docs, name=rules).filter(f"{rules}.kept").drop(rules)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
         keyed, key = docs, "doc_id"
     else:  # row ids in the order of (doc_id, text), so that the least id of a group is that of its least row
-        keyed, key = written(known.dropDuplicates(["doc_id", "text"]).orderBy("doc_id", "text")
-                             .withColumn("__row", F.monotonically_increasing_id()), "stage-rows"), "__row"
+        key = unused(docs, "__row")
+        keyed = written(known.dropDuplicates(["doc_id", "text"]).orderBy("doc_id", "text")
+                        .withColumn(key, F.monotonically_increasing_id()), "stage-rows")
     linked = written(ngram_join.jaccard_components(keyed, doc_id=key, width=SHINGLE_WORDS, percent=SIMILARITY_PERCENT,
                                                    extra=PREFIX_EXTRA), "stage-components")
     gone = written(linked.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "stage-gone")
@@ -65,8 +67,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by the name of its kind; ``n_chars`` follows the text."""
-    found = pii.with_spans(docs, pii.fit(docs))
-    clean = found.withColumn("text", pii.redacted(F.col("text"), F.col("__pii.all"))).drop("__pii")
+    spans = unused(docs, "__pii")
+    found = pii.with_spans(docs, pii.fit(docs), name=spans)
+    clean = found.withColumn("text", pii.redacted(F.col("text"), F.col(f"{spans}.all"))).drop(spans)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)

@@ -1,8 +1,12 @@
 """Stages of the corpus pipeline on small tables."""
 
 import random
+import re
 
 import corpus_pipeline as C
+import pytest
+
+from cardflow.llm import packing, quality_model
 
 SCHEMA = "doc_id long, text string, n_chars int, count long"
 
@@ -37,3 +41,108 @@ def test_near_duplicates_of_short_integer_ids(spark):
     got = C.near_duplicate_stage(spark, docs, "")
     assert got.schema["doc_id"] == docs.schema["doc_id"]
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted([(2, a + " more"), (3, b), (4, c)])
+
+
+ROW = ("doc_id long, text string, lang string, source string, n_chars int, __pii int, __rules int, __stat int, __score int, "
+       "__row int, __likely int")
+CARD = "4111 1111 1111 1111"
+
+
+def corpus():
+    """(doc_id, text): prose, junk, near and exact copies, personal data, nulls, repeated rows, a very long text."""
+    rng = random.Random(11)
+    words = [f"{a}{b}" for a in ("ran", "sel", "tor", "min", "gal", "pes", "dul", "vek", "hob", "lin") for b in ("o", "ita", "er", "um", "es", "ag", "ith")]
+    prose = lambda n: " ".join(rng.choice(words) + rng.choice(["", "", "", ",", "."]) for _ in range(n))
+    good = [(k, prose(rng.randrange(80, 200))) for k in range(60)]
+    junk = [(k, " ".join(rng.choice(["$$", "##", "BUY", "&&", "FREE", "|"]) for _ in range(60))) for k in range(100, 150)]
+    odd = [(200, None), (201, ""), (202, " \n"), (203, "one two"), (204, good[3][1]), (205, good[4][1] + " end"),
+           (206, prose(100) + f" mail a.b@c.org pay {CARD} now " + prose(20)), (207, " ".join(prose(50) for _ in range(300))),
+           (None, good[5][1]), (None, None), good[6], (7, prose(90))]
+    return good + junk + odd
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(k, t, None, "x", len(t or ""), 1, 2, 3, 4, 5, 6) for k, t in corpus()], ROW)
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory, spark, docs):
+    path = str(tmp_path_factory.mktemp("pipeline"))
+    docs.coalesce(1).write.parquet(f"{path}/documents.parquet")
+    labels = [(k, int(k < 100), 0) for k, t in corpus() if k is not None and k < 200] + [(1, None, None), (None, 1, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def contents(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_quality_stage_keeps_whole_rows_above_the_threshold(spark, docs, folder):
+    kept = C.quality_stage(spark, docs, folder)
+    assert kept.schema == docs.schema
+    vectors = docs.select("doc_id", quality_model.features("text").alias("vector"))
+    model = quality_model.fit(quality_model.training_rows(vectors, spark.read.parquet(f"{folder}/labels.parquet")))
+    rows = docs.withColumn("own", quality_model.features("text")).collect()
+    scores = model.scores([r["own"] for r in rows])
+    want = sorted((tuple(r)[:-1] for r, s in zip(rows, scores) if s >= quality_model.THRESHOLD), key=repr)
+    assert contents(kept) == want
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert set(range(60)) <= ids and not ids & set(range(100, 150))
+
+
+def test_quality_stage_without_labels_rejects_nothing(spark, docs, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert contents(C.quality_stage(spark, docs, str(tmp_path))) == contents(docs)
+
+
+def passes_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    starts = {}
+    for k in range(len(words) - 7):
+        starts.setdefault(tuple(words[k:k + 8]), []).append(k)
+    repeated = {k + j for s in starts.values() if len(s) > 1 for k in s for j in range(8)}
+    return len(words) >= 20 and 100 * len(repeated) <= 30 * len(words)
+
+
+def test_rules_stage_keeps_whole_rows(spark, docs):
+    kept = C.rules_stage(spark, docs, "")
+    assert kept.schema == docs.schema
+    got = {r["doc_id"] for r in kept.collect()}
+    assert set(range(60)) | {204, 205, 206, 207} <= got and not got & {200, 201, 202, 203}
+    assert all(passes_base(r["text"]) for r in kept.collect())
+    clones = docs.filter("doc_id < 60 or doc_id >= 204")
+    assert contents(C.rules_stage(spark, clones, "")) == contents(clones)
+
+
+def test_pii_stage_redacts_and_keeps_the_columns(spark, docs):
+    clean = C.pii_stage(spark, docs, "")
+    assert clean.schema == docs.schema and clean.count() == docs.count()
+    row = clean.filter("doc_id = 206").first()
+    assert "[EMAIL]" in row["text"] and "[CARD]" in row["text"] and CARD not in row["text"] and row["n_chars"] == len(row["text"])
+    assert contents(clean.filter("doc_id < 100 or text is null").drop("n_chars")) == contents(
+        docs.filter("doc_id < 100 or text is null").drop("n_chars"))
+
+
+def test_run_equals_its_stages_and_packs_what_they_keep(spark, docs, folder):
+    kept = docs
+    for _, stage in C.STAGES[:-1]:
+        kept = stage(spark, kept, folder).cache()
+    got = C.run(spark, folder).select("doc_id", "start", "length", "doc_tokens", "ids_crc32")
+    want = packing.pack(kept, C.public_tokenizers.path("byte_bpe_50k.json")).select(*got.columns)
+    assert sum(r["length"] for r in got.collect()) == sum(r["length"] for r in want.collect())
+    assert {r["doc_id"] for r in got.collect()} == {r["doc_id"] for r in want.collect()} == {r["doc_id"] for r in kept.collect()}
+    ids = {r["doc_id"] for r in got.collect()}
+    # of exact and near copies the least id stays; junk and short texts are gone
+    assert {3, 4, 206} <= ids and not ids & {100, 149, 200, 201, 202, 203, 204, 205}
+
+
+def test_every_stage_on_an_empty_table(spark, docs, folder, tmp_path):
+    none = spark.createDataFrame([], docs.schema)
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, none, folder)
+        assert out.schema == docs.schema and out.count() == 0, name
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
