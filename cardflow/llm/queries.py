@@ -195,7 +195,57 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM audited
 """
 
+#: Every pair of vectors compared, components by reachability.
+EMBEDDINGS_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v
+  FROM usable a, usable b
+  WHERE a.vec_id <> b.vec_id AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.9 ELSE false END),
+reached AS (
+  SELECT u, v FROM links
+  UNION
+  SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v),
+parts AS (SELECT u, min(v) AS least FROM reached GROUP BY u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN parts ON parts.u = vec_id LEFT JOIN counts ON counts.u = vec_id
+"""
+
+#: Shingle sets of every text, intersections counted over shared shingles, components by reachability.
+JACCARD_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) END AS s
+  FROM worded),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT u, v FROM links
+  UNION
+  SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v),
+parts AS (SELECT u, min(v) AS least FROM reached GROUP BY u)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id
+FROM sets LEFT JOIN parts ON parts.u = doc_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op5_embeddings": EMBEDDINGS_SQL,
+    "op7_ngram_join": JACCARD_SQL,
     "op12_filter_audit": FILTER_AUDIT_SQL,
 }
 
