@@ -6,8 +6,8 @@ message ``{"tool_calls": [{"id", "name", "arguments": {...}}]}``; a result is a
 join on conversation and identifier, so a very long conversation spreads over all tasks); of several
 results the earliest is taken and all are counted. A string ``${id}`` in the arguments makes a call
 depend on another call of its conversation; levels order the calls topologically: 0 without
-dependencies, else one more than the highest level among them. Rounds of joins find them, as
-many as the longest chain has calls. A ``${id}`` that names no call of the conversation orders nothing and
+dependencies, else one more than the highest level among them. Calls that need one other call form
+paths, which double in length each round of joins; only calls that need several take a round each. A ``${id}`` that names no call of the conversation orders nothing and
 is an error of the call. Arguments are validated against the tool's schema and each linked call is
 serialised as canonical JSON: keys sorted, no white space, numbers as parsed.
 
@@ -24,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import scratch_folder, written
+from cardflow.llm.common import written
 
 #: tool -> parameter -> (JSON type, required)
 Schemas = Mapping[str, Mapping[str, tuple[str, bool]]]
@@ -85,6 +85,62 @@ def unresolved(calls: DataFrame) -> DataFrame:
         F.collect_list("needs").alias("missing"))
 
 
+def _path_ends(needs: DataFrame) -> DataFrame:
+    """(conv_id, call_id, end, steps, closed) of the calls that need one other call.
+
+    ``end`` is the first call of the path of needs that does not need exactly one, ``steps`` calls away.
+    A round lets every open path go on by that of the call it has come to, so paths double. As long as any
+    open path has an end, one as far away as the last round has reached closes in the next; a round that closes none
+    leaves those that run into a cycle of such calls, which stay open.
+    """
+    key = ["conv_id", "call_id"]
+    single = needs.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("needs").alias("end")).filter("n = 1").drop("n")
+    passed = single.select("conv_id", F.col("call_id").alias("end"), F.lit(False).alias("closed"))
+    paths = written(single.withColumn("steps", F.lit(1).cast("long")).join(passed, ["conv_id", "end"], "left").select(
+        *key, "end", "steps", F.coalesce("closed", F.lit(True)).alias("closed")), "chat-paths")
+    still = paths.filter("not closed").count()
+    while still:
+        following = paths.select("conv_id", F.col("call_id").alias("end"), F.col("end").alias("next"),
+                                 F.col("steps").alias("more"), F.col("closed").alias("ends"))
+        before, paths = still, written(paths.filter("closed").unionByName(
+            paths.filter("not closed").join(following, ["conv_id", "end"]).select(
+                *key, F.col("next").alias("end"), (F.col("steps") + F.col("more")).alias("steps"),
+                F.col("ends").alias("closed"))), "chat-paths")
+        still = paths.filter("not closed").count()
+        if still == before:
+            break
+    return paths.withColumn("steps", F.when(F.col("closed"), F.col("steps")))
+
+
+def _joint_levels(needs: DataFrame, paths: DataFrame) -> DataFrame:
+    """(conv_id, call_id, level) of the calls that need two or more others, where no cycle is in the way.
+
+    Every need is replaced by the end of its path, so a round solves the calls whose needs end in calls
+    without needs or in solved ones: there are as many rounds as such calls follow each other.
+    """
+    key = ["conv_id", "call_id"]
+    joint = needs.join(needs.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), key)
+    ahead = paths.select("conv_id", F.col("call_id").alias("needs"), "end", "steps", F.lit(True).alias("through"))
+    rest = joint.join(ahead, ["conv_id", "needs"], "left").select(
+        *key, F.when(F.col("through"), F.col("end")).otherwise(F.col("needs")).alias("end"),
+        (F.when(F.col("through"), F.col("steps")).otherwise(F.lit(0)) + 1).alias("steps"))
+    needing = needs.select("conv_id", F.col("call_id").alias("end"), F.lit(True).alias("later")).distinct()
+    # the level that a need asks for; null until its end is solved, and for good where its path is open
+    rest = written(rest.join(needing, ["conv_id", "end"], "left").select(
+        *key, "end", "steps", F.when(F.col("later").isNull(), F.col("steps")).alias("asked")), "chat-joint")
+    solved = None
+    while True:
+        ready = written(rest.groupBy(*key).agg(F.max("asked").alias("level"), F.count("asked").alias("known"),
+                                               F.count(F.lit(1)).alias("n")).filter("known = n").select(*key, "level"),
+                        "chat-ready")
+        if ready.isEmpty():
+            return ready if solved is None else solved
+        solved = ready if solved is None else solved.unionByName(ready)
+        found = ready.select("conv_id", F.col("call_id").alias("end"), "level")
+        rest = written(rest.join(ready.select(*key), key, "left_anti").join(found, ["conv_id", "end"], "left").select(
+            *key, "end", "steps", F.coalesce("asked", F.col("level") + F.col("steps")).alias("asked")), "chat-joint")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of each call identifier; ``level`` is null within and behind a cycle."""
     key = ["conv_id", "call_id"]
@@ -92,26 +148,14 @@ def levels(calls: DataFrame) -> DataFrame:
     known = wanted.select(*key).distinct()
     needs = written(wanted.filter("needs is not null").join(
         known.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"]), "chat-needs")
-    spark, folder = calls.sparkSession, scratch_folder(calls.sparkSession, "chat-levels")
-    paths: list[str] = []
-
-    def level_of(solved: DataFrame) -> DataFrame:
-        """``solved`` with the next level, written to a folder of its own and read back."""
-        out = solved.withColumn("level", F.lit(len(paths)).cast("long"))
-        paths.append(f"{folder}/{len(paths)}")
-        out.write.parquet(paths[-1])
-        return spark.read.schema(out.schema).parquet(paths[-1])
-
-    last, open_needs = level_of(known.join(needs, key, "left_anti")), needs
-    while True:
-        # what the last round solved is taken off; a call without open needs left gets the next level
-        solved = last.select("conv_id", F.col("call_id").alias("needs"))
-        rest = written(open_needs.join(solved, ["conv_id", "needs"], "left_anti"), "chat-needs")
-        last = level_of(open_needs.select(*key).distinct().join(rest, key, "left_anti"))
-        if last.isEmpty():
-            break
-        open_needs = rest
-    return known.join(spark.read.schema(last.schema).parquet(*paths), key, "left")
+    paths = _path_ends(needs)
+    joint = _joint_levels(needs, paths)
+    several = needs.select(*key).distinct()
+    at_end = paths.join(joint.select("conv_id", F.col("call_id").alias("end"), "level"), ["conv_id", "end"], "left").join(
+        several.select("conv_id", F.col("call_id").alias("end"), F.lit(True).alias("later")), ["conv_id", "end"], "left")
+    one = at_end.select(*key, (F.when(F.col("later"), F.col("level")).otherwise(F.lit(0)) + F.col("steps")).alias("level"))
+    first = known.join(several, key, "left_anti").withColumn("level", F.lit(0).cast("long"))
+    return known.join(first.unionByName(one).unionByName(joint), key, "left")
 
 
 def canonical(name: Column, call_id: Column, arguments: Column, result: Column) -> Column:
