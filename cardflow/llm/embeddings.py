@@ -3,16 +3,19 @@
 Unit vectors with cosine >= t lie within squared distance ``T = 2 - 2t``. After a fixed random
 rotation the coordinates are cut into blocks; each block gets the share of T that its number of
 dimensions has of all, and by the pigeonhole principle a linked pair keeps within the share of at
-least one block. Each block is a range join of its own: strips of the block's first coordinate, as
-wide as the block's radius, hold the vectors; a vector meets those of its own and the next strip,
-strips are cut into bounded parts, and a task compares two parts. Block distances select the
-candidates, the exact cosine in double precision verifies them. A pair that an earlier block
-finds too is left to that block, so the links of the blocks add up without a distinct.
+least one block. Each block is a range join of its own. A k-d tree over all coordinates of the block, its
+splits taken from a bounded sample (``SAMPLE_VECTORS``), has one leaf for every ``PART_VECTORS`` vectors. A vector is at home in
+one leaf and visits those later leaves whose box lies within the budget of it: a vector of such a leaf that links with
+it can't be farther. Leaves and their visitors are cut into bounded parts, and a task compares one part with another.
+There the home vectors fall into small cells by further splits, and a cell meets only the vectors
+within the budget of its bounding box. Block distances select the candidates, the exact cosine in
+double precision verifies them. A pair that an earlier block finds too is left to that block, so the links of the blocks
+add up without a distinct. The sample moves the boxes and so the work, never the links.
 
 Equal vectors are one class and are not compared with each other. A task returns the number of
 links of each vector, and a spanning forest of its links; components come from the forests. No
-list of pairs is made, however large a group of near copies is. The work of a strip grows with the
-square of its vectors when the embeddings have no structure that the strips can use.
+list of pairs is made, however large a group of near copies is. Vectors without any structure (as far from each
+other as random ones) still visit a large part of the leaves; the more vectors, the more splits tell them apart.
 
 A vector that is null, zero, or has a null or non-finite component links with nothing, nor does a
 row with a null id (its component is null). Vectors of different length don't link. Repeated rows
@@ -34,7 +37,10 @@ from cardflow.llm.components import connected_components
 
 BLOCKS = 4
 PART_VECTORS = 8192
-TILE = 1024
+#: Vectors that the trees' splits are taken from, and leaves a block has at most (further vectors: more parts).
+SAMPLE_VECTORS, MAX_LEAVES = 8192, 4096
+#: Vectors of a cell within a task.
+CELL_VECTORS = 128
 #: Slack of the budgets against rounding: more candidates, never fewer links.
 SLACK = 1e-7
 
@@ -58,8 +64,74 @@ def _unit(flat: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     return x, scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def _strips(cosine: float):
-    """mapInArrow: one row for each vector and block with its strip."""
+def leaf_boxes(points: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lower, upper) bounds of up to ``leaves`` boxes that cover all space: medians of the points split the
+    coordinate in which those of a box vary most."""
+    width = points.shape[1]
+    todo = [(np.arange(len(points)), np.full(width, -np.inf), np.full(width, np.inf), leaves)]
+    boxes = []
+    while todo:
+        rows, low, high, wanted = todo.pop()
+        own = points[rows]
+        c = int(own.var(axis=0).argmax()) if len(rows) > 1 else 0
+        if wanted < 2 or len(rows) < 2 or own[:, c].min() == own[:, c].max():
+            boxes.append((low, high))
+            continue
+        at = np.median(own[:, c])
+        left, right = high.copy(), low.copy()
+        left[c] = right[c] = at
+        below = own[:, c] <= at
+        todo.append((rows[~below], right, high, wanted // 2))
+        todo.append((rows[below], low, left, wanted // 2))
+    return np.array([b[0] for b in boxes]), np.array([b[1] for b in boxes])
+
+
+def _outside(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each point from each box."""
+    out = np.zeros((len(points), len(low)))
+    for c in range(points.shape[1]):
+        x = points[:, c, None]
+        gap = np.maximum(np.maximum(low[None, :, c] - x, x - high[None, :, c]), 0.0)
+        out += gap * gap
+    return out
+
+
+def _budgets(cosine: float, dim: int) -> list[float]:
+    return [(2 - 2 * cosine + SLACK) * (b - a) / dim for a, b in block_bounds(dim)]
+
+
+Trees = dict[int, list[tuple[np.ndarray, np.ndarray]]]
+
+
+def _trees(classes: DataFrame, cosine: float) -> Trees:
+    """The boxes of each block's leaves, by number of dimensions. A number that the sample lacks has none: one leaf."""
+    count = classes.count()
+    column = classes.orderBy(F.xxhash64("class_id"), "class_id", "vector").limit(SAMPLE_VECTORS).select(
+        "vector").toArrow().column("vector").combine_chunks()
+    lengths = column.value_lengths().to_numpy()
+    flat, starts = column.flatten().to_numpy(), np.cumsum(lengths) - lengths
+    out = {}
+    for dim in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == dim)
+        parts = max(1.0, count * (len(rows) / len(lengths)) / PART_VECTORS)
+        leaves = min(MAX_LEAVES, 1 << math.ceil(math.log2(parts)))
+        _, unit = _unit(flat[starts[rows][:, None] + np.arange(dim)], len(rows))
+        turned = unit @ rotation(dim)
+        out[dim] = [leaf_boxes(turned[:, a:b], leaves) for a, b in block_bounds(dim)]
+    return out
+
+
+def _places(cosine: float, trees: Trees):
+    """mapInArrow: one row for each vector and block with its leaf and the later leaves that it visits."""
+
+    def leaves_of(points: np.ndarray, boxes, budget: float):
+        low, high = boxes
+        step = max(1, (1 << 21) // len(low))
+        for at in range(0, len(points), step):
+            far = _outside(points[at:at + step], low, high)
+            home = far.argmin(axis=1)
+            near = (far <= budget) & (np.arange(len(low))[None, :] > home[:, None])
+            yield home, near.sum(axis=1), np.nonzero(near)[1]
 
     def run(batches):
         for batch in batches:
@@ -72,52 +144,76 @@ def _strips(cosine: float):
                 rows = np.flatnonzero(lengths == dim)
                 _, unit = _unit(flat[starts[rows][:, None] + np.arange(dim)], len(rows))
                 turned = unit @ rotation(dim)
-                for k, (a, b) in enumerate(block_bounds(dim)):
-                    width = math.sqrt((2 - 2 * cosine + SLACK) * (b - a) / dim)
-                    strip = np.floor(turned[:, a] / width).astype(np.int64)
+                for k, ((a, b), budget) in enumerate(zip(block_bounds(dim), _budgets(cosine, dim))):
+                    all_space = np.full((1, b - a), -np.inf), np.full((1, b - a), np.inf)
+                    boxes = trees[dim][k] if dim in trees else all_space
+                    home, sizes, visits = (np.concatenate(x) for x in zip(*leaves_of(turned[:, a:b], boxes, budget)))
                     take = pa.array(rows)
+                    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(take), batch.column(1).take(take), column.take(take),
-                         pa.array(np.full(len(rows), dim)), pa.array(np.full(len(rows), k)), pa.array(strip)],
-                        names=["class_id", "copies", "vector", "dim", "block", "strip"])
+                         pa.array(np.full(len(rows), dim)), pa.array(np.full(len(rows), k)), pa.array(home.astype(np.int64)),
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(visits.astype(np.int64)))],
+                        names=["class_id", "copies", "vector", "dim", "block", "leaf", "visits"])
 
     return run
 
 
-def _compare(cosine: float):
-    """Links between the two parts of a task, or within its only part."""
+def _cells(points: np.ndarray, rows: np.ndarray, size: int) -> list[np.ndarray]:
+    """``rows`` cut at medians of the coordinate in which they vary most, into cells of at most ``size``."""
+    todo, out = [rows], []
+    while todo:
+        own = todo.pop()
+        if len(own) <= size:
+            out.append(own)
+            continue
+        c = points[own].var(axis=0).argmax()
+        order = own[np.argsort(points[own, c], kind="stable")]
+        todo += [order[len(order) // 2:], order[:len(order) // 2]]
+    return out
+
+
+def _compare(cosine: float, cell: int):
+    """Links between the two parts of a task, or within its only part, and a row without ends that counts the
+    pairs whose block distance was computed."""
 
     def compare(group: pa.Table) -> pa.RecordBatch:
         ids = group.column("class_id").to_numpy()
         copies = group.column("copies").to_numpy()
-        # a task has parts of one strip or of two neighbouring ones, told apart by ``part``
-        part = group.column("part").to_numpy()
+        side = group.column("side").to_numpy()
         inside = bool(group.column("inside")[0].as_py())
         k, dim = int(group.column("block")[0].as_py()), int(group.column("dim")[0].as_py())
         _, unit = _unit(group.column("vector").combine_chunks().flatten().to_numpy(), len(ids))
         turned = unit @ rotation(dim)
-        bounds = block_bounds(dim)
-        budget = [(2 - 2 * cosine + SLACK) * (b - a) / dim for a, b in bounds]
+        bounds, budget = block_bounds(dim), _budgets(cosine, dim)
         a, b = bounds[k]
         low = turned[:, a:b].astype(np.float32)
         squares = (low * low).sum(axis=1)
-        left = np.arange(len(ids)) if inside else np.flatnonzero(part == part.min())
-        right = left if inside else np.flatnonzero(part != part.min())
-        links = np.zeros(len(ids), dtype=np.int64)
-        pairs_u, pairs_v = [], []
         bound = np.float32(budget[k] + 1e-5)
+        cells = _cells(low, np.arange(len(ids)) if inside else np.flatnonzero(side == side.min()), cell)
+        # within one part a cell meets itself and the cells behind it
+        right = np.concatenate(cells) if inside else np.flatnonzero(side != side.min())
+        links = np.zeros(len(ids), dtype=np.int64)
         root = np.arange(len(ids))
-        for at in range(0, len(left), TILE):
-            rows = left[at:at + TILE]
-            others = right[at:] if inside else right
+        compared = done = 0
+        for rows in cells:
+            others = right[done:] if inside else right
+            done += len(rows)
+            away = _outside(low[others].astype(np.float64), low[rows].min(axis=0)[None, :], low[rows].max(axis=0)[None, :])[:, 0]
+            meets = away <= bound
+            if inside:
+                meets[:len(rows)] = True
+            others = others[meets]
+            compared += len(rows) * len(others)
             gram = low[rows] @ low[others].T
             gram *= -2
             gram += squares[rows][:, None]
             gram += squares[others][None, :]
+            if inside:  # each pair of the cell once
+                gram[:, :len(rows)][np.tri(len(rows), dtype=bool)] = np.inf
             u, v = np.nonzero(gram <= bound)
             u, v = rows[u], others[v]
-            if inside:
-                u, v = u[u < v], v[u < v]
+            found_u, found_v = [], []
             for c in range(0, len(u), 1 << 16):
                 p, q = u[c:c + (1 << 16)], v[c:c + (1 << 16)]
                 first = np.ones(len(p), dtype=bool)
@@ -131,20 +227,17 @@ def _compare(cosine: float):
                 p, q = p[good], q[good]
                 np.add.at(links, p, copies[q])
                 np.add.at(links, q, copies[p])
-                pairs_u.append(p)
-                pairs_v.append(q)
-            # keep a forest only
-            u, v = np.concatenate(pairs_u) if pairs_u else left[:0], np.concatenate(pairs_v) if pairs_v else left[:0]
-            if len(u):
-                root = _roots(root, u, v)
-                pairs_u, pairs_v = [np.flatnonzero(root != np.arange(len(root)))], [root[root != np.arange(len(root))]]
+                found_u.append(p)
+                found_v.append(q)
+            if any(map(len, found_u)):  # a forest is kept, not the pairs
+                root = _roots(root, np.concatenate([*found_u, np.arange(len(root))]), np.concatenate([*found_v, root]))
         linked = np.flatnonzero(links)
         tied = np.flatnonzero(root != np.arange(len(root)))
         n = len(linked)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([ids[linked], ids[tied]])),
-             pa.array([None] * n + ids[root[tied]].tolist(), pa.int64()),
-             pa.array(np.concatenate([links[linked], np.zeros(len(tied), np.int64)]))], names=["u", "v", "links"])
+            [pa.array([*ids[linked].tolist(), *ids[tied].tolist(), None], pa.int64()),
+             pa.array([None] * n + ids[root[tied]].tolist() + [None], pa.int64()),
+             pa.array(np.concatenate([links[linked], np.zeros(len(tied), np.int64), [compared]]))], names=["u", "v", "links"])
 
     return compare
 
@@ -165,6 +258,41 @@ def _roots(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         label = new
 
 
+def links_between(classes: DataFrame, cosine: float) -> DataFrame:
+    """(u, v, links) of distinct vectors (class_id, copies, vector): the links of u where v is null, an edge of a
+    spanning forest where it is not, and the pairs that a task compared where both are."""
+    placed = written(classes.select("class_id", "copies", "vector").mapInArrow(
+        _places(cosine, _trees(classes, cosine)),
+        "class_id long, copies long, vector array<double>, dim long, block long, leaf long, visits array<long>"),
+        "vector-places")
+    key = ["dim", "block", "leaf"]
+    # one row for each leaf: their number is bounded, whatever that of the vectors
+    parts = placed.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / PART_VECTORS).alias("parts"))
+    visitors = placed.select("dim", "block", F.explode("visits").alias("leaf")).groupBy(*key).agg(
+        F.ceil(F.count(F.lit(1)) / (2 * PART_VECTORS)).alias("crowds"))
+    sizes = written(parts.join(visitors, key, "left").select(
+        *key, "parts", F.coalesce("crowds", F.lit(0)).cast("long").alias("crowds")), "vector-leaves")
+    number = lambda n: F.pmod(F.xxhash64("class_id"), n)
+    below = lambda n: F.filter(F.sequence(F.lit(0).cast("long"), n), lambda j: j < n)
+    task = lambda kind, i, j, inside, side: F.struct(
+        F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), F.lit(inside).alias("inside"), side.cast("long").alias("side"))
+    own = F.col("own")
+    home = placed.join(F.broadcast(sizes), key).withColumn("own", number(F.col("parts")))
+    at_home = F.concat(
+        F.array(task(0, own, own, True, own)),
+        F.transform(F.filter(below(F.col("parts")), lambda j: j != own),
+                    lambda j: task(0, F.least(own, j), F.greatest(own, j), False, own)),
+        F.transform(below(F.col("crowds")), lambda j: task(1, own, j, False, F.lit(0))))
+    visiting = placed.withColumn("leaf", F.explode("visits")).join(F.broadcast(sizes), key).withColumn(
+        "own", number(F.col("crowds")))
+    as_visitor = F.transform(below(F.col("parts")), lambda j: task(1, j, own, False, F.lit(1)))
+    columns = [F.xxhash64(*key, "t.kind", "t.i", "t.j").alias("task"), "class_id", "copies", "vector", "dim", "block",
+               "t.inside", "t.side"]
+    sent = home.withColumn("t", F.explode(at_home)).select(*columns).unionByName(
+        visiting.withColumn("t", F.explode(as_visitor)).select(*columns))
+    return written(per_group(sent, "task", _compare(cosine, CELL_VECTORS), "u long, v long, links long"), "vector-links")
+
+
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
                     cosine: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row for each row of ``vectors``."""
@@ -180,38 +308,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "e
     classes = written(one.groupBy("vector").agg(F.min("vec_id").alias("class_id"), F.count(F.lit(1)).alias("copies")),
                       "vector-classes")
 
-    strips = written(classes.select("class_id", "copies", F.col("vector")).mapInArrow(
-        _strips(cosine), "class_id long, copies long, vector array<double>, dim long, block long, strip long"),
-        "vector-strips")
-    key = ["dim", "block", "strip"]
-    # one row for each block and strip: at most 2 / radius + 2 strips, whatever the number of vectors
-    parts = F.broadcast(strips.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / PART_VECTORS).alias("parts")))
-    ahead = F.broadcast(strips.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / PART_VECTORS).alias("ahead"))
-                        .select("dim", "block", (F.col("strip") - 1).alias("strip"), "ahead"))
-    behind = F.broadcast(strips.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / PART_VECTORS).alias("behind"))
-                         .select("dim", "block", (F.col("strip") + 1).alias("strip"), "behind"))
-    placed = (strips.join(parts, key).join(ahead, key, "left").join(behind, key, "left")
-              .withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("parts"))))
-    zero = F.lit(0).cast("long")
-    count = lambda n: F.sequence(zero, n - 1)
-    none = F.expr("cast(array() as array<struct<a:long,b:long,base:long,inside:boolean,part:long>>)")
-    task = lambda a, b, strip, inside, part: F.struct(
-        a.alias("a"), b.alias("b"), strip.alias("base"), F.lit(inside).alias("inside"), part.alias("part"))
-    own, strip = F.col("own"), F.col("strip")
-    within = F.transform(count(F.col("parts")), lambda j: task(
-        F.least(own, j), F.greatest(own, j), strip, False, own))
-    same = F.filter(within, lambda t: t["a"] != t["b"])
-    alone = F.array(task(own, own, strip, True, own))
-    forward = F.coalesce(F.when(F.col("ahead").isNotNull(), F.transform(count(F.col("ahead")), lambda j: task(
-        own, -1 - j, strip, False, F.lit(-1).cast("long")))), none)
-    backward = F.coalesce(F.when(F.col("behind").isNotNull(), F.transform(count(F.col("behind")), lambda j: task(
-        j, -1 - own, strip - 1, False, F.lit(0).cast("long")))), none)
-    sent = placed.withColumn("t", F.explode(F.concat(alone, same, forward, backward))).select(
-        F.xxhash64("dim", "block", "t.base", "t.a", "t.b").alias("task"), "class_id", "copies", "vector", "dim",
-        "block", "t.inside", "t.part")
-    found = written(per_group(sent, "task", _compare(cosine), "u long, v long, links long"), "vector-links")
-
-    links = found.filter("v is null").groupBy(F.col("u").alias("class_id")).agg(F.sum("links").alias("links"))
+    found = links_between(classes, cosine)
+    links = found.filter("u is not null and v is null").groupBy(F.col("u").alias("class_id")).agg(F.sum("links").alias("links"))
     component = connected_components(found.filter("v is not null").select("u", "v").union(
         # an id with several vectors ties their classes
         one.join(classes, "vector").filter("vec_id <> class_id").select(F.col("class_id"), F.col("vec_id"))))

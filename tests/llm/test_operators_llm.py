@@ -176,7 +176,10 @@ def test_tool_calls(spark):
     assert rows["n"]["status"] == "no result" and len(rows) == 8
 
 
-def test_embedding_components(spark):
+@pytest.mark.parametrize("part, cell", [(8192, 128), (16, 4)])
+def test_embedding_components(spark, monkeypatch, part, cell):
+    monkeypatch.setattr(embeddings, "PART_VECTORS", part)
+    monkeypatch.setattr(embeddings, "CELL_VECTORS", cell)
     rng = np.random.default_rng(3)
     base = rng.standard_normal((120, 16))
     x = np.concatenate([base, base[:40] + 0.05 * rng.standard_normal((40, 16)), base[:10]])
@@ -197,6 +200,40 @@ def test_embedding_components(spark):
     assert got[None] == (0, None, False)
 
 
+def test_embedding_leaves_and_cells_prune(spark, monkeypatch):
+    """On clustered vectors far fewer pairs are compared than there are; links and forests stay those of all pairs."""
+    monkeypatch.setattr(embeddings, "PART_VECTORS", 256)
+    monkeypatch.setattr(embeddings, "CELL_VECTORS", 32)
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((60, 32))
+    x = np.repeat(centres, 50, axis=0) + 0.35 * rng.standard_normal((3000, 32))
+    x = np.concatenate([x, x[:200] + 0.01 * rng.standard_normal((200, 32))])
+    classes = spark.createDataFrame([(k, 1, v.tolist()) for k, v in enumerate(x)],
+                                    "class_id long, copies long, vector array<double>")
+    found = embeddings.links_between(classes, 0.95).collect()
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    links = unit @ unit.T >= 0.95
+    np.fill_diagonal(links, False)
+    got = np.zeros(len(x), dtype=int)
+    for r in found:
+        if r["u"] is not None and r["v"] is None:
+            got[r["u"]] += r["links"]
+        elif r["u"] is not None:
+            assert links[r["u"]].any() and links[r["v"]].any()
+    assert (got == links.sum(axis=1)).all() and got.sum() >= 400
+    compared = sum(r["links"] for r in found if r["u"] is None)
+    assert compared < 0.5 * len(x) * (len(x) - 1) / 2
+
+
+def test_leaf_boxes_cover_all_space():
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.standard_normal((500, 4)), np.zeros((300, 4))])
+    low, high = embeddings.leaf_boxes(points, 32)
+    far = embeddings._outside(rng.standard_normal((2000, 4)) * 3, low, high)
+    assert len(low) > 16 and (far.min(axis=1) == 0).all()
+    assert len(embeddings.leaf_boxes(points[:1], 8)[0]) == len(embeddings.leaf_boxes(np.zeros((9, 4)), 8)[0]) == 1
+
+
 def test_quality_model_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     ship_code(spark)
@@ -379,6 +416,47 @@ def test_tool_calls_refer_to_calls(spark):
     assert all(r["status"] == "invalid" and r["errors"] == ["unresolved ${gone}"] for r in chat.link_calls(one, SCHEMAS).collect())
 
 
+def plain_levels(needs):
+    """Level of each call, None within and behind a cycle, by following the needs one by one."""
+    needs = {k: {n for n in v if n in needs} for k, v in needs.items()}
+    out = {}
+    while True:
+        ready = {k: 1 + max((out[n] for n in v), default=-1) for k, v in needs.items()
+                 if k not in out and all(n in out for n in v)}
+        if not ready:
+            return {k: out.get(k) for k in needs}
+        out.update(ready)
+
+
+def test_call_levels_of_random_graphs_and_long_chains(spark):
+    rng = random.Random(8)
+    graphs = {c: {f"k{i}": {f"k{rng.randrange(i + (3 if c % 3 == 0 else 0)) if i else 0}" for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))}
+                  - ({"k0"} if not i else set()) for i in range(40)} for c in range(6)}
+    graphs[10] = {f"k{i}": {f"k{i - 1}"} if i else set() for i in range(300)}
+    graphs[11] = {f"k{i}": {f"k{(i + 1) % 5}"} if i < 5 else {f"k{i - 1}"} for i in range(30)}
+    graphs[12] = {"k0": {"k0"}, "k1": {"k0", "k2"}, "k2": set(), "k3": {"k1"}, "k4": {"gone", "k2"}, "k5": {"gone"}}
+    graphs[13] = {"k0": set(), "k1": {"k0"}, "k2": {"k0", "k1"}, "k3": {"k2"}, "k4": {"k3", "k1"}, "k5": {"k4"}}
+    calls = [(c, k, '{"a":"%s"}' % " ".join(f"${{{n}}}" for n in sorted(v))) for c, g in graphs.items() for k, v in g.items()]
+    df = spark.createDataFrame(calls + calls[:9] + [(None, "k1", "{}")], "conv_id long, call_id string, arguments string")
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in chat.levels(df).collect()}
+    assert got == {(c, k): level for c, g in graphs.items() for k, level in plain_levels(g).items()}
+    assert chat.levels(df.limit(0)).count() == 0
+
+
+CLASHES = "__pii int, __rules int, __stat int, __score int, __shard string, __slot long, __row long, __bits int, __likely int, __bucket int"
+
+
+def test_columns_named_like_scratch_columns(spark):
+    rows = [(k, t, *range(4), "s", 5, 6, 7, 8, 9) for k, t in odd_documents()[-20:]]
+    df = spark.createDataFrame(rows, f"doc_id long, text string, {CLASHES}")
+    placed = sharding.place(df, "doc_id", ["a", "b"], slots=101)
+    assert placed.columns == [*df.columns, "slot", "shard"] and placed.filter("__shard = 's' and __slot = 5").count() == len(rows)
+    again = sharding.place(placed.withColumn("slot", F.lit(3)), "doc_id", ["a", "b"], slots=101)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, placed.collect()))
+    judged = quality_rules.with_verdict(df, name="verdict")
+    assert judged.columns == [*df.columns, "verdict"] and judged.filter("__stat = 2 and __rules = 1").count() == len(rows)
+
+
 def test_places_in_very_long_words_matter():
     """Bytes that change places at any distance make another word."""
     from cardflow.llm.textstats import shingle_set, word_hashes
