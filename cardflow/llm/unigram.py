@@ -10,8 +10,8 @@ encoded by its bytes).
 
 No piece goes on with a marker after another character or holds a line end (checked on loading), so
 texts fall apart into chunks that are segmented for themselves. The distinct chunks of a slice are
-segmented side by side, with one numpy step for each start and length; a worker process keeps a
-bounded number of results.
+segmented side by side, with one numpy step for each start and length, very long ones each for itself
+byte by byte, in time and memory proportional to their length; a worker process keeps a bounded number of results.
 
 Files whose scores are merge ranks (BPE) get log scores of the ranks by Zipf's law, ``-log(rank +
 2.7)`` up to a constant.
@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -40,6 +41,8 @@ _CUT = "\x1f"
 _CHUNK = re.compile(r"\n| *[^ \n]+| +")
 CACHE_CHUNKS = 300_000
 LONG_CHUNK = 48
+#: Bytes from which a chunk is segmented for itself: side by side there are few to share a numpy step.
+ALONE_BYTES = 512
 SLICE_CHARS = 8_000_000
 GROUP_BYTES = 1 << 21
 UNKNOWN_PENALTY = 10.0
@@ -137,6 +140,7 @@ class Unigram:
         for byte, k in enumerate(byte_ids):
             self.spelled[k] = bytes([byte])
         self.cache: dict[str, tuple[bytes, float]] = {"": (b"", 0.0)}
+        self.plain = [x.tolist() for x in (self.trie.base, self.trie.check, self.trie.value, self.score)]
 
     @classmethod
     def load(cls, path: str) -> Unigram:
@@ -157,6 +161,9 @@ class Unigram:
         data = [c.encode("utf-8", "surrogatepass") for c in chunks]
         order = sorted(range(len(data)), key=lambda k: len(data[k]))
         out: list[tuple[bytes, float]] = [(b"", 0.0)] * len(data)
+        while order and len(data[order[-1]]) >= ALONE_BYTES:
+            k = order.pop()
+            out[k] = self._alone(data[k])
         at = 0
         while at < len(order):
             end = at + 1
@@ -235,6 +242,41 @@ class Unigram:
         for found, score in zip(ids, scores):
             yield np.array(found[::-1], dtype="<u4").tobytes(), score
 
+    def _alone(self, data: bytes) -> tuple[bytes, float]:
+        """The best segmentation of one chunk, as ``_viterbi`` finds it."""
+        base, check, value, score = self.plain
+        n, depth = len(data), self.trie.depth
+        best, came, piece = array("d", [-math.inf]) * (n + 1), array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0] = 0.0
+        for i, byte in enumerate(data):
+            start = best[i]
+            # no character starts at a continuation byte
+            if start == -math.inf or 0x80 <= byte < 0xC0:
+                continue
+            span = 1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
+            state, whole = 0, False
+            for end in range(i + 1, min(n, i + depth) + 1):
+                to = base[state] + data[end - 1]
+                if to == 0 or check[to] != state:
+                    break
+                state, k = to, value[to]
+                if k >= 0:
+                    whole |= end - i == span
+                    if start + score[k] > best[end]:
+                        best[end], came[end], piece[end] = start + score[k], end - i, k
+            if not whole:
+                end = min(n, i + span)
+                if start + self.unknown > best[end]:
+                    best[end], came[end], piece[end] = start + self.unknown, end - i, -1
+        ids, end = array("i"), n
+        while end:
+            if piece[end] >= 0:
+                ids.append(piece[end])
+            else:
+                ids.extend(self.byte_ids[list(data[end - came[end]:end][::-1])].tolist())
+            end -= came[end]
+        return np.array(ids, dtype="<u4")[::-1].tobytes(), best[n]
+
     def encode(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, float]]:
         """(ids, log score) of each text."""
         at = 0

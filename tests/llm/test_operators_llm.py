@@ -402,6 +402,22 @@ def test_unigram_viterbi_and_round_trip(spark, docs):
     assert len(rows) == docs.count() and all(r["round_trip"] for r in rows)
 
 
+def test_unigram_of_very_long_words():
+    import time
+
+    own = unigram.model(P.path("piece_bpe_32k.model"))
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzéß漢😀▁0+/") for _ in range(rng.choice([1, 7, 200, 700]))) for _ in range(60)]
+    chunks = [" " + w for w in words] + ["a" * 2000, " " * 900, "\ud800" * 600, "the" * 400]
+    side_by_side = list(own._viterbi([c.encode("utf-8", "surrogatepass") for c in chunks]))
+    for c, (ids, score) in zip(chunks, side_by_side):
+        assert own._alone(c.encode("utf-8", "surrogatepass")) == (ids, score)
+    assert own.segment(chunks) == side_by_side
+    text, began = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/") for _ in range(300_000)), time.process_time()
+    (ids, _), = own.encode([text])
+    assert own.decode(ids) == text and time.process_time() - began < 30
+
+
 def test_tool_calls_refer_to_calls(spark):
     from cardflow.llm.queries import TOOLS, tool_dialogue
 
