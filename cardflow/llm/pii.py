@@ -8,12 +8,18 @@ hides neither. A validator belongs to each kind (octets, Luhn,
 digit counts). Base matches that pass it are always kept.
 
 The other candidates are chosen by boosted regression trees over format and context features that
-leave the validator out; the validator's outcome is the label. Training needs the counts of each
-feature combination only: one aggregate over all candidates of all documents, whose size is bounded by the
-product of the feature ranges. Trees are grown on four fifths of the documents, and the other fifth sets, for each
-kind, the highest score that the required share of its valid candidates outside base spans reaches; without any there,
-those of all documents set it, and without any at all the validator alone decides. A candidate is added if it passes
-its validator, reaches that score and overlaps no base span. Of overlapping additions the one that overlaps the fewest
+leave the validator out. A candidate's label is whether it is personal as far as the text around it tells: it passes its
+validator, and no word for another sort of number (an order, a ticket, a version) names it. A validator also lets some
+foreign numbers pass by chance (Luhn's check one in ten), so where few numbers of one format and context pass, those that
+do are no cards either. Trees score all of that by format and context; calibration makes it a decision: on a fifth of
+the documents that grew no tree, and there outside base spans, the number of personal candidates above a score is estimated
+as what passes beyond chance, and each kind's threshold is the score at which the estimate for all it lets in exceeds ``share`` of
+them by the most. Where the fifth has fewer than ``CALIBRATING`` valid candidates of a kind, all documents set its threshold, and
+without any at all the validator alone decides.
+
+Training needs the counts of each feature combination only: one aggregate over all candidates of all documents, whose size is
+bounded by the product of the feature ranges. A candidate is added if it passes
+its validator, reaches the threshold and overlaps no base span. Of overlapping additions the one that overlaps the fewest
 others stays, then the longest, then the best; a phone number (only its digits are counted) comes after the other kinds.
 
 Offsets are code points, end exclusive. A null text has no spans. Repeated rows are treated one by one
@@ -65,8 +71,17 @@ TRIGGERS = {"email": r"@|[\(\[]at[\)\]]", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card"
             "phone": r"\+[0-9]|\([0-9]{3}\)"}
 _WORDS = {"email": "mail|contact|write", "ip": r"\bip\b|host|server|address", "card": "card|visa|credit|pay",
           "phone": "phone|call|tel|mobile|fax"}
+#: Directly before a number: it is one of another sort.
+_FOREIGN = (r"\b(?:order|invoice|ticket|tracking|parcel|serial|batch|sku|isbn|part|item|reference|ref|version|release|build|section)s?"
+            r"(?: (?:no|nr|number|id|code))?[.:#\x20]{1,3}$")
 CONTEXT = 24
-FEATURES = ("kind", "generator", "length", "separators", "before", "after", "word")
+#: Classes of ``word``: none, one of the kind nearby, one of another sort of number.
+NO_WORD, OWN_WORD, FOREIGN_WORD = 0, 1, 2
+FEATURES = ("kind", "generator", "length", "separators", "before", "after", "word", "lead")
+#: Share of foreign numbers that pass the kind's validator by chance.
+CHANCE = {"email": 0.0, "ip": 0.0, "card": 0.1, "phone": 0.0}
+#: Valid candidates of a kind that the held-out documents need to set its threshold.
+CALIBRATING = 50
 
 
 def _let(value: Column, body) -> Column:
@@ -141,7 +156,9 @@ def _found(kind: str, generator: int, text: Column) -> Column:
                 F.least(F.lit(6), F.when(digits == 0, 0).otherwise(1 + F.floor(digits / 4))).cast("int").alias("length"),
                 F.least(F.lit(5), plain).alias("separators"), _side(F.substring(left, -1, 1)).alias("before"),
                 _side(F.substring(right, 1, 1)).alias("after"),
-                F.lower(near).rlike(_WORDS[kind]).cast("int").alias("word"))
+                _let(F.lower(near), lambda z: F.when(z.rlike(_FOREIGN) if kind != "email" else F.lit(False), FOREIGN_WORD)
+                     .when(z.rlike(_WORDS[kind]), OWN_WORD).otherwise(NO_WORD)).alias("word"),
+                (F.lit(10) if kind == "email" else F.regexp_extract(hit, "[0-9]", 0).cast("int")).alias("lead"))
 
         return F.transform(hits, one).cast(_ARRAY)
 
@@ -159,7 +176,7 @@ def _found(kind: str, generator: int, text: Column) -> Column:
 
 
 _ARRAY = ("array<struct<kind:int,start:int,end:int,valid:boolean,generator:int,length:int,separators:int,"
-          "before:int,after:int,word:int>>")
+          "before:int,after:int,word:int,lead:int>>")
 
 
 def candidates(text: Column) -> Column:
@@ -226,47 +243,60 @@ def _evaluate(tree, x: np.ndarray) -> np.ndarray:
     return np.where(low, _evaluate(left, x), _evaluate(right, x))
 
 
-def fit(docs: DataFrame, text: str = "text", rounds: int = 24, depth: int = 3, rate: float = 0.4,
-        recall: float = 0.98) -> Boosted:
-    """Train on all candidates of ``docs``; only counts per feature combination reach the driver."""
+def proposed(docs: DataFrame, text: str = "text", name: str = "__pii") -> DataFrame:
+    """``docs`` with a struct ``name``: all ``found`` candidates, and whether the text is in the ``held`` out fifth."""
     body = F.coalesce(F.col(text), F.lit(""))
-    fold = F.pmod(F.crc32(body.cast("binary")), F.lit(5)) == 0
-    marked = _let(candidates(body), lambda found: _let(_base(found), lambda base: F.transform(
-        found, lambda c: F.struct(c.alias("c"), _addable(c, base).alias("free")))))
-    rows = docs.select(fold.alias("fold"), F.explode(marked).alias("m")).select("fold", "m.*")
-    counts = rows.groupBy("fold", "free", "c.valid", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(
-        F.count(F.lit(1)).alias("n")).collect()
+    held = F.pmod(F.crc32(body.cast("binary")), F.lit(5)) == 0
+    return docs.withColumn(name, F.struct(held.alias("held"), candidates(body).alias("found")))
+
+
+def fit(docs: DataFrame, text: str = "text", **settings) -> Boosted:
+    """Train on all candidates of ``docs``; settings as in ``fit_proposed``."""
+    return fit_proposed(proposed(docs.select(text), text), **settings)
+
+
+def fit_proposed(found: DataFrame, name: str = "__pii", rounds: int = 24, depth: int = 3, rate: float = 0.4,
+                 share: float = 0.25) -> Boosted:
+    """Train on the candidates in column ``name`` (of ``proposed``); only counts per feature combination
+    reach the driver. ``share``: the least part of personal data among what a threshold lets in."""
+    marked = _let(F.col(f"{name}.found"), lambda every: _let(_base(every), lambda base: F.transform(
+        every, lambda c: F.struct(c.alias("c"), _addable(c, base).alias("free")))))
+    rows = found.select(F.col(f"{name}.held").alias("held"), F.explode(marked).alias("m")).select("held", "m.*")
+    counts = rows.groupBy("held", "free", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("c.valid").alias("valid")).collect()
     if not counts:
         return Boosted(0.0, (), (float("-inf"),) * len(KINDS))
     counts.sort(key=lambda r: tuple(r))
     x = np.array([[r[f] for f in FEATURES] for r in counts])
-    y = np.array([float(r["valid"]) for r in counts])
-    n = np.array([float(r["n"]) for r in counts])
-    held = np.array([r["fold"] for r in counts])
+    n, valid = (np.array([float(r[c]) for r in counts]) for c in ("n", "valid"))
+    named = x[:, FEATURES.index("word")] == FOREIGN_WORD
+    good = np.where(named, 0.0, valid)
+    held, free = (np.array([r[c] for r in counts]) for c in ("held", "free"))
     grown = ~held if (~held).any() else held | True
-    total, good = n[grown].sum(), (n * y)[grown].sum()
-    start = float(np.log((good + 1) / (total - good + 1)))
+    start = float(np.log((good[grown].sum() + 1) / ((n - good)[grown].sum() + 1)))
     score = np.full(len(x), start)
     trees = []
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-score))
-        tree = _grow(x[grown], (n * (y - p))[grown], (n * p * (1 - p))[grown], depth, rate)
+        tree = _grow(x[grown], (good - n * p)[grown], (n * p * (1 - p))[grown], depth, rate)
         trees.append(tree)
         score += _evaluate(tree, x)
-    free = np.array([r["free"] for r in counts])
-    return Boosted(start, tuple(trees), tuple(_threshold(score, y, n, free & (x[:, 0] == k), held, recall)
-                                              for k in range(len(KINDS))))
+    thresholds = []
+    for k, kind in enumerate(KINDS):
+        chance = CHANCE[kind]
+        personal = (good - chance * np.where(named, 0.0, n)) / (1 - chance)  # what passes beyond chance
+        rows_of = free & (x[:, 0] == k)
+        part = rows_of & held if valid[rows_of & held].sum() >= CALIBRATING else rows_of
+        thresholds.append(_threshold(score[part], (personal - share * valid)[part]) if valid[part].any() else float("-inf"))
+    return Boosted(start, tuple(trees), tuple(thresholds))
 
 
-def _threshold(score: np.ndarray, y: np.ndarray, n: np.ndarray, rows: np.ndarray, held: np.ndarray, recall: float) -> float:
-    """The highest score that ``recall`` of the valid candidates among the held-out ``rows`` reach; of all
-    ``rows`` if none is held out, and minus infinity if there is none."""
-    for part in (rows & held, rows):
-        good = (n * y)[part].sum()
-        for value in sorted(set(score[part].tolist()), reverse=True):
-            if good and (n * y)[part & (score >= value)].sum() >= recall * good:
-                return value - 1e-9
-    return float("-inf")
+def _threshold(score: np.ndarray, gain: np.ndarray) -> float:
+    """The score from which on the summed ``gain`` is greatest (the lowest of equals); infinity if it is never positive."""
+    values, place = np.unique(-score, return_inverse=True)
+    total = np.cumsum(np.bincount(place, weights=gain))
+    best = np.flatnonzero(total >= total.max() - 1e-9)[-1]
+    return float(-values[best] - 1e-9) if total[best] >= 0 else float("inf")
 
 
 def _overlap(a, b) -> Column:
@@ -284,11 +314,15 @@ def _addable(c, base: Column) -> Column:
 def with_spans(docs: DataFrame, model: Boosted, text: str = "text", name: str = "__pii") -> DataFrame:
     """``docs`` with a struct ``name``: ``base`` and ``all`` spans, arrays of (kind, start, end) by
     kind, then start. One pass, no shuffle."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    return chosen(proposed(docs, text, name), model, name)
+
+
+def chosen(found: DataFrame, model: Boosted, name: str = "__pii") -> DataFrame:
+    """The candidates in column ``name`` (of ``proposed``) replaced by the spans that stay."""
     slim = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
 
-    def choose(found: Column, base: Column) -> Column:
-        added = F.filter(found, lambda c: model.accepts(c) & _addable(c, base))
+    def choose(every: Column, base: Column) -> Column:
+        added = F.filter(every, lambda c: model.accepts(c) & _addable(c, base))
         others = lambda c, all_: F.size(F.filter(all_, lambda o: _overlap(o, c) & (
             (o["start"] != c["start"]) | (o["end"] != c["end"]))))
         ranked = _let(added, lambda all_: F.array_sort(F.transform(all_, lambda c: F.struct(
@@ -301,8 +335,8 @@ def with_spans(docs: DataFrame, model: Boosted, text: str = "text", name: str =
         return _let(F.transform(base, slim), lambda spans: F.struct(
             F.array_sort(spans).alias("base"), F.array_sort(F.concat(spans, extra)).alias("all")))
 
-    return docs.withColumn(name, _let(candidates(body), lambda found: _let(
-        _base(found), lambda base: choose(found, base))))
+    return found.withColumn(name, _let(F.col(f"{name}.found"), lambda every: _let(
+        _base(every), lambda base: choose(every, base))))
 
 
 def joined(spans: Column) -> Column:

@@ -23,7 +23,8 @@ def byte_bpe() -> str:
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pii.with_spans(docs, pii.fit(docs))
+    proposed = written(pii.proposed(docs).drop("text"), "pii-candidates")  # candidates once, without the texts
+    found = pii.chosen(proposed, pii.fit_proposed(proposed))
     base = F.col("__pii.base")
     counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
               for k, name in enumerate(pii.KINDS)]

@@ -103,6 +103,44 @@ def test_pii_card_between_other_numbers(spark):
         assert got == texts
 
 
+def with_check_digit(digits):
+    return next(digits + d for d in "0123456789" if luhn(digits + d))
+
+
+def test_pii_model_rejects_valid_looking_numbers(spark):
+    """Numbers that pass Luhn by chance, or that a word names as another sort: precision rises, no card is lost."""
+    rng = random.Random(11)
+    number = lambda first, n: first + "".join(rng.choice("0123456789") for _ in range(n - len(first)))
+    # the number in front makes the base run too long: all candidates lie outside base spans
+    cards = [f"pay {number('12', 6)} {with_check_digit(number('4', 15))} now" for _ in range(300)]
+    random_keys = [f"key {number('12', 6)} {number('9', 16)} now" for _ in range(1500)]  # a tenth pass Luhn
+    orders = [f"order no. {with_check_digit(number('4', 15))} {number('12', 6)} now" for _ in range(300)]
+    training = [(t,) for t in cards + random_keys + orders]
+    model = pii.fit(spark.createDataFrame(training, "text string"))
+    free = pii.Boosted(0.0, (), (float("-inf"),) * 4)  # the validator alone
+
+    def kept(texts, with_model):
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        added = F.array_except("__pii.all", "__pii.base")
+        return pii.with_spans(df, with_model).filter(F.exists(added, lambda s: s["kind"] == 2)).count()
+
+    fresh_cards = [f"pay {number('12', 6)} {with_check_digit(number('4', 15))} now" for _ in range(100)]
+    fresh_keys = [f"key {number('12', 6)} {with_check_digit(number('9', 15))} now" for _ in range(100)]
+    assert kept(fresh_cards, free) == kept(fresh_keys, free) == 100
+    assert kept(fresh_cards, model) == 100 and kept(fresh_keys, model) == 0
+    assert kept(orders, free) == 300 and kept(orders, model) == 0
+    # as many candidates pass without a card among them: nothing is personal
+    keys_only = pii.fit(spark.createDataFrame([(t,) for t in random_keys], "text string"))
+    assert kept(fresh_keys, keys_only) == 0
+
+
+def test_pii_threshold_takes_the_greatest_gain():
+    score, gain = np.array([3.0, 2.0, 1.0, 0.0]), np.array([5.0, -1.0, 2.0, -4.0])
+    assert 0 < pii._threshold(score, gain) < 1.0
+    assert pii._threshold(score, -np.abs(gain)) == float("inf")
+    assert pii._threshold(np.array([1.0, 1.0]), np.array([1.0, -1.0])) < 1.0
+
+
 def test_sharding_table_turns_and_stability(spark, docs):
     names = [f"s{k}" for k in range(10)]
     table = sharding.lookup_table(names, 1009)
