@@ -35,6 +35,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.llm.common import discard, written
+
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
@@ -251,8 +253,11 @@ def proposed(docs: DataFrame, text: str = "text", name: str = "__pii") -> DataFr
 
 
 def fit(docs: DataFrame, text: str = "text", **settings) -> Boosted:
-    """Train on all candidates of ``docs``; settings as in ``fit_proposed``."""
-    return fit_proposed(proposed(docs.select(text), text), **settings)
+    """Train on all candidates of ``docs``, written once without the texts; settings as in ``fit_proposed``."""
+    found = written(proposed(docs.select(text), text).select("__pii"), "pii-candidates")
+    model = fit_proposed(found, **settings)
+    discard(found)
+    return model
 
 
 def fit_proposed(found: DataFrame, name: str = "__pii", rounds: int = 24, depth: int = 3, rate: float = 0.4,
