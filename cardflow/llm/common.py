@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -119,6 +120,22 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """What is run within it hands rows to Python workers at most ``rows`` at a time (``None``: as the session has it).
+
+    A batch is held whole by the executor's JVM, outside its heap, and by the worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if rows is not None and not 0 < int(before) <= rows:  # none or a negative number: no bound
+        spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def short_batches(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The rows in batches of at most ``rows`` and none empty: little is held, and sent, at a time."""
     for batch in batches:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import give_back, ship_code, written
+from cardflow.llm.common import arrow_rows, give_back, ship_code, written
 from cardflow.llm.tokens import CACHE_CHUNKS, SLICE_BYTES, encoder
 
 CAPACITY = 2048
@@ -140,10 +140,13 @@ def ranked(parts: DataFrame, total: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 1,
-         capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row a piece."""
+         capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS, slice_bytes: int = SLICE_BYTES,
+         batch_rows: int | None = None) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row a piece. ``batch_rows``: documents
+    that a worker is handed at a time at most."""
     spark: SparkSession = docs.sparkSession
-    parts = written(pieces(docs, tokenizer, doc_id, text, end_id, capacity, cache_chunks, slice_bytes), "packing-pieces")
+    with arrow_rows(spark, batch_rows):
+        parts = written(pieces(docs, tokenizer, doc_id, text, end_id, capacity, cache_chunks, slice_bytes), "packing-pieces")
     histogram = {int(r[0]): int(r[1]) for r in parts.groupBy("length").count().collect()}  # <= capacity rows
     rows = plan_rows(minimum_bin_slack(histogram, capacity))
     # at most capacity patterns of at most sqrt(2 * capacity) distinct lengths: a bounded table

@@ -20,9 +20,9 @@ SIMILARITY_PERCENT = 80
 PREFIX_EXTRA = 10
 #: Bitmap rows (of 4 KB) that tell documents to be dropped from the others.
 GONE_BITMAP = 1024
-#: A small cache of token chunks and little text encoded at a time: the workers also hold what the
-#: stages before have left, and the executor's JVM its whole heap.
-CACHE_CHUNKS, SLICE_BYTES = 100_000, 1_500_000
+#: A small cache of token chunks, little text encoded and few documents handed over at a time: the workers also
+#: hold what the stages before have left, and the executor's JVM its whole heap.
+CACHE_CHUNKS, SLICE_BYTES, BATCH_ROWS = 50_000, 500_000, 500
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,7 +78,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All remaining documents packed into sequences of 2048 ids, one row a piece."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_chunks=CACHE_CHUNKS,
-                        slice_bytes=SLICE_BYTES)
+                        slice_bytes=SLICE_BYTES, batch_rows=BATCH_ROWS)
 
 
 STAGES = [

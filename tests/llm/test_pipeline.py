@@ -146,3 +146,31 @@ def test_every_stage_on_an_empty_table(spark, docs, folder, tmp_path):
     none.write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_packing_stage_hands_over_few_documents_at_a_time(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cardflow.llm.common import arrow_rows
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), []
+    written = packing.written
+    monkeypatch.setattr(packing, "written", lambda *args: seen.append(int(spark.conf.get(key))) or written(*args))
+    docs = spark.range(1300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a b"), F.col("id").cast("string")).alias("text"))
+    placed = C.packing_stage(spark, docs, "")
+    assert seen == [C.BATCH_ROWS] and spark.conf.get(key) == before
+    plain = packing.pack(docs, C.public_tokenizers.path("byte_bpe_50k.json"))
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert sorted(map(tuple, placed.select(*columns).collect())) == sorted(map(tuple, plain.select(*columns).collect()))
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    with arrow_rows(spark, 100):
+        handed = [r["n"] for r in docs.coalesce(1).select("doc_id").mapInArrow(sizes, "n long").collect()]
+    assert sum(handed) == 1300 and max(handed) == 100
+    assert spark.conf.get(key) == before
