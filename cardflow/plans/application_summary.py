@@ -146,6 +146,19 @@ def _product(override_cpc: Column, income_value: Column, fallback_cpc: Column) -
     return F.coalesce(override_cpc, decode(income_value, INCOME_PRODUCTS), fallback_cpc)
 
 
+def counted(name: str) -> Column:
+    """Which rows of an input can count at all, whatever the date: the sources below read no others, and a
+    refresh of changed ids (``summary_refresh``) makes its digests of them alone."""
+    conditions = {
+        "legacy_element": lambda: b("element_name") == INCOME_ELEMENT,
+        "legacy_override": lambda: F.col("ts2_account_id") > 0,
+        "app_element": lambda: b("ele_elmt_nm") == INCOME_ELEMENT,
+        "app_transfer": lambda: F.col("acct_id") > 0,
+        "account_custom": lambda: (F.col("acct_seq_num") == 0) & F.col("custom_21_data").isin(list(INSTALMENT_CODES)),
+    }
+    return conditions[name]() if name in conditions else F.lit(True)
+
+
 def legacy_rows(app: DataFrame) -> DataFrame:
     """Legacy application rows that are not test rows (rows with both test marks set drop)."""
     return app.filter(b("test_app_sw").isNull() | b("test_acct_flag").isNull())
@@ -157,9 +170,9 @@ def legacy_source(app: DataFrame, element: DataFrame, override_rows: DataFrame,
     distinct combination of the joined income element and product override. With ``hot``
     (application ids holding very many legacy rows, column ``app_num``) both joins are salted."""
     # decoded before the DISTINCT: at most one row per (application, income product)
-    income = (element.filter(b("element_name") == INCOME_ELEMENT)
+    income = (element.filter(counted("legacy_element"))
               .select(F.col("app_num"), decode(b("alpha_value"), INCOME_PRODUCTS).alias("income_cpc")).distinct())
-    override_cpc = (override_rows.filter(F.col("ts2_account_id") > 0)
+    override_cpc = (override_rows.filter(counted("legacy_override"))
                     .select(F.col("app_num"), b("client_prod_code").alias("override_cpc")).distinct())
     a = legacy_rows(app).select(
         "app_num",
@@ -233,15 +246,14 @@ def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user
                    pg_asc("acqsn_channel_cd"), pg_asc("appl_queue_id"), pg_asc("appl_age_bucket")])
     dec = valid_top(decision, "appl_id", ["appl_id", "data_entry_off_num"], [pg_asc("data_entry_off_num")])
     inc = valid_top(element, "appl_id", ["appl_id", "ele_alph_val"], [pg_asc("ele_alph_val")],
-                    where=b("ele_elmt_nm") == INCOME_ELEMENT)
+                    where=counted("app_element"))
     usr = valid_top(user_data, "appl_id", ["appl_id", "user_1_byte_12"], [pg_asc("user_1_byte_12")])
     xfer = valid_top(transfer, "appl_id",
                      ["appl_id", F.col("acct_id").alias("xfer_acct_id"), F.col("clnt_prod_cd").alias("xfer_cpc")],
-                     [pg_asc("xfer_cpc"), pg_asc("xfer_acct_id")], where=F.col("acct_id") > 0)
+                     [pg_asc("xfer_cpc"), pg_asc("xfer_acct_id")], where=counted("app_transfer"))
     cdf = valid_top(account_custom, "xfer_acct_id",
                     [F.col("acct_id").alias("xfer_acct_id"), F.col("custom_21_data").alias("inst_cr")],
-                    [pg_asc("inst_cr")],
-                    where=(F.col("acct_seq_num") == 0) & F.col("custom_21_data").isin(list(INSTALMENT_CODES)))
+                    [pg_asc("inst_cr")], where=counted("account_custom"))
     acct = valid_top(account, "appl_id",
                      ["appl_id", "custom_data_60", "custom_data_62", F.col("clnt_prod_cd").alias("acct_cpc")],
                      [pg_asc("custom_data_60"), pg_asc("custom_data_62"), pg_asc("acct_cpc")])
@@ -250,7 +262,7 @@ def current_source(app: DataFrame, decision: DataFrame, element: DataFrame, user
     # can only add keys, still fewer than hot_keys' bound.
     hot_acct = None
     if hot_min_rows is not None:
-        valid_transfers = effective_on(transfer, d).filter(F.col("acct_id") > 0)
+        valid_transfers = effective_on(transfer, d).filter(counted("app_transfer"))
         hot_acct = hot_keys(valid_transfers.select(F.col("acct_id").alias("xfer_acct_id")), ["xfer_acct_id"],
                             min_rows=None if hot_min_rows == "auto" else hot_min_rows)
     if hot_acct is None:

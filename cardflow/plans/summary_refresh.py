@@ -1,10 +1,12 @@
 """Refreshing the summary for the applications that changed (CMP-10, RPT-5).
 
 A full refresh recomputes every application every day though few change. Here every application id has a
-digest of all that its summary rows depend on: the rows of the eleven inputs that belong to it, each
-with whether it counts on the business date (validity, test marks, entry before the run date, exclusion).
-Digests are order-independent sums, so they come from one aggregate with a partial step; an id with
-very many rows sends one row a task. They are stored with the summary in one version, committed
+digest of all that its summary rows depend on: the rows of the eleven inputs that belong to it and can count
+(``counted``: elements of other names, say, are read by no source), each with whether it counts on the business
+date (validity, test marks, entry before the run date, exclusion). Digests are two order-independent sums of 31-bit
+hashes (two different sets of rows agree in both by chance once in 2 ** 62), so they come from one aggregate with a
+partial step; an id with very many rows sends one row a task. Hashes don't compress, so their width and the rows that
+can't count are what the shuffle's size depends on. They are stored with the summary in one version, committed
 together. The next run compares digests, recomputes the ids whose digest is new, changed or gone from
 inputs cut to those ids, and takes the other rows from the last version.
 
@@ -29,7 +31,7 @@ from pyspark.sql.types import LongType
 
 from cardflow.functions.dates import BusinessDate, before_day
 from cardflow.operators.membership import key_bitmap, with_membership
-from cardflow.plans.application_summary import SUMMARY_INPUTS, SummaryRules, daily_application_summary
+from cardflow.plans.application_summary import SUMMARY_INPUTS, SummaryRules, counted, daily_application_summary
 from cardflow.session import checkpoint_dir
 from cardflow.sinks.versions import Versions
 
@@ -40,12 +42,13 @@ APPLICATION_KEY = {
     "app_transfer": "appl_id", "app_account": "appl_id"}
 #: Columns whose comparison with a date decides whether a row counts.
 ENTRY_COLUMN = {"legacy_app": "dt_entered", "app": "entry_dt"}
-FORM = 1
+FORM = 2
 
 
 def _hashed(name: str, df: DataFrame, bd: BusinessDate, key: str, out: str) -> DataFrame:
-    """(out, a, b): two hashes of each row of an input with all that dates decide about it. Rows of no id, and
-    rows that don't count on the business date, are left out."""
+    """(out, a, b): two hashes of each row of an input with all that dates decide about it. Rows of no id,
+    rows that can't count and rows that don't on the business date are left out."""
+    df = df.filter(counted(name))
     valid = F.lit(True)
     if "efftv_from_dt" in df.columns:
         valid = F.coalesce(F.lit(bd.as_of).between(F.col("efftv_from_dt"), F.col("efftv_to_dt")), F.lit(False))
@@ -64,24 +67,25 @@ _PRIME = (1 << 31) - 1
 
 
 def _digest() -> list[Column]:
-    """Order-independent: rows counted, two sums and an exclusive or of their hashes."""
-    return [F.count(F.lit(1)).alias("n"), F.sum(F.pmod("a", F.lit(_PRIME))).alias("s"), F.sum(F.pmod("b", F.lit(_PRIME))).alias("t"),
-            F.bit_xor("b").alias("x")]
+    """Order-independent: two sums of hashes."""
+    return [F.sum(F.pmod("a", F.lit(_PRIME))).alias("s"), F.sum(F.pmod("b", F.lit(_PRIME))).alias("t")]
 
 
 def application_digests(inputs: Mapping[str, DataFrame], bd: BusinessDate) -> DataFrame:
-    """(appl_id, n, s, t, x): a digest of everything that an application's summary rows depend on."""
+    """(appl_id, digest): a digest of everything that an application's summary rows depend on."""
     rows: DataFrame | None = None
     for name, key in APPLICATION_KEY.items():
         part = _hashed(name, inputs[name], bd, key, "appl_id")
         rows = part if rows is None else rows.union(part)
     accounts = _hashed("account_custom", inputs["account_custom"], bd, "acct_id", "__acct").groupBy("__acct").agg(*_digest())
     transfers = inputs["app_transfer"]
-    reached = transfers.filter(F.lit(bd.as_of).between(F.col("efftv_from_dt"), F.col("efftv_to_dt"))).select("appl_id", "acct_id")
+    reached = transfers.filter(F.lit(bd.as_of).between(F.col("efftv_from_dt"), F.col("efftv_to_dt"))
+                               & counted("app_transfer")).select("appl_id", "acct_id")
     through = reached.join(accounts, reached["acct_id"] == accounts["__acct"]).select(
-        F.col("appl_id").cast("long").alias("appl_id"), F.xxhash64("__acct", "n", "s", "t", "x").alias("a"),
-        F.xxhash64("x", "t", "s", "n", "__acct").alias("b"))
-    return rows.union(through.filter("appl_id is not null")).groupBy("appl_id").agg(*_digest())
+        F.col("appl_id").cast("long").alias("appl_id"), F.xxhash64("__acct", "s", "t").alias("a"),
+        F.xxhash64("t", "s", "__acct").alias("b"))
+    sums = rows.union(through.filter("appl_id is not null")).groupBy("appl_id").agg(*_digest())
+    return sums.select("appl_id", F.xxhash64("s", "t").alias("digest"))
 
 
 def fingerprint(inputs: Mapping[str, DataFrame], rules: SummaryRules) -> str:
@@ -94,8 +98,8 @@ def fingerprint(inputs: Mapping[str, DataFrame], rules: SummaryRules) -> str:
 
 def changed_ids(now: DataFrame, last: DataFrame) -> DataFrame:
     """(appl_id): ids whose digest is new, another one, or gone. One join of two aggregates on the id."""
-    old = last.select("appl_id", F.struct("n", "s", "t", "x").alias("old"))
-    new = now.select("appl_id", F.struct("n", "s", "t", "x").alias("new"))
+    old = last.select("appl_id", F.col("digest").alias("old"))
+    new = now.select("appl_id", F.col("digest").alias("new"))
     return new.join(old, "appl_id", "full").filter(~F.col("new").eqNullSafe(F.col("old"))).select("appl_id")
 
 

@@ -118,3 +118,21 @@ def test_digests_see_dates_and_repeated_rows(spark):
     ids = inputs["app_decision"].select("appl_id").distinct().count()
     assert changed_ids(application_digests(twice, BD_SUMMARY), today).count() == ids
     assert changed_ids(application_digests(day_before(inputs), BD_SUMMARY), today).count() > ids / 10
+
+
+def test_digests_leave_out_rows_that_no_source_reads(spark):
+    inputs = summary_inputs(spark, SF)
+    altered = dict(inputs)
+    other = lambda name, column, rows_of: inputs[name].withColumn(
+        column, F.when(rows_of, F.lit("ANOTHER")).otherwise(F.col(column)))
+    altered["legacy_element"] = other("legacy_element", "alpha_value", F.col("element_name") == "OTHERELEM")
+    altered["legacy_override"] = other("legacy_override", "client_prod_code", F.col("ts2_account_id") == 0)
+    altered["app_element"] = other("app_element", "ele_alph_val", F.col("ele_elmt_nm") == "OTHER")
+    altered["app_transfer"] = other("app_transfer", "clnt_prod_cd", F.col("acct_id") == 0)
+    altered["account_custom"] = other("account_custom", "custom_21_data", F.col("acct_seq_num") == 1)
+    today = application_digests(inputs, BD_SUMMARY)
+    assert today.columns == ["appl_id", "digest"]
+    assert changed_ids(application_digests(altered, BD_SUMMARY), today).isEmpty()
+    read = {**inputs, "legacy_element": other("legacy_element", "alpha_value", F.trim("element_name") == "CHKINCOME")}
+    want = inputs["legacy_element"].filter("trim(element_name) = 'CHKINCOME'").select("app_num").distinct().count()
+    assert changed_ids(application_digests(read, BD_SUMMARY), today).count() == want
