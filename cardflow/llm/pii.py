@@ -344,6 +344,11 @@ def chosen(found: DataFrame, model: Boosted, name: str = "__pii") -> DataFrame:
         _base(every), lambda base: choose(every, base))))
 
 
+def counted(spans: Column, kind: str) -> Column:
+    """Number of spans of a kind. Spark hands a second parameter of the lambda, even one with a default, the index."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind)))
+
+
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of all spans, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

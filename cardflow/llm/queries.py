@@ -26,8 +26,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     proposed = written(pii.proposed(docs).drop("text"), "pii-candidates")  # candidates once, without the texts
     found = pii.chosen(proposed, pii.fit_proposed(proposed))
     base = F.col("__pii.base")
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(pii.KINDS)]
+    counts = [pii.counted(base, kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"),
                         pii.joined(F.col("__pii.all")).alias("spans"))
 

@@ -13,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cardflow.llm import (chat, embeddings, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_codes,
-                          unigram)
+from cardflow.llm import (chat, embeddings, ngram_join, packing, pii, quality_model, quality_rules, queries, sharding,
+                          token_codes, unigram)
 from cardflow.llm.components import connected_components
 from cardflow.llm.common import ship_code
 from cardflow.llm.tokens import ChunkEncoder
@@ -88,6 +88,21 @@ def test_pii_base_spans_and_redaction(spark):
     assert row["c"].startswith("mail [EMAIL] or ")
 
 
+def test_pii_query_counts_base_spans_by_kind(spark, tmp_path):
+    texts = ["1.2.3.4", "a@b.co c@d.ef", "4111 1111 1111 1111 é", "+49 170 555 1234", "1.2.3.4 a@b.co 4111111111111111, +49 170 555 1234",
+             "1.1.1.1 2.2.2.2 3.3.3.3 +1 (269) 555-3296", "none", "", None]
+    rows = [*enumerate(texts), (0, texts[0]), (None, "x@y.z 1.2.3.4 1.2.3.5")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op1_pii(spark, str(tmp_path)).collect()
+    expected = []
+    for key, text in rows:
+        spans = base_spans(text)
+        kinds = [s.split(":")[0] for s in spans.split(",")]
+        expected.append((key, *map(kinds.count, BASE), hashlib.sha256(spans.encode()).hexdigest()))
+    got = [(r["doc_id"], r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]) for r in found]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 def test_pii_card_between_other_numbers(spark):
     card = "4111 1111 1111 1111"
     texts = {f"order 2024 {card}": "order 2024 [CARD]", f"+1 (826) 555-4081 {card}": "[PHONE] [CARD]",
