@@ -13,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cardflow.llm import (chat, embeddings, ngram_join, packing, pii, quality_model, quality_rules, queries, sharding,
-                          token_codes, unigram)
+from cardflow.llm import (chat, components, embeddings, ngram_join, packing, pii, quality_model, quality_rules, queries,
+                          sharding, token_codes, unigram)
 from cardflow.llm.components import connected_components
 from cardflow.llm.common import ship_code
 from cardflow.llm.tokens import ChunkEncoder
@@ -364,6 +364,37 @@ def test_components_of_a_chain(spark):
     assert got == {k: 0 for k in range(41)} | {99: 99, 100: 99}
 
 
+def test_components_of_few_rows_take_few_tasks(spark, monkeypatch):
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 420)] * 2
+    label = {k: k for e in edges if e[0] != e[1] for k in e}
+    while any(label[a] != label[b] for a, b in edges if a != b):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    files = {}
+
+    def counted(df, name):
+        back = write(df, name)
+        files[name] = max(files.get(name, 0), len(back.inputFiles()))
+        return back
+
+    write = components.written
+    monkeypatch.setattr(components, "written", counted)
+    held = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = connected_components(spark.createDataFrame(edges, "u long, v long"))
+        got = {r["node"]: r["component"] for r in found.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == label
+    assert max(files[n] for n in ("cc-edges", "cc-labels", "cc-lower")) <= spark.sparkContext.defaultParallelism
+
+
 def test_rule_statistics(spark, docs):
     ship_code(spark)
     extra = spark.createDataFrame([(7, "a b c d e f g h i " * 4 + "#x*\n\nL1\nL1\n \nL1", 1, "x", 2)], SCHEMA)
