@@ -139,6 +139,13 @@ def ranked(parts: DataFrame, total: int) -> DataFrame:
     return local.join(firsts, ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("first")).drop("first", "salt")
 
 
+def plan_table(spark: SparkSession, rows: list[tuple[int, int, int, int, int, int]]) -> DataFrame:
+    """The rows of a plan. From an Arrow table, as a list would start Python workers of its own on the executors."""
+    names = ["length", "first_rank", "end_rank", "copies", "window", "at"]
+    columns = zip(*rows) if rows else [()] * len(names)
+    return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=names))
+
+
 def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 1,
          capacity: int = CAPACITY, cache_chunks: int = CACHE_CHUNKS, slice_bytes: int = SLICE_BYTES,
          batch_rows: int | None = None) -> DataFrame:
@@ -150,8 +157,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     histogram = {int(r[0]): int(r[1]) for r in parts.groupBy("length").count().collect()}  # <= capacity rows
     rows = plan_rows(minimum_bin_slack(histogram, capacity))
     # at most capacity patterns of at most sqrt(2 * capacity) distinct lengths: a bounded table
-    plan = F.broadcast(spark.createDataFrame(
-        rows, "length long, first_rank long, end_rank long, copies long, window long, at long"))
+    plan = F.broadcast(plan_table(spark, rows))
     placed = ranked(parts, sum(histogram.values())).join(
         plan, "length").filter("rank >= first_rank and rank < end_rank")
     relative = F.col("rank") - F.col("first_rank")

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardflow.llm.common import give_back
 from cardflow.llm.textstats import utf8, windows, word_hashes
 
 FEATURES = ("log_words", "log_word_length", "symbols", "pipes", "exclamations", "upper_case",
@@ -61,6 +62,7 @@ def features(text: str | Column) -> Column:
         for texts in parts:
             data = utf8(texts)
             yield pd.Series([_vector(t, w) for t, w in zip(data, word_hashes(data))], dtype=object)
+        give_back()
 
     return vectors(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardflow.llm.common import unused
+from cardflow.llm.common import give_back, unused
 from cardflow.llm.textstats import utf8, windows, word_hashes
 
 MIN_WORDS = 20
@@ -117,6 +117,7 @@ def statistics(text_column: str, bands: Bands = Bands()):
     def measure(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
             yield pd.DataFrame(_statistics(utf8(texts), bands))
+        give_back()
 
     return measure(F.coalesce(F.col(text_column), F.lit("")))
 

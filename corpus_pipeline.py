@@ -1,8 +1,9 @@
 """Corpus pipeline: quality classifier, quality rules, near duplicates, personal data, packing.
 
 Every stage is a function (spark, docs, sf_dir) -> DataFrame over all rows its predecessor kept;
-between the stages rows are written as Parquet in the shared folder and read again. The last
-stage returns the packed pieces, the others the columns of ``documents``.
+between the stages rows are written as Parquet in the shared folder and read again. The quality
+stages write them themselves, as only so their Python workers are handed few rows at a time. The
+last stage returns the packed pieces, the others the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardflow.llm import ngram_join, packing, pii, quality_model, quality_rules
-from cardflow.llm.common import likely_in, ship_code, table, unlikely_in, unused, written
+from cardflow.llm.common import arrow_rows, likely_in, ship_code, table, unlikely_in, unused, written
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -20,27 +21,34 @@ SIMILARITY_PERCENT = 80
 PREFIX_EXTRA = 10
 #: Bitmap rows (of 4 KB) that tell documents to be dropped from the others.
 GONE_BITMAP = 1024
-#: A small cache of token chunks, little text encoded and few documents handed over at a time: the workers also
-#: hold what the stages before have left, and the executor's JVM its whole heap.
+#: A small cache of token chunks, little text encoded and, in all stages, few documents handed over at a time: the
+#: workers also hold what the stages before have left, and the executor's JVM its whole heap.
 CACHE_CHUNKS, SLICE_BYTES, BATCH_ROWS = 50_000, 500_000, 500
 
 
+def few_at_a_time(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written while workers are handed at most ``BATCH_ROWS`` rows at a time: the bound holds for plans made here."""
+    with arrow_rows(df.sparkSession, BATCH_ROWS):
+        return written(df, name)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the discriminant, fitted on the labels outside the held-out part, accepts."""
     ship_code(spark)
-    vectors = written(docs.select("doc_id", quality_model.features("text").alias("vector")), "stage-vectors")
+    vectors = few_at_a_time(docs.select("doc_id", quality_model.features("text").alias("vector")), "stage-vectors")
     model = quality_model.fit(quality_model.training_rows(vectors, table(spark, sf_dir, "labels")))
     if model is None:  # nothing to learn from: nothing is rejected
         return docs
     score = quality_model.score_text(model, "text")
-    return docs.filter(score >= quality_model.THRESHOLD)
+    return few_at_a_time(docs.filter(score >= quality_model.THRESHOLD), "pipeline-quality-classifier")
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie within the compression bands."""
     ship_code(spark)
     rules = unused(docs, "__rules")
-    return quality_rules.with_verdict(docs, name=rules).filter(f"{rules}.kept").drop(rules)
+    return few_at_a_time(quality_rules.with_verdict(docs, name=rules).filter(f"{rules}.kept").drop(rules),
+                         "pipeline-quality-rules")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +64,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         key = unused(docs, "__row")
         keyed = written(known.dropDuplicates(["doc_id", "text"]).orderBy("doc_id", "text")
                         .withColumn(key, F.monotonically_increasing_id()), "stage-rows")
-    linked = written(ngram_join.jaccard_components(keyed, doc_id=key, width=SHINGLE_WORDS, percent=SIMILARITY_PERCENT,
-                                                   extra=PREFIX_EXTRA), "stage-components")
+    with arrow_rows(spark, BATCH_ROWS):
+        linked = written(ngram_join.jaccard_components(keyed, doc_id=key, width=SHINGLE_WORDS, percent=SIMILARITY_PERCENT,
+                                                       extra=PREFIX_EXTRA), "stage-components")
     gone = written(linked.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "stage-gone")
     # texts that surely stay aren't shuffled: a bitmap of fixed size tells most of them
     kept = unlikely_in(keyed, key, gone, GONE_BITMAP).unionByName(
@@ -93,7 +102,9 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        kept = stage(spark, docs, sf_dir)
+        # two stages write their rows themselves
+        docs = kept if "scratch_folder" in vars(kept) else written(kept, f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -174,3 +174,86 @@ def test_packing_stage_hands_over_few_documents_at_a_time(spark, monkeypatch):
         handed = [r["n"] for r in docs.coalesce(1).select("doc_id").mapInArrow(sizes, "n long").collect()]
     assert sum(handed) == 1300 and max(handed) == 100
     assert spark.conf.get(key) == before
+
+
+KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def long_table(spark, rows=1300):
+    from pyspark.sql import functions as F
+
+    words = F.concat_ws(" ", *[F.concat(F.lit(w), (F.col("id") * k % 97).cast("string")) for k, w in enumerate("abcdefgh" * 6)])
+    return spark.range(0, rows, 1, 1).select(F.col("id").alias("doc_id"), words.alias("text"))
+
+
+def test_text_stages_hand_over_few_documents_at_a_time(spark, monkeypatch, tmp_path):
+    """Every batch of texts that the stages' own Python functions meet is short, and the session's setting comes back."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    before = spark.conf.get(KEY)
+    sizes = str(tmp_path / "sizes")
+
+    def noted(kind, value):  # a stand-in for the text function that notes the rows of each batch
+        @F.pandas_udf(kind)
+        def measure(texts: pd.Series) -> pd.Series:
+            with open(sizes, "a") as f:
+                f.write(f"{len(texts)}\n")
+            return pd.Series([value] * len(texts))
+
+        return measure
+
+    docs = long_table(spark)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(quality_model, "features", lambda text: F.lit(None).cast("array<double>"))
+    monkeypatch.setattr(quality_model, "fit", lambda rows: object())
+    monkeypatch.setattr(quality_model, "score_text", lambda model, text: noted("double", 1.0)(text))
+    assert C.quality_stage(spark, docs, str(tmp_path)).count() == 1300
+    kept = C.quality_rules.with_verdict
+
+    def verdict(df, name):
+        return kept(df.filter(noted("boolean", True)("text")), name=name)
+
+    monkeypatch.setattr(C.quality_rules, "with_verdict", verdict)
+    C.rules_stage(spark, docs, "").count()
+    found = [int(x) for x in open(sizes)]
+    assert sum(found) == 2600 and max(found) <= C.BATCH_ROWS
+    assert spark.conf.get(KEY) == before
+
+
+def test_every_step_of_the_stages_is_planned_with_few_rows(spark, folder, monkeypatch):
+    from cardflow.llm import ngram_join
+
+    before, seen = spark.conf.get(KEY), []
+    plain = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: seen.append(int(spark.conf.get(KEY))) or plain(df, name))
+    docs = long_table(spark, 40)
+    assert C.near_duplicate_stage(spark, docs, folder).count() <= 40
+    assert seen and set(seen) == {C.BATCH_ROWS} and spark.conf.get(KEY) == before
+
+
+@pytest.mark.parametrize("module", ["quality_model", "quality_rules"])
+def test_text_functions_hand_memory_back_at_the_end(module, monkeypatch):
+    import importlib
+
+    import pandas as pd
+
+    target, calls = importlib.import_module(f"cardflow.llm.{module}"), []
+    monkeypatch.setattr(target, "give_back", lambda: calls.append(1))
+    monkeypatch.setattr(target.F, "pandas_udf", lambda kind: lambda f: lambda column: f)
+    monkeypatch.setattr(target.F, "coalesce", lambda *a: None)
+    monkeypatch.setattr(target.F, "lit", lambda *a: None)
+    monkeypatch.setattr(target.F, "col", lambda *a: None)
+    run = target.features("text") if module == "quality_model" else target.statistics("text")
+    assert [len(x) for x in run(iter([pd.Series(["one two"]), pd.Series([], dtype=object)]))] == [1, 0] and calls == [1]
+
+
+def test_packing_plan_needs_no_python_workers(spark):
+    rows = packing.plan_rows(packing.minimum_bin_slack({2000: 3, 48: 2, 7: 5}, 2048))
+    plan = packing.plan_table(spark, rows)
+    assert sorted(map(tuple, plan.collect())) == sorted(rows) and rows
+    assert [t for _, t in plan.dtypes] == ["bigint"] * 6
+    empty = packing.plan_table(spark, [])
+    assert empty.count() == 0 and empty.schema == plan.schema
+    assert "PythonRDD" not in plan._jdf.queryExecution().toRdd().toDebugString()
